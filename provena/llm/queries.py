@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provena.llm import chat, pii, quality_rules, url_filter
+from provena.llm import chat, decontaminate, language_model, near_dup, packing, pii, quality_model, quality_rules, sharding, url_filter
 from provena.llm.common import documents
 
 
@@ -20,16 +20,47 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"n_{k}" for k in pii.BASE_KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(documents(spark, sf_dir))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.tokenize(documents(spark, sf_dir), tokenizer_path, with_ids=False)
+    return packing.pack(pieces)
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each contaminated document: doc_id, the items, the tokens of the best one."""
+    found = decontaminate.matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.filter(F.size("item_ids") > 0)
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_pii, op5_quality_rules, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_url_filters, op2_pii, op3_lm_scoring, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_near_dedup, op8_sharding, op9_decontamination, op10_chat_formatting)}
 
 
 OP1_SQL = r"""
