@@ -11,6 +11,13 @@ from provena.llm import chat, decontaminate, language_model, near_dup, packing,
 from provena.llm.common import documents
 
 
+def word_tokenizer() -> str:
+    """Path of the packing tokenizer's vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -33,12 +40,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    if tokenizer_path is None:
-        import public_tokenizers
-
-        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = packing.tokenize(documents(spark, sf_dir), tokenizer_path, with_ids=False)
-    return packing.pack(pieces)
+    return packing.pack(packing.tokenize(documents(spark, sf_dir), tokenizer_path or word_tokenizer(), with_ids=False))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
