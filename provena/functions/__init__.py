@@ -179,3 +179,10 @@ def usd(amount: Column, currency: Column) -> Column:
     from provena.lexicons import USD
 
     return F.bround(amount * lookup(USD, F.upper(currency)), 0).cast("long")
+
+
+def visible_text(html: Column) -> Column:
+    """Text of a page by pattern: scripts and styles out, then tags, then white space. Entities stay (the parser in sources.html unescapes them)."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style|noscript)\b[^>]*>.*?</(script|style|noscript)>", " ")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"(?s)<!--.*?-->", " "), r"(?s)<[^>]*>", " ")
+    return squeeze(bare)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from provena import functions as fn
 from provena import lexicons as lx
+from provena.materialize import cut
 from provena.schemas import ORDER, SOURCE, SUGGESTION, conform, either, last_wins, ordered, text
 
 
@@ -75,8 +76,8 @@ def candidate_map(current: DataFrame, suggested: DataFrame, per_type_limit: int
     """The current map, reset, and for each institution and type the best suggestions whose url it doesn't use yet.
 
     Types choose in a fixed order and a url chosen by one is closed to later ones. So type t takes
-    its best open rows in step t: ten steps of anti join and top-n, each distributed by
-    institution; no institution is gathered into one task.
+    its best open rows in step t: ten steps of anti join and top-n, each materialised and
+    distributed by institution; no institution is gathered into one task.
     """
     rows = conform(ordered(current), SOURCE)
     made = {
@@ -89,13 +90,14 @@ def candidate_map(current: DataFrame, suggested: DataFrame, per_type_limit: int
     score = F.coalesce(F.col("confidence_score").try_cast("double"), F.lit(0.0))
     # a url once for each (institution, type): repeats would only be passed over
     offered = offered.groupBy("university_id", "candidate_source_type", "url").agg(F.min_by(F.struct("university_name", "reason", ORDER, (-score).alias("worse")), F.struct((-score).alias("worse"), ORDER)).alias("s"))
+    offered = cut(offered)
     chosen = None
-    used = base.select("university_id", "url")
+    used = cut(base.select("university_id", "url").distinct())
     for kind in lx.CANDIDATE_TYPES:
-        open_ = offered.filter(F.col("candidate_source_type") == kind).join(used.distinct(), ["university_id", "url"], "left_anti")
+        open_ = offered.filter(F.col("candidate_source_type") == kind).join(used, ["university_id", "url"], "left_anti")
         best = Window.partitionBy("university_id").orderBy("s.worse", F.length("url"), "url")
         top = open_.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= per_type_limit)
-        taken = top.select("university_id", F.lit(kind).alias("source_type"), "url", F.col("s.university_name").alias("s_name"), F.col("s.reason").alias("reason"))
+        taken = cut(top.select("university_id", F.lit(kind).alias("source_type"), "url", F.col("s.university_name").alias("s_name"), F.col("s.reason").alias("reason")))
         chosen = taken if chosen is None else chosen.unionByName(taken)
         used = used.unionByName(taken.select("university_id", "url"))
     joined = chosen.join(meta, F.col("university_id") == F.col("_u"), "left")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from provena import functions as fn
 from provena import lexicons as lx
 from provena.operators.quality import usable
-from provena.schemas import FACT, ORDER, PROGRAM, last_wins, ordered, text
+from provena.schemas import FACT, ORDER, PROGRAM, last_wins, order_key, ordered, text
 
 PARTS = "array<struct<fact_type:string,fact_key:string,value_text:string,value_json:string,value_number:string,value_currency:string,value_date:string,fact_origin:string,supporting_text:string,confidence_score:string,review_status:string>>"
 
@@ -264,9 +264,8 @@ def from_model(df: DataFrame) -> DataFrame:
 
 def merge(existing: DataFrame, added: DataFrame) -> DataFrame:
     """Both sets, existing ones first; of facts with one id the first stays, blank ids all stay."""
-    both = ordered(existing).select(*FACT, F.lit(0).alias("_side"), F.col(ORDER).alias("_in")).withColumn("_in", F.to_json(F.struct("_in")))
-    more = ordered(added).select(*FACT, F.lit(1).alias("_side"), F.col(ORDER).alias("_in")).withColumn("_in", F.to_json(F.struct("_in")))
-    rows = both.unionByName(more).withColumn(ORDER, F.struct("_side", F.length("_in").alias("size"), "_in")).drop("_side", "_in")
+    side = lambda df, k: ordered(df).select(*FACT, F.concat(F.array(F.lit(k).cast("long")), order_key(ordered(df))).alias(ORDER))
+    rows = side(existing, 0).unionByName(side(added, 1))
     named, unnamed = rows.filter(text("fact_id") != ""), rows.filter(text("fact_id") == "")
     picked = named.groupBy("fact_id").agg(F.min_by(F.struct(*[c for c in FACT if c != "fact_id"], ORDER), ORDER).alias("r")).select("fact_id", "r.*")
     return picked.select(*FACT, ORDER).unionByName(unnamed.select(*FACT, ORDER))

@@ -35,6 +35,12 @@ def fact_groups(facts: DataFrame) -> DataFrame:
     )
 
 
+def preferred_values(facts: DataFrame) -> DataFrame:
+    """(university_id, fact_type, fact_key, value, usd_min, usd_max): from a key's model facts where it has any, else from the others."""
+    pick = lambda c: F.max_by(F.struct(F.col(c).alias("v")), "model")["v"]
+    return fact_groups(facts).groupBy("university_id", "fact_type", "fact_key").agg(pick("first").alias("value"), pick("low").alias("usd_min"), pick("high").alias("usd_max"))
+
+
 def summaries(facts: DataFrame, wanted: Column, value: Column, limit: int) -> DataFrame:
     """(university_id, model, found): distinct values in the order in which they first appear, at most `limit`."""
     rows = ordered(facts).filter(wanted).select(text("university_id").alias("university_id"), (text("fact_origin") == lx.LLM_ORIGIN).alias("model"), value.alias("value"), ORDER).filter("value <> ''")

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from provena.plans.queries import ALL
+
+    return {f.__name__: f for f in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from provena.plans.oracles import SQL
+
+    return dict(SQL)

@@ -66,6 +66,17 @@ def ordered(df: DataFrame) -> DataFrame:
     return df if ORDER in df.columns else df.withColumn(ORDER, F.monotonically_increasing_id())
 
 
+def order_key(df: DataFrame) -> Column:
+    """The order column as an array of numbers, whatever parts it has; arrays compare part by part."""
+
+    def parts(name: str, kind: T.DataType) -> list[Column]:
+        if isinstance(kind, T.StructType):
+            return [p for f in kind.fields for p in parts(f"{name}.{f.name}", f.dataType)]
+        return [F.col(name) if isinstance(kind, T.ArrayType) else F.array(F.col(name).cast("long"))]
+
+    return F.concat(*parts(ORDER, df.schema[ORDER].dataType))
+
+
 def last_wins(df: DataFrame, *keys: str) -> DataFrame:
     """One row for each key: the last one read. A hash aggregate with map-side combine, not a window."""
     rest = [c for c in df.columns if c not in keys]
