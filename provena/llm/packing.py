@@ -18,9 +18,11 @@ rows are packed once each; an empty table gives an empty result; extra columns a
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,31 +33,84 @@ from provena.llm.common import cut
 
 SIZE = 2048
 PER_PARTITION = 40_000
-CACHE = 400_000
+CACHE = 700_000
+#: Stands between words that are encoded together; words that hold it are encoded alone.
+MARK = "\u241f"
+ENDINGS = ".,;:!?"
 
 
 class WordIds:
-    """Ids of a text through a tokenizer that never joins what white space parts: each word is encoded once and remembered."""
+    """Ids of a text through a tokenizer that never joins what white space parts: each word is encoded once and remembered.
+
+    Ids are kept as little-endian 32-bit bytes. A word's closing marks and, for ASCII words, its case
+    are taken off before it is looked up, where the tokenizer itself parts and folds them.
+    """
 
     def __init__(self, tokenizer_path: str, whole: bool = False):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.whole = Tokenizer.from_file(tokenizer_path), whole
-        self.known: dict[str, list[int]] = {}
-
-    def of(self, texts: list[str]) -> list[list[int]]:
-        if self.whole:
-            return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        words = [text.split() for text in texts]
+        self.known: dict[bytes, bytes] = {}  # by UTF-8: bytes part at ASCII white space only, as every tokenizer does
+        self.mark = self.encoded(MARK)
+        sample = "aB"
+        self.folds = self.encoded(sample) == self.encoded(sample.lower())
+        self.parts = all(self.encoded(sample + e) == self.encoded(sample) + self.encoded(e) for e in ENDINGS)
+
+    def encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def bare(self, raw: bytes) -> tuple[str, str]:
+        """A word's core and its closing marks."""
+        word = raw.decode()
+        core = word.rstrip(ENDINGS) if self.parts else word
+        if core != word and not core.lower().isalpha():
+            core = word  # a mark may join what stands before it
+        return core.lower() if self.folds and core.isascii() else core, word[len(core) :]
+
+    def learn(self, words: set[bytes]) -> None:
         known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = list({w for ws in words for w in ws if w not in known})
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            for word, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = encoded.ids
-        return [[i for w in ws for i in known[w]] for ws in words]
+        split = {w: self.bare(w) for w in words}
+        new = list({part for pair in split.values() for part in pair if part and part.encode() not in known})
+        plain = [w for w in new if MARK not in w]
+        for at in range(0, len(plain), 64 * 64):
+            groups = [plain[k : k + 64] for k in range(at, min(at + 64 * 64, len(plain)), 64)]
+            for group, found in zip(groups, self.tokenizer.encode_batch_fast([f" {MARK} ".join(g) for g in groups], add_special_tokens=False), strict=True):
+                parts = parted(np.array(found.ids, "<u4"), np.frombuffer(self.mark, "<u4"))
+                known.update(zip(map(str.encode, group), parts if len(parts) == len(group) else map(self.encoded, group), strict=True))
+        known.update((w.encode(), self.encoded(w)) for w in new if MARK in w)
+        for word, (core, end) in split.items():
+            if word not in known:
+                known[word] = known[core.encode()] + known[end.encode()] if end and core else known[(core or end).encode()]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        if self.whole:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        words = [text.encode("utf-8", "replace").split() for text in texts]
+        if len(self.known) > CACHE:
+            self.known.clear()
+        if new := set().union(*words).difference(self.known):
+            self.learn(new)
+        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+
+
+def parted(ids: np.ndarray, mark: np.ndarray) -> list[bytes]:
+    """ids cut at each occurrence of the mark's ids."""
+    n = len(mark)
+    hit = np.ones(max(0, len(ids) - n + 1), bool)
+    for k in range(n):
+        hit &= ids[k : len(ids) - n + 1 + k] == mark[k]
+    out, start = [], 0
+    for at in np.flatnonzero(hit):
+        out.append(ids[start:at].tobytes())
+        start = at + n
+    return [*out, ids[start:].tobytes()]
+
+
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_path: str, whole: bool) -> WordIds:
+    """One for each Python worker: its memory of words serves all tasks, and is bounded by CACHE."""
+    return WordIds(tokenizer_path, whole)
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = 0, with_ids: bool = True, whole_texts: bool = False) -> DataFrame:
@@ -67,13 +122,13 @@ def tokenize(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     kind = picked.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(tokenizer_path, whole_texts)
+        words, end = word_ids(tokenizer_path, whole_texts), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
                 rows = []
                 for key, ids in zip(part["id"], words.of([t if isinstance(t, str) else "" for t in part["text"]]), strict=True):
-                    all_ids = np.array([*ids, end_id], "<u4")
+                    all_ids = np.frombuffer(ids + end, "<u4")
                     for piece, start in enumerate(range(0, len(all_ids), size)):
                         own = all_ids[start : start + size]
                         rows.append((key, piece, start, len(own), zlib.crc32(own.tobytes()), own.astype(np.int32) if with_ids else None))
