@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -29,9 +30,17 @@ def shared_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder, so that later jobs neither recompute it nor depend on one executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise df in the shared folder, so that later jobs neither recompute it nor depend on one executor.
+
+    Shuffle files of finished steps go once the driver has collected what refers to them; long
+    chains of steps would otherwise keep all of theirs, so the driver is asked to collect here.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    done = df.checkpoint(eager=True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return done
 
 
 def crc_bucket(column: Column, modulus: int = 5) -> Column:
