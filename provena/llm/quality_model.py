@@ -6,9 +6,10 @@ The score is the sigmoid of a sparse dot product: the mean weight of the n-grams
 plus a bias. Shape n-grams (a token equal to the one before, a capitalised token) are hashed as
 tokens of their own, so that repetition is seen without any hand-set threshold.
 
-Fitting: at most `max_rows` labelled rows (a documented bound; rows are taken in the order of a
-hash of their text, so the choice does not depend on the layout) go through one task in batches;
-that task keeps 2^bits weights and nothing that grows with the corpus. Scoring is narrow.
+Fitting: at most `max_rows` labels (a documented bound; they are taken in the order of a hash of
+their id, so the choice does not depend on the layout) are broadcast to the documents, so that only
+the chosen rows' texts move; those go through one task in batches, in hash order. That task keeps
+2^bits weights and nothing that grows with the corpus. Scoring is narrow.
 
 Defined results: null and empty texts have no n-grams and score sigmoid(bias); a null label or a
 null id in the labels is not learnt from; documents with a null id count as training rows; several
@@ -94,10 +95,9 @@ def score(features: np.ndarray, weights: np.ndarray) -> float:
     return float(1.0 / (1.0 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", max_rows: int = MAX_ROWS, bits: int = BITS, epochs: int = 2) -> np.ndarray:
-    """Weights (2^bits and a bias, a size fixed by `bits`) from at most max_rows rows of (text, label)."""
-    rows = labelled.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(label_col).cast("double").alias("label")).filter("label is not null")
-    chosen = rows.withColumn("order", F.xxhash64("text", "label")).orderBy("order").limit(max_rows)
+def fit(labelled: DataFrame, bits: int = BITS, epochs: int = 2) -> np.ndarray:
+    """Weights (2^bits and a bias, a size fixed by `bits`) from rows (text, label, order): a bounded number of them, they meet in one task."""
+    chosen = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("double").alias("label"), "order").repartition(1).sortWithinPartitions("order", "label")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features, model, kept = Features(bits), Ftrl(bits), []
@@ -112,7 +112,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", m
                 model.learn(*kept[k])
         yield pd.DataFrame({"weights": [model.weights().tobytes()]})
 
-    held = chosen.select("text", "label").coalesce(1).mapInPandas(run, "weights binary").collect()
+    held = chosen.select("text", "label").mapInPandas(run, "weights binary").collect()
     return np.frombuffer(held[0]["weights"], np.float32) if held else np.zeros((1 << bits) + 1, np.float32)
 
 
@@ -136,8 +136,9 @@ def apply(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col:
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
     """id, held_out, score, predicted: learns from labelled rows whose crc32 remainder is not 0, scores every row."""
     held_out = F.coalesce(crc_bucket(F.col(id_col)) == 0, F.lit(False))
-    known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("label")).filter("label_id is not null and label is not null")
-    learnt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, F.col("id") == F.col("label_id")).filter(~(crc_bucket(F.col("id")) == 0))
-    weights = fit(learnt, max_rows=max_rows)
+    known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("label")).filter("label_id is not null and label is not null").filter(crc_bucket(F.col("label_id")) != 0)
+    sample = known.withColumn("order", F.xxhash64(F.col("label_id"), F.lit(17))).orderBy("order", "label").limit(max_rows)
+    learnt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("id") == F.col("label_id"))  # max_rows rows
+    weights = fit(learnt)
     scored = apply(docs, weights, id_col, text_col)
     return scored.select(id_col, held_out.alias("held_out"), "score", "predicted")
