@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from provena.plans.queries import ALL
+    from provena.plans.driver import ALL
 
     return {f.__name__: f for f in ALL}
 
