@@ -337,6 +337,18 @@ def test_near_duplicates_against_brute_force(spark, leaf):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_duplicates_of_a_long_template(spark):
+    # any two documents share the template (J = 96/136 = 0.71); those of a pair four more words (100/132 = 0.757)
+    rng = random.Random(20)
+    template = words(rng, 100)
+    rows = []
+    for k in range(1200):
+        own = [f"p{k}x{j}" for j in range(4)]
+        rows += [(2 * k + side, " ".join([*template, *own, *(f"q{k}s{side}x{j}" for j in range(16))])) for side in (0, 1)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, i - i % 2) for i in range(2400)]
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     got = near_dup.near_duplicates(odd)
     assert got.count() == len(ODD)
