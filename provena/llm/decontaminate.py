@@ -3,13 +3,20 @@
 Texts and benchmark items become sequences of template tokens: A-Z lower-cased words without edge
 punctuation, in which numbers, names (capitalised words inside a sentence) and units turn into the
 typed placeholders <num>, <name>, <unit>. Windows of `window` template tokens are hashed and joined
-with those of the benchmark. A hit must then be slot-consistent: over all windows that a document
-shares with an item at one alignment, each slot value of the item stands for one value in the
-document, and no two of the item's values of a type for the same one. So a question with other
-numbers or names is caught, and a chance meeting of placeholder-rich windows is not.
+with those of the benchmark. A hit must then be slot-consistent: over the windows that a document
+shares with an item, each slot value of the item stands for one value in the document, and no two
+of the item's values of a type for the same one; windows over slots that break this are dropped (a
+slot with the item's own value breaks nothing). So a question with other numbers or names is
+caught, and a chance meeting of placeholder-rich windows is not.
+
+A capitalised word that starts a line or sentence may be a name or not: it has both forms. In the
+benchmark windows have every choice of forms, in documents all such words are plain or all are
+names. A word that is a name inside a sentence of any item is one everywhere, whatever its case.
 
 A document is contaminated by an item if consistent windows cover `min_share` of the item's
-template tokens and at least min(len(item), `min_tokens`) of them.
+template tokens and at least min(len(item), `min_tokens`) of them, or `min_run` tokens in a row.
+The parts of a passage on the sides of inserted or deleted words add up: windows at different
+alignments count together while they follow each other within the item's length.
 
 The benchmark's windows are broadcast only while they number at most `max_broadcast` (16 bytes
 each); beyond, windows of documents and items meet in a shuffled join. Both ways feed the same
@@ -25,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -38,6 +45,7 @@ from provena.llm.common import LOWER, UPPER, mix64
 WINDOW = 8
 MIN_SHARE = 0.5
 MIN_TOKENS = 12
+MIN_RUN = 13
 MAX_BROADCAST = 2_000_000
 FOLD = str.maketrans(UPPER, LOWER)
 NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*%?$|\d+(?:st|nd|rd|th)$")
@@ -49,21 +57,24 @@ CACHE = 300_000
 
 
 class Template:
-    """Template tokens of texts, as hashes; words that were met are remembered."""
+    """Template tokens of texts, as hashes; words that were met are remembered. names: hashes of words that are names in any place and case."""
 
-    def __init__(self) -> None:
+    def __init__(self, names: frozenset[int] = frozenset()) -> None:
+        self.names = names
         self.known: dict[str, tuple[int, int, bool]] = {}
         self.slots = [xxhash.xxh64_intdigest(k) for k in KINDS]
 
     def word(self, word: str) -> tuple[int, int, bool]:
-        """(hash of the lower-cased word, kind: 0 plain, 1 number, 2 capitalised, 3 unit; ends a sentence)."""
+        """(hash of the lower-cased word, kind: 0 plain, 1 number, 2 capitalised, 3 unit, 4 of the names; ends a sentence)."""
         bare = word.strip(EDGE) or word
         low = bare.translate(FOLD)
         kind = 1 if NUMBER.match(bare) or low in NUMBER_WORDS else 3 if low in UNITS else 2 if bare[:1].isupper() and bare[1:].islower() else 0
-        return xxhash.xxh64_intdigest(low), kind, word[-1:] in ".!?:;…" or word.endswith((".\"", ".”", "!”", "?”"))
+        value = xxhash.xxh64_intdigest(low)
+        kind = 4 if kind in (0, 2) and value in self.names else kind
+        return value, kind, word[-1:] in ".!?:;…" or word.endswith((".\"", ".”", "!”", "?”"))
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Template hashes, values (hashes of the words), slot kinds (0: none)."""
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Template hashes, values (hashes of the words), slot kinds (0: none), and which plain tokens may also be names."""
         known = self.known
         if len(known) > CACHE:
             known.clear()
@@ -79,15 +90,21 @@ class Template:
                 kinds.append(found[1] + 8 * found[2])
         value, coded = np.array(values, np.uint64), np.array(kinds, np.int8)
         kind = coded & 7
+        either = np.zeros(len(kind), bool)
         if len(kind):
             first = np.zeros(len(kind), bool)
             first[1:] = coded[:-1] >= 8
             first[[s for s in starts if s < len(kind)]] = True
-            kind[(kind == 2) & first] = 0
+            either = (kind == 2) & first
+            kind[either] = 0
+            kind[kind == 4] = 2
         template = value.copy()
         for k, code in ((1, self.slots[0]), (2, self.slots[1]), (3, self.slots[2])):
             template[kind == k] = code
-        return template, value, kind
+        return template, value, kind, either
+
+    def as_names(self, template: np.ndarray, either: np.ndarray) -> np.ndarray:
+        return np.where(either, np.uint64(self.slots[1]), template)
 
 
 def windows(template: np.ndarray, size: int) -> np.ndarray:
@@ -100,11 +117,48 @@ def windows(template: np.ndarray, size: int) -> np.ndarray:
     return mix64(codes + np.uint64(size))
 
 
+def own_names(text: str | None) -> set[int]:
+    """Values of the names inside the sentences of an item."""
+    _, value, kind, _ = Template().of(text if isinstance(text, str) else "")
+    return set(value[kind == 2].tolist())
+
+
+def near_either(either: np.ndarray, size: int) -> np.ndarray:
+    """Places of the windows that hold a token of two forms."""
+    total = np.concatenate([[0], np.cumsum(either)])
+    return np.flatnonzero(total[size:] > total[:-size]) if len(either) >= size else np.zeros(0, int)
+
+
+def doc_windows(make: Template, parts: tuple, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and places of a document's windows, with the words of two forms all plain and all names."""
+    codes = windows(parts[0], size)
+    at = near_either(parts[3], size)
+    if not len(at):
+        return codes, np.arange(len(codes))
+    return np.concatenate([codes, windows(make.as_names(parts[0], parts[3]), size)[at]]), np.concatenate([np.arange(len(codes)), at])
+
+
+def item_windows(make: Template, parts: tuple, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and places of an item's windows, with every choice for the words of two forms."""
+    codes, places = [windows(parts[0], size)], [np.arange(len(parts[0]) - size + 1)]
+    named = make.as_names(parts[0], parts[3])
+    for at in near_either(parts[3], size).tolist():
+        open_ = np.flatnonzero(parts[3][at : at + size])
+        for choice in product((False, True), repeat=len(open_)):
+            if any(choice):
+                part = parts[0][at : at + size].copy()
+                use = open_[list(choice)]
+                part[use] = named[at + use]
+                codes.append(windows(part, size))
+                places.append(np.array([at]))
+    return np.concatenate(codes), np.concatenate(places)
+
+
 class Items:
     """The benchmark in template form, with an index of its windows."""
 
-    def __init__(self, rows: Sequence[tuple[object, str | None]], window: int):
-        make = Template()
+    def __init__(self, rows: Sequence[tuple[object, str | None]], window: int, names: frozenset[int] | None = None):
+        self.make = make = Template(frozenset().union(*(own_names(t) for _, t in rows)) if names is None else names)
         self.keys, self.parts, codes, owner, place = [], [], [], [], []
         self.sizes: set[int] = set()
         for key, text in rows:
@@ -112,11 +166,11 @@ class Items:
             if not len(parts[0]):
                 continue
             size = min(window, len(parts[0]))
-            found = windows(parts[0], size)
+            found, at = item_windows(make, parts, size)
             self.sizes.add(size)
             codes.append(found)
             owner.append(np.full(len(found), len(self.keys)))
-            place.append(np.arange(len(found)))
+            place.append(at)
             self.keys.append(key)
             self.parts.append((*parts, size))
         flat = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
@@ -124,49 +178,82 @@ class Items:
         self.codes = flat[order]
         self.owner = np.concatenate(owner)[order] if codes else np.zeros(0, int)
         self.place = np.concatenate(place)[order] if codes else np.zeros(0, int)
+        #: Low bits of the codes: most windows of documents end here.
+        self.bits = np.uint64((1 << max(16, (8 * len(flat)).bit_length())) - 1)
+        self.maybe = np.zeros(int(self.bits) + 1, bool)
+        self.maybe[(flat & self.bits).astype(np.int64)] = True
 
-    def matches(self, parts: tuple[np.ndarray, np.ndarray, np.ndarray], min_share: float, min_tokens: int) -> list[tuple[object, int]]:
+    def matches(self, parts: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], min_share: float, min_tokens: int, min_run: int = MIN_RUN) -> list[tuple[object, int]]:
         """(item key, tokens covered) of the items that contaminate a document."""
-        covered: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        met: dict[int, set[tuple[int, int]]] = {}
         for size in self.sizes:
-            codes = windows(parts[0], size)
+            codes, places = doc_windows(self.make, parts, size)
             if not len(codes) or not len(self.codes):
                 continue
+            some = np.flatnonzero(self.maybe[(codes & self.bits).astype(np.int64)])
+            codes, places = codes[some], places[some]
             low = np.searchsorted(self.codes, codes)
             hit = self.codes[np.minimum(low, len(self.codes) - 1)] == codes
-            for at in np.flatnonzero(hit):
-                k = low[at]
-                while k < len(self.codes) and self.codes[k] == codes[at]:
-                    if self.parts[self.owner[k]][3] == size:
-                        covered.setdefault((int(self.owner[k]), int(at - self.place[k])), []).append((int(self.place[k]), size))
+            for i in np.flatnonzero(hit):
+                k = low[i]
+                while k < len(self.codes) and self.codes[k] == codes[i]:
+                    if self.parts[self.owner[k]][4] == size:
+                        met.setdefault(int(self.owner[k]), set()).add((int(places[i]), int(self.place[k])))
                     k += 1
-        found: dict[int, int] = {}
-        for (item, shift), spans in covered.items():
-            tokens = sorted(set(chain.from_iterable(range(s, s + n) for s, n in spans)))
-            if consistent(self.parts[item], parts, tokens, shift):
-                found[item] = max(found.get(item, 0), len(tokens))
         out = []
-        for item, n in sorted(found.items()):
+        for item, hits in sorted(met.items()):
+            n, run = covered(self.parts[item], parts, hits)
             whole = len(self.parts[item][0])
-            if n >= min_share * whole and n >= min(whole, min_tokens):
+            if (n >= min_share * whole and n >= min(whole, min_tokens)) or run >= min_run:
                 out.append((self.keys[item], n))
         return out
 
 
-def consistent(item: tuple, doc: tuple, tokens: Sequence[int], shift: int) -> bool:
-    """Whether slot values map one to one between the item's tokens and the document's."""
-    there: dict[tuple[int, int], int] = {}
-    back: dict[tuple[int, int], int] = {}
-    for t in tokens:
-        kind = int(item[2][t])
+def covered(item: tuple, doc: tuple, hits: set[tuple[int, int]]) -> tuple[int, int]:
+    """Most tokens of the item that consistent windows cover in one stretch of the document, and the longest run of them at one alignment; hits: (place in the document, in the item)."""
+    stretches: list[list[tuple[int, int]]] = []
+    for at, place in sorted(hits):
+        if not stretches or at - stretches[-1][-1][0] > len(item[0]):
+            stretches.append([])
+        stretches[-1].append((at, place))
+    most = longest = 0
+    for stretch in stretches:
+        shifts: dict[int, list[int]] = {}
+        for at, place in stretch:
+            shifts.setdefault(at - place, []).append(place)
+        bound, tokens = ({}, {}), set()
+        # the alignment with most windows settles what slots stand for
+        for shift, places in sorted(shifts.items(), key=lambda x: (-len(x[1]), x[0])):
+            own = consistent(item, doc, places, shift, bound)
+            tokens |= own
+            run, last = 0, None
+            for t in sorted(own):
+                run = run + 1 if last == t - 1 else 1
+                longest, last = max(longest, run), t
+        most = max(most, len(tokens))
+    return most, longest
+
+
+def consistent(item: tuple, doc: tuple, places: Sequence[int], shift: int, bound: tuple[dict, dict]) -> set[int]:
+    """The item's tokens in its windows at `places` whose slot values map one to one to the document's, also with the maps in `bound`, which grow."""
+    size, pairs = item[4], {}
+    for t in {t for p in places for t in range(p, p + size)}:
+        kind = 2 if item[3][t] else int(item[2][t])
         if kind:
-            a, b = int(item[1][t]), int(doc[1][t + shift])
-            if there.setdefault((kind, a), b) != b or back.setdefault((kind, b), a) != a:
-                return False
-    return True
-
-
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, min_share: float = MIN_SHARE, min_tokens: int = MIN_TOKENS, max_broadcast: int = MAX_BROADCAST, carry: Sequence[str] = ()) -> DataFrame:
+            pairs[t] = (kind, int(item[1][t])), (kind, int(doc[1][t + shift]))
+    there, back = {a: {b} for a, b in bound[0].items()}, {b: {a} for b, a in bound[1].items()}
+    for a, b in pairs.values():
+        there.setdefault(a, set()).add(b)
+        back.setdefault(b, set()).add(a)
+    broken = {t for t, (a, b) in pairs.items() if a != b and (len(there[a]) > 1 or len(back[b]) > 1)}
+    kept = {t for p in places if broken.isdisjoint(range(p, p + size)) for t in range(p, p + size)}
+    for t in kept & pairs.keys():
+        bound[0].setdefault(pairs[t][0], pairs[t][1])
+        bound[1].setdefault(pairs[t][1], pairs[t][0])
+    return kept
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, min_share: float = MIN_SHARE, min_tokens: int = MIN_TOKENS, max_broadcast: int = MAX_BROADCAST, carry: Sequence[str] = (), min_run: int = MIN_RUN) -> DataFrame:
     """id, the columns in `carry`, item_ids, n_tokens (of the best item) for each row; item_ids is empty for clean rows."""
     carried = [c for c in dict.fromkeys([id_col, *carry])]
     picked = docs.select(*[F.col(f"`{c}`").alias(f"in_{k}") for k, c in enumerate(carried)], F.col(f"`{text_col}`").alias("in_text"))
@@ -175,13 +262,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     names = [F.col(f"in_{k}").alias(c) for k, c in enumerate(carried)]
     n_windows = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     if n_windows > max_broadcast:
-        return _joined(picked, items, head, window, min_share, min_tokens).select(*names, "item_ids", "n_tokens")
+        return _joined(picked, items, head, window, min_share, min_tokens, min_run).select(*names, "item_ids", "n_tokens")
     held = docs.sparkSession.sparkContext.broadcast(Items([(r["item"], r["text"]) for r in items.orderBy("item").collect()], window))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make, known = Template(), held.value
+        known = held.value
+        make = Template(known.make.names)
         for batch in batches:
-            found = [known.matches(make.of(t if isinstance(t, str) else ""), min_share, min_tokens) for t in batch["in_text"]]
+            found = [known.matches(make.of(t if isinstance(t, str) else ""), min_share, min_tokens, min_run) for t in batch["in_text"]]
             out = batch.drop(columns="in_text")
             out["item_ids"], out["n_tokens"] = [[k for k, _ in f] for f in found], [max((n for _, n in f), default=0) for f in found]
             yield out
@@ -189,19 +277,29 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return picked.mapInPandas(run, f"{head}, item_ids array<long>, n_tokens long").select(*names, "item_ids", "n_tokens")
 
 
-def _joined(picked: DataFrame, items: DataFrame, head: str, window: int, min_share: float, min_tokens: int) -> DataFrame:
+def _joined(picked: DataFrame, items: DataFrame, head: str, window: int, min_share: float, min_tokens: int, min_run: int) -> DataFrame:
     """The way for benchmarks too large to broadcast: windows meet in a shuffled join, then each document is checked against the items it met."""
 
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = set().union(*map(own_names, batch["text"]))
+            yield pd.DataFrame({"name": np.array(sorted(found), np.uint64).view(np.int64)})
+
+    # a vocabulary: it grows far slower than the benchmark
+    words = items.select("text").mapInPandas(named, "name long").distinct().collect()
+    names = picked.sparkSession.sparkContext.broadcast(frozenset(r["name"] % (1 << 64) for r in words))
+
     def coded(own_size: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            make = Template()
+            make = Template(names.value)
             for batch in batches:
                 rows = []
                 for key, text in zip(batch["key"], batch["text"], strict=True):
-                    template = make.of(text if isinstance(text, str) else "")[0]
-                    sizes = {min(window, len(template))} if own_size else range(1, min(window, len(template)) + 1)
-                    for size in sizes:
-                        rows += [(key, int(c)) for c in np.unique(windows(template, size)).astype(np.int64)]
+                    parts = make.of(text if isinstance(text, str) else "")
+                    whole = len(parts[0])
+                    for size in {min(window, whole)} - {0} if own_size else range(1, min(window, whole) + 1):
+                        codes = (item_windows if own_size else doc_windows)(make, parts, size)[0]
+                        rows += [(key, int(c)) for c in np.unique(codes).astype(np.int64)]
                 yield pd.DataFrame(rows, columns=["key", "code"])
 
         return run
@@ -214,11 +312,11 @@ def _joined(picked: DataFrame, items: DataFrame, head: str, window: int, min_sha
     met = pairs.join(items.withColumnRenamed("text", "item_text"), "item").join(docs, "key")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make = Template()
+        make = Template(names.value)
         for batch in batches:
             rows = []
             for key, text, item, item_text in zip(batch["key"], batch["text"], batch["item"], batch["item_text"], strict=True):
-                rows += [(key, text, *m) for m in Items([(item, item_text)], window).matches(make.of(text), min_share, min_tokens)]
+                rows += [(key, text, *m) for m in Items([(item, item_text)], window, names.value).matches(make.of(text), min_share, min_tokens, min_run)]
             yield pd.DataFrame(rows, columns=["key", "text", "item", "n"])
 
     found = met.select("key", "text", "item", "item_text").mapInPandas(check, "key long, text string, item long, n long")

@@ -406,6 +406,30 @@ def test_decontamination_finds_copies_and_new_parameters(spark):
     assert decontaminate.drop_contaminated(docs, bench).columns == docs.columns
 
 
+def found_items(spark, rows, bench):
+    """Contaminating items by document; the broadcast and the joined way must agree."""
+    docs, items = spark.createDataFrame([(i, t, "") for i, t in rows], DOCS), spark.createDataFrame(bench, "item_id long, text string")
+    one, two = ({r["doc_id"]: list(r["item_ids"]) for r in decontaminate.matches(docs, items, max_broadcast=n).collect()} for n in (decontaminate.MAX_BROADCAST, 0))
+    assert one == two
+    return one
+
+
+def test_decontamination_joins_the_parts_of_a_passage(spark):
+    plain = lambda tag, n: [f"{tag}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(n)]
+    item, long = plain("w", 39), plain("l", 130)
+    twice = [*plain("n", 10), "12", *plain("o", 14), "12", *plain("p", 10)]
+    wrap = lambda ws: " ".join([*plain("x", 20), *ws, *plain("y", 20)])
+    rows = [(1, wrap(item[:19] + item[20:])), (2, wrap([*item[:13], "extra", *item[13:26], "more", *item[26:]])), (3, wrap(long[30:90])), (4, wrap([*twice[:25], "13", *twice[26:]])), (5, wrap(item[:9])), (6, wrap(long[:12]))]
+    assert found_items(spark, rows, [(1, " ".join(item)), (2, " ".join(long)), (3, " ".join(twice))]) == {1: [1], 2: [1], 3: [2], 4: [3], 5: [], 6: []}
+
+
+def test_decontamination_finds_names_in_any_place_and_case(spark):
+    ask = "{} has {} apples. {} has {} apples. {} gives {} {} apples. How many apples does {} have?"
+    item = ask.format("Tom", 5, "Mary", 7, "Tom", "Mary", 2, "Tom")
+    rows = [(1, ask.format("Jim", 8, "Lucy", 9, "Jim", "Lucy", 4, "Jim")), (2, item.lower()), (3, ITEM.upper()), (4, "Some other text about apples. It has no question in it, and many more words than the item has.")]
+    assert found_items(spark, rows, [(1, item), (2, ITEM)]) == {1: [1], 2: [1], 3: [2], 4: []}
+
+
 def test_decontamination_odd_rows(odd, empty, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.matches(odd, none).filter(F.size("item_ids") > 0).count() == 0
