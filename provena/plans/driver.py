@@ -230,7 +230,7 @@ def rank_dedupe_argmin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def name_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    name = fn.normalize_name(F.concat(F.substring("text", 1, 60), F.lit(" & (x) of the "), F.col("source")))
+    name = fn.normalize_name(F.concat(F.col("text"), F.lit(" & (x) of the "), F.col("source")))
     return d.select("doc_id", name.alias("norm"), fn.simple_name(name).alias("simple"))
 
 

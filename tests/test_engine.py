@@ -332,3 +332,13 @@ def test_stream(spark, table, tmp_path):
     table(sc.EVIDENCE, evidence(text="Tuition fee for international student is USD 20,000. " * 20)).drop(sc.ORDER).write.parquet(f"{tmp_path}/in")
     streaming.facts_stream(streaming.read_evidence(spark, f"{tmp_path}/in"), table(sc.SOURCE, source()), f"{tmp_path}/out", f"{tmp_path}/ck", NOW).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").filter("fact_type = 'tuition'").count() > 0
+
+
+def test_name_normalize_reads_the_whole_text(spark, tmp_path):
+    from provena.plans import driver
+
+    text = " ".join(f"Café word{k} (x{k}) at" for k in range(200))
+    spark.createDataFrame([(1, text, "s1")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = driver.name_normalize(spark, str(tmp_path)).first()
+    assert got["norm"] == " ".join(f"cafe word{k} at" for k in range(200)) + " and of the s1"
+    assert got["simple"] == " ".join(f"cafe word{k}" for k in range(200)) + " s1"
