@@ -1,17 +1,18 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
-A byte-context trie is learnt from training texts: for every context of up to `ORDER` bytes the
+A byte-context trie is learnt from training texts: for every context of up to `order` bytes the
 counts of the bytes that follow. A text's score is its log10 probability, byte by byte and with an
 end symbol. A byte that a context has not seen costs an escape (method C: distinct followers over
 total plus distinct), after which the next shorter context is asked with the symbols of the longer
 one excluded. Since a shorter context has seen whatever a longer one has, the excluded mass is a
-property of the longer context and is kept in its trie node; so the probability of a byte depends
-on its last ORDER+1 bytes only, and is worked out once for each distinct such gram of a block.
+property of the longer context; so the probability of a byte depends on its last order+1 bytes
+only, and is worked out once for each distinct such gram of the corpus, in the trie's own joins.
 
 The trie and the vocabulary grow with the corpus, so neither is collected nor broadcast. Texts are
-packed into compressed blocks of some MB; a block lists its distinct words and trie nodes, those
-keys meet the global counts in a shuffle, and the answers go back to the block, which then scores
-its texts. Beside the trie the same exchange serves a smoothed unigram model over words (`base`).
+packed into compressed blocks of some MB; a block lists its distinct words and grams, those keys
+meet the global counts and scores in a shuffle, and one number for each goes back to the block,
+which then scores its texts. Beside the trie the same exchange serves a smoothed unigram model over
+words (`base`).
 
 Defined results: a null text counts as empty (its tokens are the end alone); a null id counts as
 training; repeated rows all count; with nothing to learn from, bytes are uniform; an empty table
@@ -20,224 +21,202 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import pickle
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provena.llm.common import crc_bucket, cut, shared_dir
+from provena.llm.common import Words, crc_bucket, cut, drop
 
+#: Bytes of the longest context; up to 6. A longer one costs distinct grams, of which each block exchanges a row.
 ORDER = 3
-GRAM = ORDER + 1
 END, PAD = 0xFE, 0xFF
 SYMBOLS = 256
 BLOCK_BYTES = 8 << 20
-WORD, NODE, TEXT = 0, 1, 2
-END_KEY = xxhash.xxh64_intdigest(b"\xfe") - (1 << 63)
+WORD, GRAM, TEXT = 0, 1, 2
+#: Codes up to this number are told apart by a table, beyond by sorting.
+TABLE = 1 << 26
 
 
-def node_code(grams: np.ndarray, size: int) -> np.ndarray:
-    """Keys of the trie nodes that the last `size` bytes of grams name."""
-    return (grams.astype(np.int64) & ((1 << 8 * size) - 1)) | (size << 56)
+def relabelled(codes: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes in order, and each code's place among them."""
+    if bound > TABLE:
+        seen, at = np.unique(codes, return_inverse=True)
+        return seen, at.astype(np.int32)
+    table = np.zeros(bound, bool)
+    table[codes] = True
+    seen = np.flatnonzero(table)
+    place = np.zeros(bound, np.int32)
+    place[seen] = np.arange(len(seen), dtype=np.int32)
+    return seen, place[codes]
 
 
 class Block:
-    """Texts in numeric form: words as numbers into `words`, grams as numbers into `grams`."""
-
-    def __init__(self, texts: list[bytes], trains: np.ndarray):
-        ids: dict[bytes, int] = {b"\xfe": 0}
-        flat, ends = [], []
-        for text in texts:
-            flat += [ids.setdefault(w, len(ids)) for w in text.lower().split()]
-            flat.append(0)
-            ends.append(len(flat))
-        self.word_at = np.array(flat, np.int64)
-        self.word_starts = np.array([0, *ends[:-1]], np.int64)
-        self.n_words = np.diff([0, *ends])
-        keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in ids), np.uint64, len(ids))
-        self.word_keys = keys.view(np.int64) ^ np.int64(-(1 << 63))
-        self.word_train = np.bincount(self.word_at[np.repeat(trains, self.n_words)], minlength=len(ids))
-        body = np.frombuffer(b"".join(bytes([PAD] * ORDER) + t + bytes([END]) for t in texts), np.uint8)
-        sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        starts = np.cumsum(sizes + ORDER) - (sizes + ORDER)
+    """Texts (an Arrow array) in numeric form: words as numbers into word_keys, grams of order+1 bytes as numbers into grams."""
+
+    def __init__(self, texts: pa.Array, order: int):
+        words = Words(pc.ascii_lower(texts))
+        # the end of a text is a token; no text has its byte
+        self.word_keys = np.append(words.hashes(), np.uint64(0)).view(np.int64)
+        self.word_at = np.insert(words.codes, words.starts[1:], len(self.word_keys) - 1)
+        self.n_words = np.diff(words.starts) + 1
+        self.word_starts = np.cumsum(self.n_words) - self.n_words
+        raw = [t.as_buffer() if t.is_valid else b"" for t in texts.cast(pa.binary())]
+        self.n_bytes = np.array([len(t) for t in raw], np.int64)
+        self.sizes = self.n_bytes + 1
+        body = np.frombuffer(b"".join(x for t in raw for x in (bytes([PAD] * order), t, bytes([END]))), np.uint8)
+        self.gram_starts = np.cumsum(self.sizes) - self.sizes
         inside = np.ones(len(body), bool)
-        for k in range(ORDER):
+        starts = np.cumsum(self.sizes + order) - (self.sizes + order)
+        for k in range(order):
             inside[starts + k] = False
-        pairs = (body[:-1].astype(np.int32) << 8) | body[1:]
-        used = np.flatnonzero(np.bincount(pairs, minlength=1 << 16))
-        dense = np.zeros(1 << 16, np.int64)
-        dense[used] = np.arange(len(used))
-        at = np.flatnonzero(inside)
-        first, last = dense[pairs[at - 3]], dense[pairs[at - 1]]
-        code = first * len(used) + last
-        if len(used) ** 2 <= 1 << 24:
-            seen = np.flatnonzero(np.bincount(code, minlength=len(used) ** 2))
-            place = np.zeros(len(used) ** 2, np.int32)
-            place[seen] = np.arange(len(seen))
-            self.gram_at = place[code]
-        else:
-            seen, self.gram_at = np.unique(code, return_inverse=True)
-        self.grams = (used[seen // len(used)].astype(np.int64) << 16) | used[seen % len(used)]
-        self.gram_starts = np.cumsum(sizes) - sizes
-        self.gram_train = np.bincount(self.gram_at[np.repeat(trains, sizes)], minlength=len(seen))
+        at = np.flatnonzero(inside).astype(np.int32)
+        alphabet, dense = relabelled(body, 256)
+        label, grams = dense[at - order], alphabet.astype(np.int64)
+        for k in range(order - 1, -1, -1):
+            code = label * np.int32(len(alphabet)) if len(grams) * len(alphabet) < 1 << 31 else label.astype(np.int64) * len(alphabet)
+            code += dense[at - k]
+            seen, label = relabelled(code, len(grams) * len(alphabet))
+            grams = (grams[seen // len(alphabet)] << 8) | alphabet[seen % len(alphabet)]
+        self.grams, self.gram_at = grams, label
+
 
+def packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
 
-def packed(ids: list, texts: list[bytes], trains: list[bool]) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps((ids, texts, trains), protocol=4))
 
+def unpacked(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
 
-def blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
-    """(block, kind, key, n, body): a TEXT row for each block, WORD and NODE rows for its distinct words and grams with their training counts."""
 
-    def made(ids: list, texts: list[bytes], trains: list[bool]) -> Iterator[pd.DataFrame]:
+def blocks(rows: DataFrame, order: int, block_bytes: int) -> DataFrame:
+    """(block, kind, key, at, n, body) of rows (id, text, train): a TEXT row for each block, WORD and GRAM rows for its distinct words and grams, numbered, with their training counts."""
+    schema = "block long, kind int, key long, at int, n long, body binary"
+
+    def made(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = uuid.uuid4().int >> 65
-        own = Block(texts, np.array(trains, bool))
-        yield pd.DataFrame({"block": [name], "kind": [TEXT], "key": [0], "n": [len(ids)], "body": [packed(ids, texts, trains)]})
-        for kind, keys, counts in ((WORD, own.word_keys, own.word_train), (NODE, node_code(own.grams, GRAM), own.gram_train)):
-            for at in range(0, len(keys), 100_000):
-                yield pd.DataFrame({"block": name, "kind": kind, "key": keys[at : at + 100_000], "n": counts[at : at + 100_000], "body": None})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, texts, trains, held = [], [], [], 0
+        table = pa.Table.from_batches(held).combine_chunks()
+        train = table["train"].to_numpy()
+        own = Block(table["text"].combine_chunks() if isinstance(table["text"], pa.ChunkedArray) else table["text"], order)
+
+        def out(kind: int, keys: np.ndarray, counts: np.ndarray, body: bytes | None = None) -> pa.RecordBatch:
+            n = len(keys)
+            arrays = [pa.array(np.full(n, name, np.int64)), pa.array(np.full(n, kind, np.int32)), pa.array(keys), pa.array(np.arange(n, dtype=np.int32)), pa.array(counts.astype(np.int64)), pa.array([body] * n, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["block", "kind", "key", "at", "n", "body"])
+
+        yield out(TEXT, np.zeros(1, np.int64), np.array([table.num_rows]), packed(table))
+        yield out(WORD, own.word_keys, np.bincount(own.word_at[np.repeat(train, own.n_words)], minlength=len(own.word_keys)))
+        yield out(GRAM, own.grams, np.bincount(own.gram_at[np.repeat(train, own.sizes)], minlength=len(own.grams)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for key, text, train in zip(batch["id"], batch["text"], batch["train"], strict=True):
-                raw = text.encode("utf-8", "replace") if isinstance(text, str) else b""
-                ids.append(None if pd.isna(key) else key)
-                texts.append(raw)
-                trains.append(bool(train))
-                held += len(raw) + 64
-                if held >= block_bytes:
-                    yield from made(ids, texts, trains)
-                    ids, texts, trains, held = [], [], [], 0
-        if ids:
-            yield from made(ids, texts, trains)
-
-    return rows.mapInPandas(run, "block long, kind int, key long, n long, body binary")
-
-
-def trie(grams: DataFrame) -> DataFrame:
-    """(key, count, total, distinct, excluded) for each trie node, from the longest grams (key, n).
-
-    count: how often the node's last byte followed its context. As a context: total and distinct
-    of what followed it, and excluded, the count that those symbols have in the next shorter context.
-    """
-    mask = lambda size: F.lit((1 << 8 * size) - 1)
-    byte = (1 << 56) - 1
-    level = grams.groupBy("key").agg(F.sum("n").alias("count")).filter("count > 0")
-    levels = {GRAM: level}
-    for size in range(GRAM - 1, 0, -1):
-        levels[size] = levels[size + 1].groupBy(((F.col("key").bitwiseAND(mask(size))).bitwiseOR(F.lit(size << 56))).alias("key")).agg(F.sum("count").alias("count"))
-    out = None
-    for size in range(GRAM, 0, -1):
-        own = levels[size]
-        # children of a context of size-1 bytes are the nodes of size bytes
-        context = (F.shiftright(F.col("key").bitwiseAND(F.lit(byte)), 8)).bitwiseOR(F.lit((size - 1) << 56))
-        if size > 1:
-            shorter = levels[size - 1].select(F.col("key").alias("short"), F.col("count").alias("short_count"))
-            own = own.withColumn("short", (F.col("key").bitwiseAND(mask(size - 1))).bitwiseOR(F.lit((size - 1) << 56))).join(shorter, "short")
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                held.append(part)
+                size += (pc.sum(pc.binary_length(part.column("text"))).as_py() or 0) + 64 * part.num_rows
+                if size >= block_bytes:
+                    yield from made(held)
+                    held, size = [], 0
+        if held:
+            yield from made(held)
+
+    return rows.mapInArrow(run, schema)
+
+
+def suffix(key: str | Column, size: int) -> Column:
+    """The last `size` bytes of a gram."""
+    return (F.col(key) if isinstance(key, str) else key).bitwiseAND(F.lit((1 << 8 * size) - 1))
+
+
+def gram_scores(grams: DataFrame, order: int) -> DataFrame:
+    """(key, value): log10 probability of the last byte of each distinct gram of order+1 bytes, from rows (key, n)."""
+    longest = cut(grams.groupBy("key").agg(F.sum("n").alias("count")))
+    levels = {order + 1: longest.filter("count > 0")}
+    for size in range(order, 0, -1):
+        levels[size] = cut(levels[size + 1].groupBy(suffix("key", size).alias("key")).agg(F.sum("count").alias("count")))
+
+    def contexts(size: int) -> DataFrame:
+        """(context, total, distinct, excluded): what followed contexts of `size` bytes, and the count that those symbols have in the next shorter context."""
+        own = levels[size + 1]
+        if size:
+            short = levels[size].select(F.col("key").alias("short"), F.col("count").alias("short_count"))
+            own = own.withColumn("short", suffix("key", size)).join(short, "short")
         else:
             own = own.withColumn("short_count", F.lit(0).cast("long"))
-        as_context = own.groupBy(context.alias("key")).agg(F.lit(0).cast("long").alias("count"), F.sum("count").alias("total"), F.count("*").alias("distinct"), F.sum("short_count").alias("excluded"))
-        as_node = levels[size].select("key", "count", *[F.lit(0).cast("long").alias(c) for c in ("total", "distinct", "excluded")])
-        both = as_context.unionByName(as_node)
-        out = both if out is None else out.unionByName(both)
-    return out.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("count", "total", "distinct", "excluded")])
-
-
-def gram_scores(grams: np.ndarray, keys: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """log10 probability of the last byte of each gram; keys sorted, table rows (count, total, distinct, excluded)."""
-
-    def rows(codes: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros((len(codes), 4))
-        at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
-        return np.where((keys[at] == codes)[:, None], table[at], 0.0)
-
-    n = len(grams)
-    score, done = np.zeros(n), np.zeros(n, bool)
-    gone_total, gone_distinct = np.zeros(n), np.zeros(n)
-    for size in range(ORDER, -1, -1):
-        context = rows(node_code(grams >> 8, size))
-        count = rows(node_code(grams, size + 1))[:, 0]
-        total, distinct = context[:, 1] - gone_total, context[:, 2] - gone_distinct
-        seen = ~done & (distinct > 0)
-        hit = seen & (count > 0)
-        both = np.maximum(total + distinct, 1)
-        score[hit] += np.log10(count[hit] / both[hit])
-        escape = seen & ~hit
-        score[escape] += np.log10(distinct[escape] / both[escape])
-        done |= hit
-        asked = context[:, 2] > 0
+        return own.groupBy(F.shiftright("key", 8).alias("context")).agg(F.sum("count").alias("total"), F.count("*").alias("distinct"), F.sum("short_count").alias("excluded"))
+
+    stats = {size: cut(contexts(size)) for size in range(order, -1, -1)}
+    share = lambda part, whole: F.log10(part / whole)
+    seen = levels[order + 1].withColumn("context", F.shiftright("key", 8)).join(stats[order], "context").select("key", share(F.col("count"), F.col("total") + F.col("distinct")).alias("value"))
+    # grams that training has not seen walk down the contexts; done: the level that has seen the byte
+    zero = F.lit(0).cast("long")
+    left = longest.filter("count = 0").select("key", F.lit(0.0).alias("value"), zero.alias("gone_total"), zero.alias("gone_distinct"), F.lit(False).alias("done"))
+    for size in range(order, -1, -1):
+        left = left.withColumn("context", suffix(F.shiftright("key", 8), size)).join(stats[size], "context", "left").drop("context")
+        if size < order:
+            node = levels[size + 1].select(F.col("key").alias("node"), "count")
+            left = left.withColumn("node", suffix("key", size + 1)).join(node, "node", "left").drop("node")
+        else:
+            left = left.withColumn("count", zero)
+        known, live = F.coalesce("distinct", zero), F.coalesce("distinct", zero) - F.col("gone_distinct")
+        whole = F.coalesce("total", zero) - F.col("gone_total") + live
+        count, asked = F.coalesce("count", zero), ~F.col("done") & (live > 0)
+        more = F.when(asked & (count > 0), share(count, whole)).when(asked, share(live, whole)).otherwise(0.0)
         # what this context has seen is excluded from the next shorter one, which has seen it too
-        gone_total, gone_distinct = np.where(asked, context[:, 3], gone_total * 0), np.where(asked, context[:, 2], 0.0)
-    score[~done] -= np.log10(np.maximum(SYMBOLS - gone_distinct[~done], 1))
-    return score
+        left = left.select("key", (F.col("value") + more).alias("value"), F.when(known > 0, F.coalesce("excluded", zero)).otherwise(zero).alias("gone_total"), known.alias("gone_distinct"), (F.col("done") | (asked & (count > 0))).alias("done"))
+    uniform = F.log10(F.greatest(F.lit(SYMBOLS) - F.col("gone_distinct"), F.lit(1)))
+    unseen = left.select("key", F.when(F.col("done"), F.col("value")).otherwise(F.col("value") - uniform).alias("value"))
+    done = cut(seen.unionByName(unseen))
+    drop(longest, *levels.values(), *stats.values())
+    return done
 
 
-def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes for each row; learns from rows that aren't held out."""
-    spark = df.sparkSession
+    if not 1 <= order <= 6:
+        raise ValueError("order must be 1 to 6")
     held = F.coalesce(held_out if held_out is not None else crc_bucket(F.col(f"`{id_col}`")) == 1, F.lit(False))
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), (~held).alias("train"))
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), (~held).alias("train"))
     kind = rows.schema["id"].dataType.simpleString()
-    shared_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/blocks-{uuid.uuid4().hex}"
-    blocks(rows, block_bytes).write.parquet(path)
-    schema = "block long, kind int, key long, n long, body binary"
-    table = spark.read.schema(schema).parquet(path)
-    bodies = spark.read.schema(schema).parquet(path).filter(F.col("kind") == TEXT).select("block", "body")
-    # words: each (block, word) gets the word's count over all blocks; `first` marks one row of each known word
-    words = table.filter(F.col("kind") == WORD).select("block", "key", "n")
-    counts = words.groupBy("key").agg(F.sum("n").alias("count"), F.min("block").alias("owner"))
-    word_rows = words.join(counts, "key").select("block", F.lit(WORD).alias("kind"), "key", "count", F.when((F.col("block") == F.col("owner")) & (F.col("count") > 0), 1).otherwise(0).cast("long").alias("total"), F.lit(0).cast("long").alias("distinct"), F.lit(0).cast("long").alias("excluded"))
-    # trie nodes: each block asks for the nodes of its grams and of their contexts, at every length
-    grams = table.filter(F.col("kind") == NODE).select("block", "key", "n")
-    nodes = cut(trie(grams))
-    wanted = None
-    level = grams.select("block", F.col("key").bitwiseAND(F.lit((1 << 56) - 1)).alias("gram"))
-    for size in range(GRAM, -1, -1):
-        own = level.select("block", (F.col("gram").bitwiseAND(F.lit((1 << 8 * size) - 1))).bitwiseOR(F.lit(size << 56)).alias("key"))
-        if size < GRAM:
-            context = level.select("block", (F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * size) - 1))).bitwiseOR(F.lit(size << 56)).alias("key"))
-            own = own.unionByName(context).distinct()
-        wanted = own if wanted is None else wanted.unionByName(own)
-    node_rows = wanted.join(nodes, "key").select("block", F.lit(NODE).alias("kind"), "key", "count", "total", "distinct", "excluded")
-
-    def run(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for body in texts["body"]:
-            ids, raw, trains = pickle.loads(zstandard.ZstdDecompressor().decompress(body))
-            own = Block(raw, np.array(trains, bool))
-            word = answers[answers["kind"] == WORD]
-            order = np.argsort(word["key"].to_numpy())
-            known = word["key"].to_numpy()[order]
-            count = word["count"].to_numpy()[order][np.searchsorted(known, own.word_keys)]
-            logs = np.log10(count + 0.5)
-            node = answers[answers["kind"] == NODE].sort_values("key")
-            per_gram = gram_scores(own.grams, node["key"].to_numpy(), node[["count", "total", "distinct", "excluded"]].to_numpy(float))
-            out.append(pd.DataFrame({
-                "id": pd.array(ids, "Int64") if kind in ("bigint", "int") else ids, "train": trains, "n_tokens": own.n_words,
-                "n_known": np.add.reduceat((count > 0).astype(np.int64)[own.word_at], own.word_starts),
-                "logs": np.add.reduceat(logs[own.word_at], own.word_starts), "score": np.add.reduceat(per_gram[own.gram_at], own.gram_starts),
-                "n_bytes": [len(t) for t in raw], "new_words": [int(word["total"].sum()), *[0] * (len(ids) - 1)],
-            }))
-        return pd.concat(out) if out else pd.DataFrame(columns=["id", "train", "n_tokens", "n_known", "logs", "score", "n_bytes", "new_words"])
-
-    answers = word_rows.unionByName(node_rows)
-    scored = cut(bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(run, f"id {kind}, train boolean, n_tokens long, n_known long, logs double, score double, n_bytes long, new_words long"))
-    _remove(spark, path)
-    whole = scored.agg(F.coalesce(F.sum(F.when(F.col("train"), F.col("n_tokens"))), F.lit(0)).alias("N"), F.coalesce(F.sum("new_words"), F.lit(0)).alias("V")).first()
-    base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(whole["N"] + 0.5 * (whole["V"] + 1)))
-    return scored.select(F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(whole["N"]).cast("long").alias("train_tokens"), base.alias("base_score"), "score", "n_bytes")
-
-
-def _remove(spark, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    table = cut(blocks(rows, order, block_bytes))
+    bodies = table.filter(F.col("kind") == TEXT).select("block", "body")
+    words, grams = (table.filter(F.col("kind") == k).select("block", "key", "at", "n") for k in (WORD, GRAM))
+    counts = cut(words.groupBy("key").agg(F.sum("n").alias("value")))
+    n_known = counts.filter("value > 0").count()
+    scores = gram_scores(grams, order)
+    answer = lambda own, values, k: own.select("block", "key", "at").join(values.select("key", F.col("value").cast("double").alias("value")), "key").select(F.col("block").alias("of"), F.lit(k).alias("kind"), "at", "value")
+    answers = answer(words, counts, WORD).unionByName(answer(grams, scores, GRAM))
+
+    def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = unpacked(texts["body"][0].as_py()).combine_chunks()
+        own = Block(rows["text"].combine_chunks() if isinstance(rows["text"], pa.ChunkedArray) else rows["text"], order)
+        kinds, at, value = (answers[c].to_numpy() for c in ("kind", "at", "value"))
+        count, per_gram = np.zeros(len(own.word_keys)), np.zeros(len(own.grams))
+        count[at[kinds == WORD]] = value[kinds == WORD]
+        per_gram[at[kinds == GRAM]] = value[kinds == GRAM]
+        return pa.table({
+            "id": rows["id"], "train": rows["train"], "n_tokens": own.n_words.astype(np.int64),
+            "n_known": np.add.reduceat((count > 0).astype(np.int64)[own.word_at], own.word_starts),
+            "logs": np.add.reduceat(np.log10(count + 0.5)[own.word_at], own.word_starts), "score": np.add.reduceat(per_gram[own.gram_at], own.gram_starts), "n_bytes": own.n_bytes,
+        })
+
+    scored = cut(bodies.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(run, f"id {kind}, train boolean, n_tokens long, n_known long, logs double, score double, n_bytes long"))
+    drop(table, counts, scores)
+    n_train = scored.agg(F.coalesce(F.sum(F.when(F.col("train"), F.col("n_tokens"))), F.lit(0))).first()[0]
+    base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(n_train + 0.5 * (n_known + 1)))
+    return scored.select(F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), "score", "n_bytes")
+
+
+def bits_per_byte(scored: DataFrame) -> DataFrame:
+    """held_out, bits a byte of both models, ends included: the length of the code that each needs."""
+    bits = lambda c: (-F.sum(c) / F.log10(F.lit(2.0)) / F.sum(F.col("n_bytes") + 1)).alias(f"{c}_bits")
+    return scored.groupBy("held_out").agg(bits("score"), bits("base_score"))
