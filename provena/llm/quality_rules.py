@@ -5,6 +5,13 @@ The compression bands are the method: the zstandard ratio (raw bytes / compresse
 whole text and of its fixed-size chunks must lie between limits that depend on the length. A high
 ratio marks repetitive text, a low one incompressible text (encoded data).
 
+The limits are fitted to the corpus at hand: `fit` takes the quartiles of the ratios of all
+documents that pass the base rules, for each length class (half an octave of bytes), and of all
+their chunks; a band reaches from the median `LOW_FENCE` interquartile ranges down and `HIGH_FENCE`
+up. A class of fewer than `min_rows` documents (or chunks) keeps the stated DOCUMENT_BANDS or
+CHUNK_BANDS, widened by nothing. The quartiles are mergeable sketches over all rows, so what the
+driver gets is three numbers for each of at most `CLASSES` classes.
+
 Defined results: a null text counts as empty; an empty text has no words, ratio 0 and is rejected
 by the base rules; repeated rows and ties are judged row by row; a null id is carried through; an
 empty table gives an empty result; extra columns are ignored.
@@ -12,17 +19,16 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provena.llm.common import mix64
+from provena.llm.common import annotate, columns, cut, drop, mix64, strings
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -33,9 +39,12 @@ CHUNK_BANDS = ((0, 0.0, 2.6), (100, 0.7, 2.6), (400, 1.1, 3.4), (1_000, 1.3, 6.0
 CHUNK_BYTES = 4_096
 #: Share of the chunks that may lie outside their band.
 CHUNK_SHARE = 0.34
+CLASSES = 64
+LOW_FENCE, HIGH_FENCE, MIN_ROWS = 4.0, 2.25, 200
+Bands = tuple[Sequence[float], Sequence[float]]
 
 
-def band(bands: Sequence[tuple[int, float, float]], n: int) -> tuple[float, float]:
+def band(bands: Sequence[tuple[int, float, float]], n: float) -> tuple[float, float]:
     low, high = bands[0][1:]
     for start, least, most in bands:
         if n >= start:
@@ -43,6 +52,27 @@ def band(bands: Sequence[tuple[int, float, float]], n: int) -> tuple[float, floa
     return low, high
 
 
+def length_class(n_bytes: Column) -> Column:
+    """Half octaves: from 0 for one byte."""
+    return F.least(F.floor(F.log2(F.greatest(n_bytes, F.lit(1))) * 2), F.lit(CLASSES - 1)).cast("int")
+
+
+def stated(bands: Sequence[tuple[int, float, float]]) -> Bands:
+    """Limits for each length class; a class takes those of its shortest texts."""
+    both = [band(bands, 2 ** (k / 2)) for k in range(CLASSES)]
+    return [x[0] for x in both], [x[1] for x in both]
+
+
+def fitted(ratios: DataFrame, bands: Sequence[tuple[int, float, float]], low_fence: float, high_fence: float, min_rows: int) -> Bands:
+    """Limits for each length class from rows (size, ratio)."""
+    low, high = map(list, stated(bands))
+    by = ratios.groupBy(length_class(F.col("size")).alias("at")).agg(F.count("*").alias("n"), F.percentile_approx("ratio", [0.25, 0.5, 0.75], 1000).alias("q"))
+    for r in by.filter(F.col("n") >= min_rows).collect():
+        spread = r["q"][2] - r["q"][0]
+        low[r["at"]], high[r["at"]] = r["q"][1] - low_fence * spread, r["q"][1] + high_fence * spread
+    return low, high
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a window of eight words which the text has twice or more."""
     n = len(words) - WINDOW + 1
@@ -81,54 +111,72 @@ def ratio(raw: bytes, packer: zstandard.ZstdCompressor) -> float:
     return len(raw) / len(packer.compress(raw)) if raw else 0.0
 
 
-def in_bands(raw: bytes, packer: zstandard.ZstdCompressor, document_bands=DOCUMENT_BANDS, chunk_bands=CHUNK_BANDS, chunk_bytes: int = CHUNK_BYTES, chunk_share: float = CHUNK_SHARE) -> tuple[float, int, int, bool]:
-    """Ratio of the whole, chunks outside their band, chunks, verdict."""
-    whole = ratio(raw, packer)
-    low, high = band(document_bands, len(raw))
-    chunks = [raw[k : k + chunk_bytes] for k in range(0, len(raw), chunk_bytes)]
-    out = 0
-    if len(chunks) > 1:
-        for chunk in chunks:
-            least, most = band(chunk_bands, len(chunk))
-            out += not least <= ratio(chunk, packer) <= most
-    return whole, out, len(chunks), low <= whole <= high and out <= chunk_share * len(chunks)
+def base_failed() -> Column:
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+
+
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_bytes long, zstd_ratio double, chunk_bytes array<int>, chunk_ratios array<double>"
 
 
-SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, zstd_ratio double, n_chunks long, n_odd_chunks long"
+def measure(df: DataFrame, carry: Mapping[str, Column], text: Column, level: int = 3, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The columns in `carry`, then MEASURES for each row; narrow. A text of one chunk has no chunk ratios."""
+
+    def worker():
+        packer = zstandard.ZstdCompressor(level=level)
+
+        def one(text: str) -> tuple:
+            raw = text.encode()
+            chunks = [raw[k : k + chunk_bytes] for k in range(0, len(raw), chunk_bytes)] if len(raw) > chunk_bytes else []
+            return (*base_counts(text, raw), len(raw), ratio(raw, packer), [len(c) for c in chunks], [ratio(c, packer) for c in chunks])
 
+        return lambda texts: list(zip(*map(one, strings(texts)), strict=True)) if len(texts) else [[]] * 9
 
-def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), level: int = 3, document_bands=DOCUMENT_BANDS, chunk_bands=CHUNK_BANDS, chunk_bytes: int = CHUNK_BYTES, chunk_share: float = CHUNK_SHARE) -> DataFrame:
-    """The id, the columns in `carry`, then those of SCHEMA for each row; narrow, without a shuffle.
+    return annotate(df, carry, text, worker, MEASURES)
+
+
+def fit(measured: DataFrame, low_fence: float = LOW_FENCE, high_fence: float = HIGH_FENCE, min_rows: int = MIN_ROWS) -> tuple[Bands, Bands]:
+    """Bands of documents and of chunks from measured rows; those that fail the base rules don't count."""
+    good = measured.filter(~base_failed())
+    chunks = good.select(F.explode(F.arrays_zip("chunk_bytes", "chunk_ratios")).alias("c")).select(F.col("c.chunk_bytes").alias("size"), F.col("c.chunk_ratios").alias("ratio"))
+    return tuple(fitted(rows, bands, low_fence, high_fence, min_rows) for rows, bands in ((good.select(F.col("n_bytes").alias("size"), F.col("zstd_ratio").alias("ratio")), DOCUMENT_BANDS), (chunks, CHUNK_BANDS)))
+
+
+def inside(size: Column, value: Column, bands: Bands) -> Column:
+    limit = lambda held: F.element_at(F.array(*map(F.lit, held)), length_class(size) + 1)
+    return value.between(limit(bands[0]), limit(bands[1]))
+
+
+def verdict(measured: DataFrame, bands: tuple[Bands, Bands], chunk_share: float = CHUNK_SHARE) -> DataFrame:
+    """measured with base_failed, kept, n_chunks, n_odd_chunks."""
+    n_chunks = F.when(F.col("n_bytes") > 0, F.greatest(F.size("chunk_ratios"), F.lit(1))).otherwise(0).cast("long")
+    odd = F.size(F.filter(F.arrays_zip("chunk_bytes", "chunk_ratios"), lambda c: ~inside(c["chunk_bytes"], c["chunk_ratios"], bands[1]))).cast("long")
+    known = measured.withColumns({"base_failed": base_failed(), "n_chunks": n_chunks, "n_odd_chunks": odd})
+    fits = inside(F.col("n_bytes"), F.col("zstd_ratio"), bands[0]) & (F.col("n_odd_chunks") <= chunk_share * F.col("n_chunks"))
+    return known.withColumn("kept", ~F.col("base_failed") & fits)
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "zstd_ratio", "n_chunks", "n_odd_chunks")
+
+
+def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: tuple[Bands, Bands] | None = None, chunk_share: float = CHUNK_SHARE, **options) -> DataFrame:
+    """The id and COUNTS for each row; no shuffle but of quartile sketches. bands: those of another corpus; else they are fitted to df.
 
     base_failed: fewer than 20 words, or more than 30 % of the words in repeated windows.
     kept: not base_failed, and the compression ratios lie in their bands.
     """
-    carried = [c for c in dict.fromkeys([id_col, *carry])]
-    picked = df.select(*[F.col(f"`{c}`").alias(f"in_{k}") for k, c in enumerate(carried)], F.col(f"`{text_col}`").alias("in_text"))
-    names = SCHEMA.replace(",", "").split()[::2]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer = zstandard.ZstdCompressor(level=level)
-        for batch in batches:
-            rows = []
-            for text in batch["in_text"]:
-                text = text if isinstance(text, str) else ""
-                raw = text.encode("utf-8", "replace")
-                counts = base_counts(text, raw)
-                failed = counts[0] < 20 or 100 * counts[4] > 30 * counts[0]
-                whole, odd, chunks, fits = in_bands(raw, packer, document_bands, chunk_bands, chunk_bytes, chunk_share)
-                rows.append((*counts, failed, not failed and fits, whole, chunks, odd))
-            out = pd.DataFrame(rows, columns=names, index=batch.index)
-            yield pd.concat([batch[[f"in_{k}" for k in range(len(carried))]], out], axis=1)
-
-    kinds = dict(zip(picked.columns, (f.dataType.simpleString() for f in picked.schema.fields), strict=True))
-    head = ", ".join(f"in_{k} {kinds[f'in_{k}']}" for k in range(len(carried)))
-    judged = picked.mapInPandas(run, f"{head}, {SCHEMA}")
-    return judged.select(*[F.col(f"in_{k}").alias(c) for k, c in enumerate(carried)], *names)
-
-
-def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """The rows of df that pass, with df's columns. The verdict is computed beside the row, so no join is needed."""
-    struct = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    wide = df.select(F.col(f"`{id_col}`").alias("key"), F.col(f"`{text_col}`").alias("body"), struct.alias("row"))
-    return judge(wide, "key", "body", carry=["row"], **limits).filter("kept").select("row.*")
+    measured = measure(df, columns(df, [id_col]), F.col(f"`{text_col}`"), **options)
+    if bands is None:
+        measured = cut(measured)  # numbers only
+        bands = fit(measured)
+    return verdict(measured, bands, chunk_share).select(f"`{id_col}`", *COUNTS)
+
+
+def keep_good(df: DataFrame, text_col: str = "text", bands: tuple[Bands, Bands] | None = None, chunk_share: float = CHUNK_SHARE, **options) -> DataFrame:
+    """The rows of df that pass, with df's columns. Two passes over the texts, one to fit the bands; rows aren't joined."""
+    text = F.col(f"`{text_col}`")
+    if bands is None:
+        numbers = cut(measure(df, {}, text, **options))
+        bands = fit(numbers)
+        drop(numbers)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return verdict(measure(df, {"__row": row}, text, **options), bands, chunk_share).filter("kept").select("__row.*")
