@@ -6,8 +6,9 @@ and validates what it finds; no regular expression runs over the text.
 
 Base kinds (leftmost, non-overlapping for each kind; a match that fails validation is dropped):
 email, ip (parts at most 255), card (16 to 19 digits, Luhn), phone (8 to 15 digits).
-Kinds that the method adds: `account` (an identifier after a cue word such as iban or account:),
-`secret` (a value after a cue such as token= or password:), `login` (user:password@ in a URL).
+Kinds that the method adds: `account` (an identifier after a cue word such as iban or account: a
+valid IBAN, else groups with digits, 6 digits or more), `secret` (a value after a cue such as token=
+or password:), `login` (user:password@ in a URL). Cue words and schemes count in any case.
 
 Offsets are code points, the end exclusive. Defined results: a null or empty text has no spans; a
 null id is carried through; repeated rows are judged row by row; an empty table gives an empty
@@ -17,13 +18,14 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import ahocorasick
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from provena.llm.common import annotate, columns
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("account", "secret", "login")
 KINDS = BASE_KINDS + MORE_KINDS
@@ -141,15 +143,43 @@ def expand_secret(text: str, at: int) -> tuple[int, int] | None:
     return (start, end) if len(value) >= 8 and any(c in DIGITS for c in value) else None
 
 
+def iban(text: str) -> bool:
+    """Country letters, check digits and up to 30 more, whose remainder by 97 is 1."""
+    if not (15 <= len(text) <= 34 and text[:2].isalpha() and text[2:4].isdigit()):
+        return False
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+
+def groups(text: str, at: int) -> Iterator[int]:
+    """Ends of the value that starts at `at`: of its first run of letters and digits, then with each further run behind a blank or hyphen."""
+    end = run_end(text, at, ALNUM)
+    while end > at:
+        yield end
+        more = run_end(text, end + 1, ALNUM) if end < len(text) and text[end] in " -" else end
+        if more <= end + 1:
+            return
+        end = more
+
+
 def expand_account(text: str, at: int) -> tuple[int, int] | None:
+    """An identifier after a cue: the longest valid IBAN, else what has 6 digits or more, in groups that each hold a digit."""
     start = after_cue(text, at, ":#.")
     if start is None:
-        start = run_start(text, at, frozenset(), at) + (at < len(text) and text[at] == " ")
-    end, digits = start, 0
-    while end < len(text) and (text[end] in ALNUM or text[end] in " -" and end + 1 < len(text) and text[end + 1] in DIGITS):
-        digits += text[end] in DIGITS
-        end += 1
-    return (start, end) if digits >= 6 and end - start <= 42 else None
+        start = at + (at < len(text) and text[at] == " ")
+    best, last, digits = None, start, 0
+    open_ = True
+    for end in groups(text, start):
+        if end - start > 42:
+            break
+        if iban("".join(c for c in text[start:end] if c in ALNUM).upper()):
+            return start, end
+        own = sum(c in DIGITS for c in text[last:end])
+        open_ = open_ and own > 0
+        digits += own
+        if open_ and digits >= 6:
+            best = (start, end)
+        last = end
+    return best
 
 
 def expand_login(text: str, at: int) -> tuple[int, int] | None:
@@ -170,17 +200,22 @@ def automaton() -> ahocorasick.Automaton:
         found.add_word(anchor, (anchor if anchor in "@+" else "digit", 1))
     for kind, words in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES), ("login", SCHEMES)):
         for word in words:
-            for form in dict.fromkeys((word, word.upper(), word.capitalize())):
-                found.add_word(form, (kind, len(form)))
+            found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
 
+def folded(text: str) -> str:
+    """The text in lower case, of the same length: cues are found in any spelling at the text's own offsets."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
 def find(text: str, anchors: ahocorasick.Automaton) -> dict[str, list[tuple[int, int]]]:
     spans: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     done = dict.fromkeys(KINDS, 0)
     seen_digit = 0
-    for last, (what, size) in anchors.iter(text):
+    for last, (what, size) in anchors.iter(folded(text)):
         if what == "digit":
             if last < seen_digit:
                 continue
@@ -227,31 +262,28 @@ def redacted(text: str, spans: dict[str, list[tuple[int, int]]]) -> str:
 SCHEMA = "n_email long, n_ip long, n_card long, n_phone long, base_spans string, spans string, redacted string"
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), redact: bool = True) -> DataFrame:
-    """The id, the columns in `carry`, then those of SCHEMA for each row; narrow, without a shuffle. redacted is null unless asked for."""
-    carried = [c for c in dict.fromkeys([id_col, *carry])]
-    picked = df.select(*[F.col(f"`{c}`").alias(f"in_{k}") for k, c in enumerate(carried)], F.col(f"`{text_col}`").alias("in_text"))
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", redact: bool = True) -> DataFrame:
+    """The id, then the columns of SCHEMA for each row; narrow, without a shuffle. redacted is null unless asked for."""
+    return _scan(df, columns(df, [id_col]), F.col(f"`{text_col}`"), redact)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _scan(df: DataFrame, carry: Mapping[str, Column], text: Column, redact: bool) -> DataFrame:
+    def worker():
         anchors = automaton()
-        for batch in batches:
-            rows = []
-            for text in batch["in_text"]:
-                whole = text if isinstance(text, str) else ""
-                spans = find(whole, anchors)
-                rows.append((*(len(spans[k]) for k in BASE_KINDS), written(spans, BASE_KINDS), written(spans, KINDS), redacted(whole, spans) if redact and isinstance(text, str) else None))
-            out = pd.DataFrame(rows, columns=SCHEMA.replace(",", "").split()[::2], index=batch.index)
-            yield pd.concat([batch[[f"in_{k}" for k in range(len(carried))]], out], axis=1)
 
-    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
-    found = picked.mapInPandas(run, f"{head}, {SCHEMA}")
-    return found.select(*[F.col(f"in_{k}").alias(c) for k, c in enumerate(carried)], *found.columns[len(carried) :])
+        def one(text: str | None) -> tuple:
+            spans = find(text or "", anchors)
+            return (*(len(spans[k]) for k in BASE_KINDS), written(spans, BASE_KINDS), written(spans, KINDS), redacted(text, spans) if redact and text is not None else None)
+
+        return lambda texts: list(zip(*map(one, texts.to_pylist()), strict=True)) if len(texts) else [[]] * 7
+
+    return annotate(df, carry, text, worker, SCHEMA)
 
 
 def redact(df: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """df with the spans in its text replaced; length_col, where given, is set to the new length."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    found = scan(df.select(whole.alias("row"), F.col(f"`{text_col}`").alias("body")), "row", "body").select("row.*", F.col("redacted").alias("__redacted"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    found = _scan(df, {"__row": row}, F.col(f"`{text_col}`"), True).withColumnRenamed("redacted", "__redacted").select("__row.*", "__redacted")
     new = {text_col: F.col("__redacted")} | ({length_col: F.length("__redacted").cast(df.schema[length_col].dataType)} if length_col else {})
     return found.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
 
