@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provena.llm.common import LOWER, UPPER, crc_bucket, mix64
+from provena.llm.common import LOWER, UPPER, annotate, crc_bucket, mix64, strings
 
 TOKEN = re.compile(r"\w+|([^\w\s])\1*")
 FOLD = str.maketrans(UPPER, LOWER)
@@ -55,7 +55,7 @@ class Features:
         for word in words:
             h = known.get(word)
             if h is None:
-                h = known[word] = xxhash.xxh64_intdigest(word.translate(FOLD)[:64] if word[0].isalnum() else word[0] * min(len(word), 3)) ^ word[0].isupper()
+                h = known[word] = xxhash.xxh64_intdigest(word.translate(FOLD)) ^ word[0].isupper()
             hashes.append(h)
         one = np.array(hashes, np.uint64)
         shape = np.empty(len(one), np.uint64)
@@ -120,16 +120,12 @@ def apply(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col:
     """id, score, predicted for each row; narrow."""
     shared = df.sparkSession.sparkContext.broadcast(weights)
     bits = int(len(weights) - 1).bit_length() - 1
-    picked = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def worker():
         features, w = Features(bits), shared.value
-        for batch in batches:
-            scores = [score(features.of(t if isinstance(t, str) else ""), w) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "score": scores})
+        return lambda texts: [[score(features.of(t), w) for t in strings(texts)]]
 
-    kind = picked.schema["id"].dataType.simpleString()
-    scored = picked.mapInPandas(run, f"id {kind}, score double")
+    scored = annotate(df, {"id": F.col(f"`{id_col}`")}, F.col(f"`{text_col}`"), worker, "score double")
     return scored.select(F.col("id").alias(id_col), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
