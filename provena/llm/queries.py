@@ -92,17 +92,23 @@ FROM m
 """
 
 OP10_SQL = r"""
-WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY coalesce(role, 'unknown'), coalesce(text, ''))::INTEGER AS position
+  FROM conversations),
 c AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
 b AS (
-  SELECT t.*, c.perspective,
+  SELECT t.*, c.perspective, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS body,
     CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS chat_role
   FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id),
-h AS (SELECT *, '<|' || chat_role || '|>' || CASE WHEN chat_role = 'user' THEN speaker ELSE '' END || chr(10) AS head FROM b)
-SELECT conv_id, perspective, turn, speaker, chat_role, CASE WHEN chat_role = 'user' THEN speaker END AS name,
-  head || text || '<|end|>' || chr(10) AS message, speaker = perspective AS mask,
+h AS (
+  SELECT *, '<|' || chat_role || '|>' ||
+    CASE WHEN chat_role = 'user' THEN regexp_replace(translate(speaker, chr(13) || chr(10), '  '), '<(\\*)\|', '<\\\1|', 'g') ELSE '' END || chr(10) AS head
+  FROM b)
+SELECT conv_id, perspective, turn, position, speaker, chat_role, CASE WHEN chat_role = 'user' THEN speaker END AS name,
+  head || body || '<|end|>' || chr(10) AS message, speaker = perspective AS mask,
   CASE WHEN speaker = perspective THEN length(head)::BIGINT END AS mask_start,
-  CASE WHEN speaker = perspective THEN (length(head) + length(text) + 7)::BIGINT END AS mask_end
+  CASE WHEN speaker = perspective THEN (length(head) + length(body) + 7)::BIGINT END AS mask_end
 FROM h
 """
 
