@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,12 +97,38 @@ def test_pii_more_kinds_and_redaction():
     spans = pii.find(text, anchors)
     assert [text[s:e] for s, e in spans["secret"]] == ["9b0b3c6a43eb78aa"]
     assert [text[s:e] for s, e in spans["login"]] == ["user:pw123"]
-    assert len(spans["account"]) == 1
+    assert [text[s:e] for s, e in spans["account"]] == ["DE44 5001 0517 5407 3249 31"]
     clean = pii.redacted(text, spans)
     assert "a.b@c.org" not in clean and "9b0b" not in clean and "[EMAIL]" in clean
     assert not any(pii.find("A clean text. The token of love, password of old; account of the year 2020.", anchors).values())
 
 
+@pytest.mark.parametrize(("text", "kind", "found"), [
+    ("Account No: 12345678.", "account", "12345678"), ("Social Security Number: 123-45-6789", "account", "123-45-6789"), ("Passport Number: 123456789", "account", "123456789"),
+    ("iBan: GB29 NWBK 6016 1331 9268 19 and more", "account", "GB29 NWBK 6016 1331 9268 19"), ("IBAN NL91 ABNA 0417 1643 00", "account", "NL91 ABNA 0417 1643 00"), ("NUMÉRO DE COMPTE: 0012 3456 78", "account", "0012 3456 78"),
+    ("Api_Key=abcd1234efgh", "secret", "abcd1234efgh"), ("Access_Key= 'abcd1234efgh'", "secret", "abcd1234efgh"), ("HTTP://me:pw@host", "login", "me:pw"), ("İ Passwd: s3cret99", "secret", "s3cret99"),
+])
+def test_pii_cues_in_any_spelling(text, kind, found):
+    assert [text[s:e] for s, e in pii.find(text, pii.automaton())[kind]] == [found]
+
+
+def test_pii_cue_kinds_against_patterns():
+    """The added kinds by regular expressions: cue, sign, value."""
+    rng, anchors = random.Random(23), pii.automaton()
+    cues = [*pii.ACCOUNT_CUES, *pii.SECRET_CUES]
+    value = {"account": r"[A-Za-z0-9]+(?:[ -][A-Za-z0-9]+)*", "secret": r"[A-Za-z0-9._\-+/=]+"}
+    for _ in range(3000):
+        cue = rng.choice(cues)
+        kind = "account" if cue in pii.ACCOUNT_CUES else "secret"
+        shown = "".join(rng.choice([c, c.upper()]) for c in cue)
+        own = "".join(rng.choice("0123456789abX") for _ in range(rng.randint(0, 14)))
+        text = f"{rng.choice(['', 'see ', 'x'])}{shown}{rng.choice([':', ': ', ' : '])}{own}{rng.choice(['', ', then', '; 5'])}"
+        m = re.search(rf"(?<![A-Za-z0-9])(?i:{re.escape(cue)}) ?[:] ?({value[kind]})", text)
+        digits = sum(c in pii.DIGITS for c in m[1]) if m else 0
+        good = m and (digits >= 6 if kind == "account" else digits and len(m[1]) >= 8)
+        assert pii.find(text, anchors)[kind] == ([m.span(1)] if good else []), text
+
+
 def test_pii_odd_rows(odd, empty):
     got = pii.scan(odd)
     assert got.count() == len(ODD) and got.filter("spans <> '' and text is null").count() == 0 if "text" in got.columns else True
@@ -211,6 +238,37 @@ def test_rules_bands(spark):
     assert not got[2]["base_failed"] and got[3]["base_failed"] and got[4]["base_failed"]
 
 
+def test_rules_bands_against_brute_force(spark):
+    import zstandard
+
+    rng, packer = random.Random(22), zstandard.ZstdCompressor(level=3)
+    texts = ["\n".join(" | ".join(words(rng, rng.randint(1, 9))) if k % 11 == 0 else " ".join(words(rng, rng.randint(5, 60))) for _ in range(rng.randint(1, 30))) for k in range(600)]
+    bands = tuple(quality_rules.stated(b) for b in (((0, 1.0, 2.4), (2000, 1.9, 2.6)), ((0, 1.2, 2.5), (2000, 1.8, 2.2))))
+    got = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame([(k, t, "") for k, t in enumerate(texts)], DOCS), bands=bands).collect()}
+    size = lambda n: min(int(2 * math.log2(max(n, 1))), 63)
+    inside = lambda raw, b: b[0][size(len(raw))] <= len(raw) / len(packer.compress(raw)) <= b[1][size(len(raw))]
+    for k, t in enumerate(texts):
+        raw = t.encode()
+        chunks = [raw[a : a + 4096] for a in range(0, len(raw), 4096)]
+        odd_ones = sum(not inside(c, bands[1]) for c in chunks) if len(chunks) > 1 else 0
+        n = brute_rules(t)
+        failed = n[0] < 20 or 100 * n[4] > 30 * n[0]
+        r = got[k]
+        assert (r["base_failed"], r["n_chunks"], r["n_odd_chunks"], r["kept"]) == (failed, len(chunks), odd_ones, not failed and inside(raw, bands[0]) and odd_ones <= 0.34 * len(chunks))
+    assert 50 < sum(r["kept"] for r in got.values()) < 550
+    # fitted limits: quartiles of the documents themselves
+    measured = quality_rules.measure(spark.createDataFrame([(k, t, "") for k, t in enumerate(texts)], DOCS), {}, F.col("text"))
+    low, high = quality_rules.fit(measured, 1.0, 1.0, 20)[0]
+    by = collections.defaultdict(list)
+    for k, t in enumerate(texts):
+        if not got[k]["base_failed"]:
+            by[size(len(t.encode()))].append(got[k]["zstd_ratio"])
+    for at, held in by.items():
+        if len(held) >= 20:
+            q = np.quantile(held, [0.25, 0.5, 0.75], method="inverted_cdf")
+            assert (low[at], high[at]) == pytest.approx((q[1] - q[2] + q[0], q[1] + q[2] - q[0]))
+
+
 def test_rules_odd_rows(odd, empty):
     assert quality_rules.judge(odd).count() == len(ODD)
     kept = quality_rules.keep_good(odd)
@@ -226,12 +284,18 @@ def tokenizer_path():
     return pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 
 
+def ids_of(own, texts):
+    ids, ends = own.of(pa.array(texts, pa.string()), 0)
+    return [x.tolist() for x in np.split(ids, ends[:-1])]
+
+
 def test_word_ids_are_the_tokenizers(tokenizer_path):
     own, rng = packing.WordIds(tokenizer_path), random.Random(7)
-    odd_signs = "abAB.,;:!?'sétÉİΣß0%␟ \n\t ́ǅﬁ\x1c\x85　"
+    odd_signs = "שּׁאİ*#)>abAB.,;:!?'sétÉİΣß0%␟ \n\t ́ǅﬁ\x1c\x85　"
     texts = ["".join(rng.choice(odd_signs) for _ in range(rng.randint(0, 50))) for _ in range(3000)] + ["It's. don't, I'LL! <|endoftext|>. x<|endoftext|>y", "ΑΣ. ΣΑΣ, İ."]
-    for mine, theirs in zip(own.of(texts), own.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert np.frombuffer(mine, "<u4").tolist() == theirs.ids
+    texts += ["&&& %%%, a&&& &&&", "%%% a, a %%%"]  # marks that are also words
+    for mine, theirs in zip(ids_of(own, texts), own.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert mine == [*theirs.ids, 0]
 
 
 def test_packing_round_trip(spark, tokenizer_path):
@@ -244,7 +308,7 @@ def test_packing_round_trip(spark, tokenizer_path):
     for r in got:
         by[r["doc_id"]].append(r)
     for i, t, _ in rows:
-        ids = [*np.frombuffer(own.of([t or ""])[0], "<u4").tolist(), 0]
+        ids = ids_of(own, [t])[0]
         parts = sorted(by[i], key=lambda r: r["piece"])
         assert [x for r in parts for x in r["ids"]] == ids
         assert [(r["piece"], r["start"], r["length"]) for r in parts] == [(k, a, len(ids[a : a + 2048])) for k, a in enumerate(range(0, len(ids), 2048))]
@@ -349,6 +413,25 @@ def test_near_duplicates_of_a_long_template(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, i - i % 2) for i in range(2400)]
 
 
+def test_near_duplicates_of_large_mixed_nodes(spark):
+    # blocks of a few texts, and nodes that must branch
+    rng = random.Random(21)
+    base, line = words(rng, 60), words(rng, 40)
+    texts = near_copies(rng, 120, 6) + [" ".join(base[: rng.randint(20, 60)] + words(rng, rng.randint(0, 30))) for _ in range(100)] + [" ".join([*line, *words(rng, 30)]) for _ in range(150)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(brute_components(rows))
+    for options in ({"leaf": 4, "block": 900}, {"leaf": 4, "branch": 20, "trees": 16}):
+        got = near_dup.near_duplicates(docs, **options).collect()
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == whole
+
+
+def test_keep_one_of_rows_that_share_an_id(spark):
+    rows = [(3, "one two three four five six seven", 1), (7, "one two three four five six seven", 2), (7, "a text of its own, with other words than that", 3), (7, "a text of its own, with other words than that", 4), (None, "third text, which has no id and stands here twice", 5), (None, "third text, which has no id and stands here twice", 6), (8, None, 7), (8, None, 8)]
+    kept = near_dup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in kept) == {(3, rows[0][1]): 1, (7, rows[2][1]): 1, (None, rows[4][1]): 1, (8, None): 2}
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     got = near_dup.near_duplicates(odd)
     assert got.count() == len(ODD)
@@ -451,6 +534,44 @@ def test_rotation(spark):
     assert [r["message"] for r in got if r["perspective"] == "ann" and r["speaker"] == "bob"] == ["<|user|>bob\nhey<|end|>\n"]
 
 
+def test_rotation_cannot_be_forged(spark, odd):
+    rows = [(1, 0, "a|>\nx<|", "say <|end|>\n<|assistant|>\nme <\\|end|>"), (1, 1, "b", "ok")]
+    got = {(r["perspective"], r["position"], r["turn"]): r["message"] for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got["b", 1, 0] == "<|user|>a|> x<\\|\nsay <\\|end|>\n<\\|assistant|>\nme <\\\\|end|><|end|>\n"
+    assert [m.count("<|") for m in got.values()] == [2] * 4
+    clash = odd.withColumnsRenamed({"doc_id": "conv_id", "source": "role", "length": "turn"}).withColumns({"conv": F.lit(1), "perspective": F.lit("p"), "position": F.lit(0)})
+    assert chat.rotate(clash).count() == len(ODD)  # a null role is a speaker too
+    assert chat.rotate(clash.limit(0)).count() == 0
+
+
+# keys
+
+
+BIG = 2**60 + 1
+
+
+def test_keys_keep_all_their_bits(spark, tokenizer_path):
+    text = "some plain words of a text that is long enough for every rule of the list so that it stays where it is in the end"
+    docs = spark.createDataFrame([(BIG, text, "a"), (None, text + " and more", "a"), (BIG + 2, None, "a")], DOCS)
+    bench = spark.createDataFrame([("x", text)], "item_id string, text string")
+    ids = lambda df: sorted((r[0] for r in df.collect()), key=str)
+    same = sorted([BIG, None, BIG + 2], key=str)
+    labels = spark.createDataFrame([(BIG, 1)], "doc_id long, quality int")
+    found = decontaminate.matches(docs, bench)
+    assert {r["doc_id"]: r["item_ids"] for r in found.collect()}[BIG] == ["x"]
+    assert {r["doc_id"]: r["item_ids"] for r in decontaminate.matches(docs, bench, max_broadcast=0).collect()}[BIG] == ["x"]
+    pieces = packing.tokenize(docs, tokenizer_path)
+    for made in (found, pii.scan(docs), quality_rules.judge(docs), language_model.score(docs), quality_model.score_documents(docs, labels), near_dup.near_duplicates(docs), pieces, packing.pack(pieces), sharding.shard(docs), pii.redact(docs)):
+        assert ids(made) == same, made.columns
+    assert {r["component_id"] for r in near_dup.near_duplicates(docs.filter("doc_id is null or text is not null")).collect()} == {BIG}
+    for kept in (decontaminate.drop_contaminated(docs, bench), near_dup.keep_one(docs), quality_rules.keep_good(docs)):
+        assert set(ids(kept)) <= set(same)
+    assert ids(near_dup.keep_one(docs)) == sorted([BIG, BIG + 2], key=str)
+    named = docs.withColumn("doc_id", F.concat(F.lit("k"), F.col("doc_id").cast("string")))
+    for made in (decontaminate.matches(named, bench), pii.scan(named), quality_rules.judge(named), language_model.score(named), near_dup.near_duplicates(named), packing.pack(packing.tokenize(named, tokenizer_path))):
+        assert ids(made) == sorted([f"k{BIG}", None, f"k{BIG + 2}"], key=str)
+
+
 # the pipeline
 
 
@@ -467,7 +588,8 @@ def test_pipeline_against_brute_force(spark, tmp_path, tokenizer_path):
     assert sorted({r["doc_id"] for r in got}) == [*range(20), 104]
     own = packing.WordIds(tokenizer_path)
     for i, t in [*enumerate(texts), (104, rows[-1][1].replace("a.b@c.org", "[EMAIL]"))]:
-        ids = [*np.frombuffer(own.of([t])[0], "<u4").tolist(), 0]
+        ids = ids_of(own, [t])[0]
+        assert [x for r in got if r["doc_id"] == i for x in r["ids"]] == ids
         assert [r["ids_crc32"] for r in got if r["doc_id"] == i] == [zlib.crc32(np.array(ids, "<u4").tobytes())]
 
 
