@@ -6,12 +6,13 @@ reread as the next stage's docs. All but the last return the columns of `documen
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from provena.llm import decontaminate, near_dup, packing, pii, quality_rules
-from provena.llm.common import documents, shared_dir
+from provena.llm.common import documents, remove, scratch, shared_dir
 from provena.llm.queries import word_tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -39,7 +40,7 @@ def anonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: a row for each piece of a document with its ids and place."""
-    return packing.pack(packing.tokenize(docs, word_tokenizer(), with_ids=False))
+    return packing.pack(packing.tokenize(docs, word_tokenizer()))
 
 
 STAGES: list[tuple[str, Stage]] = [("quality_rules", good), ("near_dedup", distinct), ("decontamination", clean), ("pii", anonymous), ("packing", packed)]
@@ -49,13 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    import uuid
-
-    shared_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = documents(spark, sf_dir)
+    """All stages over documents, each written to the shared folder and read again; only the last one's table stays there."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with scratch():
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, f"{folder}/{before}")
+        before = name
     return docs
