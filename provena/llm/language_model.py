@@ -56,34 +56,69 @@ def relabelled(codes: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
     return seen, place[codes]
 
 
-class Block:
-    """Texts (an Arrow array) in numeric form: words as numbers into word_keys, grams of order+1 bytes as numbers into grams."""
-
-    def __init__(self, texts: pa.Array, order: int):
-        words = Words(pc.ascii_lower(texts))
-        # the end of a text is a token; no text has its byte
-        self.word_keys = np.append(words.hashes(), np.uint64(0)).view(np.int64)
-        self.word_at = np.insert(words.codes, words.starts[1:], len(self.word_keys) - 1)
-        self.n_words = np.diff(words.starts) + 1
-        self.word_starts = np.cumsum(self.n_words) - self.n_words
-        raw = [t.as_buffer() if t.is_valid else b"" for t in texts.cast(pa.binary())]
-        self.n_bytes = np.array([len(t) for t in raw], np.int64)
-        self.sizes = self.n_bytes + 1
-        body = np.frombuffer(b"".join(x for t in raw for x in (bytes([PAD] * order), t, bytes([END]))), np.uint8)
-        self.gram_starts = np.cumsum(self.sizes) - self.sizes
-        inside = np.ones(len(body), bool)
-        starts = np.cumsum(self.sizes + order) - (self.sizes + order)
-        for k in range(order):
-            inside[starts + k] = False
-        at = np.flatnonzero(inside).astype(np.int32)
-        alphabet, dense = relabelled(body, 256)
-        label, grams = dense[at - order], alphabet.astype(np.int64)
-        for k in range(order - 1, -1, -1):
-            code = label * np.int32(len(alphabet)) if len(grams) * len(alphabet) < 1 << 31 else label.astype(np.int64) * len(alphabet)
-            code += dense[at - k]
-            seen, label = relabelled(code, len(grams) * len(alphabet))
-            grams = (grams[seen // len(alphabet)] << 8) | alphabet[seen % len(alphabet)]
-        self.grams, self.gram_at = grams, label
+#: Entries that are counted or summed at one time.
+STEP = 1 << 20
+
+
+class Numbered:
+    """Texts as numbers: at names, symbol after symbol, one of the distinct keys; text k has sizes[k] symbols."""
+
+    def __init__(self, keys: np.ndarray, at: np.ndarray, sizes: np.ndarray):
+        self.keys, self.at, self.sizes = keys, at, sizes
+        self.ends = np.cumsum(sizes)
+
+    def counts(self, chosen: np.ndarray) -> np.ndarray:
+        """How often each key occurs in the chosen texts."""
+        out = np.zeros(len(self.keys), np.int64)
+        for a, b in self.steps():
+            start = self.ends[a - 1] if a else 0
+            out += np.bincount(self.at[start : self.ends[b - 1]][np.repeat(chosen[a:b], self.sizes[a:b])], minlength=len(out))
+        return out
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For each text the sum of its symbols' values."""
+        out = np.zeros(len(self.sizes), values.dtype)
+        for a, b in self.steps():
+            start = self.ends[a - 1] if a else 0
+            out[a:b] = np.add.reduceat(values[self.at[start : self.ends[b - 1]]], self.ends[a:b] - self.sizes[a:b] - start)
+        return out
+
+    def steps(self) -> Iterator[tuple[int, int]]:
+        """Texts in runs of about STEP symbols."""
+        a, n = 0, len(self.sizes)
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(self.ends, (self.ends[a - 1] if a else 0) + STEP, side="right")))
+            yield a, b
+            a = b
+
+
+def words_of(texts: pa.Array) -> Numbered:
+    """Each text's words, A-Z lower-cased, and its end, which is a token too."""
+    words = Words(pc.ascii_lower(texts))
+    keys = np.append(words.hashes(), np.uint64(0)).view(np.int64)
+    return Numbered(keys, np.insert(words.codes, words.starts[1:], len(keys) - 1), np.diff(words.starts) + 1)
+
+
+def grams_of(texts: pa.Array, order: int) -> Numbered:
+    """Each text's bytes and its end, each as the gram of it and the `order` bytes before it."""
+    raw = [t.as_buffer() if t.is_valid else b"" for t in texts.cast(pa.binary())]
+    sizes = np.array([len(t) + 1 for t in raw], np.int64)
+    body = np.frombuffer(b"".join(x for t in raw for x in (bytes([PAD] * order), t, bytes([END]))), np.uint8)
+    inside = np.ones(len(body), bool)
+    starts = np.cumsum(sizes + order) - (sizes + order)
+    for k in range(order):
+        inside[starts + k] = False
+    at = np.flatnonzero(inside).astype(np.int32)
+    alphabet, dense = relabelled(body, 256)
+    dense = dense.astype(np.uint8)
+    label, grams = dense[at - order].astype(np.int32), alphabet.astype(np.int64)
+    for k in range(order - 1, -1, -1):
+        code = label if len(grams) * len(alphabet) < 1 << 31 else label.astype(np.int64)
+        code *= code.dtype.type(len(alphabet))
+        code += dense[at - k]
+        seen, label = relabelled(code, len(grams) * len(alphabet))
+        grams = (grams[seen // len(alphabet)] << 8) | alphabet[seen % len(alphabet)]
+    return Numbered(grams, label, sizes)
 
 
 def packed(rows: pa.Table) -> bytes:
@@ -97,6 +132,11 @@ def unpacked(body: bytes) -> pa.Table:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
 
 
+def texts_of(table: pa.Table) -> pa.Array:
+    found = table["text"].combine_chunks()
+    return pa.concat_arrays(found.chunks) if isinstance(found, pa.ChunkedArray) else found
+
+
 def blocks(rows: DataFrame, order: int, block_bytes: int) -> DataFrame:
     """(block, kind, key, at, n, body) of rows (id, text, train): a TEXT row for each block, WORD and GRAM rows for its distinct words and grams, numbered, with their training counts."""
     schema = "block long, kind int, key long, at int, n long, body binary"
@@ -104,8 +144,7 @@ def blocks(rows: DataFrame, order: int, block_bytes: int) -> DataFrame:
     def made(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = uuid.uuid4().int >> 65
         table = pa.Table.from_batches(held).combine_chunks()
-        train = table["train"].to_numpy()
-        own = Block(table["text"].combine_chunks() if isinstance(table["text"], pa.ChunkedArray) else table["text"], order)
+        train, texts = table["train"].to_numpy(), texts_of(table)
 
         def out(kind: int, keys: np.ndarray, counts: np.ndarray, body: bytes | None = None) -> pa.RecordBatch:
             n = len(keys)
@@ -113,8 +152,8 @@ def blocks(rows: DataFrame, order: int, block_bytes: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(arrays, names=["block", "kind", "key", "at", "n", "body"])
 
         yield out(TEXT, np.zeros(1, np.int64), np.array([table.num_rows]), packed(table))
-        yield out(WORD, own.word_keys, np.bincount(own.word_at[np.repeat(train, own.n_words)], minlength=len(own.word_keys)))
-        yield out(GRAM, own.grams, np.bincount(own.gram_at[np.repeat(train, own.sizes)], minlength=len(own.grams)))
+        for kind, own in ((WORD, words_of(texts)), (GRAM, grams_of(texts, order))):
+            yield out(kind, own.keys, own.counts(train))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -193,24 +232,29 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
     counts = cut(words.groupBy("key").agg(F.sum("n").alias("value")))
     n_known = counts.filter("value > 0").count()
     scores = gram_scores(grams, order)
-    answer = lambda own, values, k: own.select("block", "key", "at").join(values.select("key", F.col("value").cast("double").alias("value")), "key").select(F.col("block").alias("of"), F.lit(k).alias("kind"), "at", "value")
-    answers = answer(words, counts, WORD).unionByName(answer(grams, scores, GRAM))
-
-    def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = unpacked(texts["body"][0].as_py()).combine_chunks()
-        own = Block(rows["text"].combine_chunks() if isinstance(rows["text"], pa.ChunkedArray) else rows["text"], order)
-        kinds, at, value = (answers[c].to_numpy() for c in ("kind", "at", "value"))
-        count, per_gram = np.zeros(len(own.word_keys)), np.zeros(len(own.grams))
-        count[at[kinds == WORD]] = value[kinds == WORD]
-        per_gram[at[kinds == GRAM]] = value[kinds == GRAM]
-        return pa.table({
-            "id": rows["id"], "train": rows["train"], "n_tokens": own.n_words.astype(np.int64),
-            "n_known": np.add.reduceat((count > 0).astype(np.int64)[own.word_at], own.word_starts),
-            "logs": np.add.reduceat(np.log10(count + 0.5)[own.word_at], own.word_starts), "score": np.add.reduceat(per_gram[own.gram_at], own.gram_starts), "n_bytes": own.n_bytes,
-        })
-
-    scored = cut(bodies.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(run, f"id {kind}, train boolean, n_tokens long, n_known long, logs double, score double, n_bytes long"))
+    answer = lambda own, values: own.select("block", "key", "at").join(values.select("key", F.col("value").cast("double").alias("value")), "key").select(F.col("block").alias("of"), "at", "value")
+
+    def run_words(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = unpacked(texts["body"][0].as_py())
+        own = words_of(texts_of(rows))
+        count = np.zeros(len(own.keys))
+        count[answers["at"].to_numpy()] = answers["value"].to_numpy()
+        return pa.table({"block": np.full(len(rows), key[0].as_py(), np.int64), "row": np.arange(len(rows)), "n_tokens": own.sizes, "n_known": own.sums((count > 0).astype(np.int64)), "logs": own.sums(np.log10(count + 0.5))})
+
+    def run_grams(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = unpacked(texts["body"][0].as_py())
+        own = grams_of(texts_of(rows), order)
+        value = np.zeros(len(own.keys))
+        value[answers["at"].to_numpy()] = answers["value"].to_numpy()
+        return pa.table({"of": np.full(len(rows), key[0].as_py(), np.int64), "place": np.arange(len(rows)), "id": rows["id"], "train": rows["train"], "score": own.sums(value), "n_bytes": own.sizes - 1})
+
+    # one after the other, so that only one of the two exchanges is on disk at a time
+    by = lambda own, values: bodies.groupBy("block").cogroup(answer(own, values).groupBy("of"))
+    by_word = cut(by(words, counts).applyInArrow(run_words, "block long, row long, n_tokens long, n_known long, logs double"))
+    by_gram = cut(by(grams, scores).applyInArrow(run_grams, f"of long, place long, id {kind}, train boolean, score double, n_bytes long"))
     drop(table, counts, scores)
+    scored = cut(by_gram.join(by_word, (F.col("of") == F.col("block")) & (F.col("place") == F.col("row"))))
+    drop(by_word, by_gram)
     n_train = scored.agg(F.coalesce(F.sum(F.when(F.col("train"), F.col("n_tokens"))), F.lit(0))).first()[0]
     base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(n_train + 0.5 * (n_known + 1)))
     return scored.select(F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), "score", "n_bytes")
