@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provena import functions as fn
@@ -89,8 +89,8 @@ def grouped(answer: object) -> dict[str, list]:
 def plan(sources: DataFrame, evidence: DataFrame, limit: int = 0, offset: int = 0, source_types: Sequence[str] | None = None) -> DataFrame:
     """Evidence with source_type and `skip`: why a row isn't sent (blank: it is).
 
-    The place of a row among the eligible ones is a count of those before it; rows are numbered
-    only where an offset or a limit asks for it.
+    Rows are not numbered: the order values at which the offset ends and the limit is reached are
+    looked up, by a bounded sort of the first offset + limit eligible rows.
     """
     kinds = last_wins(ordered(sources), "source_id").select(text("source_id").alias("_sid"), text("source_type").alias("source_type"))
     rows = conform(ordered(evidence), EVIDENCE)
@@ -99,11 +99,11 @@ def plan(sources: DataFrame, evidence: DataFrame, limit: int = 0, offset: int =
     rows = rows.withColumn("skip", F.when(filtered, "source type filtered").when(~usable(rows, strict=True), "non-usable evidence").otherwise(""))
     if not limit and not offset:
         return rows
-    place = F.row_number().over(Window.orderBy(ORDER))
-    sent = rows.filter("skip = ''").select(ORDER, place.alias("_place"))
-    placed = rows.join(sent, ORDER, "left")
-    late = F.when(F.col("_place") <= offset, "llm offset skipped").when((F.lit(limit) > 0) & (F.col("_place") > offset + limit), "llm limit reached").otherwise("")
-    return placed.withColumn("skip", F.when(F.col("skip") != "", F.col("skip")).otherwise(late)).drop("_place")
+    sent = rows.filter("skip = ''").select(ORDER)
+    bound = lambda n, name: sent.orderBy(ORDER).limit(n).agg(F.max(ORDER).alias(name))
+    bounds = bound(offset, "_from").crossJoin(bound(offset + limit, "_to"))  # one row
+    late = F.when(F.lit(offset > 0) & (F.col(ORDER) <= F.col("_from")), "llm offset skipped").when(F.lit(limit > 0) & (F.col(ORDER) > F.col("_to")), "llm limit reached").otherwise("")
+    return rows.crossJoin(F.broadcast(bounds)).withColumn("skip", F.when(F.col("skip") != "", F.col("skip")).otherwise(late)).drop("_from", "_to")
 
 
 def ask(planned: DataFrame, client: Client, pause: float = 0.0) -> DataFrame:
@@ -149,12 +149,18 @@ def said(value: Column) -> Column:
     return F.when(F.lower(F.trim(value)).isin("true", "yes", "required", "available"), "true").otherwise(F.trim(value))
 
 
+def tagged_items(group: str, kind: str) -> Column:
+    """The items of one group of an answer, each with the group's name."""
+    items = F.coalesce(F.col(f"g.{group}"), F.array().cast(kind))
+    return F.transform(items, lambda x: F.struct(F.lit(group).alias("group"), x.alias("x")))
+
+
 def facts(answered: DataFrame, run_ts: str) -> DataFrame:
     """Facts of the answers that pass the gates: source type, quote, and what each group needs."""
     item_type = "array<struct<" + ", ".join(f"{f}: string" for f in FIELDS) + ">>"
     groups = F.from_json("answer", ", ".join(f"{g} {item_type}" for g in GROUPS))
     rows = answered.filter("answer <> ''").withColumn("g", groups)
-    tagged = F.concat(*[F.transform(F.coalesce(F.col(f"g.{g}"), F.array().cast(item_type)), lambda x, g=g: F.struct(F.lit(g).alias("group"), x.alias("x"))) for g in GROUPS])
+    tagged = F.concat(*[tagged_items(g, item_type) for g in GROUPS])
     items = rows.select("evidence_id", "university_id", "url", "extracted_text", "source_type", ORDER, F.posexplode(tagged).alias("_place", "i")).select("*", "i.group", "i.x").drop("i")
     allowed = F.lit(False)
     for g, kinds in ALLOWED.items():

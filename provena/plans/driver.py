@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from provena import functions as fn
@@ -235,11 +235,27 @@ def name_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = table(spark, sf_dir, "nation").select("n_nationkey", fn.simple_name(fn.normalize_name(F.concat(F.col("n_name"), F.lit(" steel and lavender")))).alias("a"))
+    """The five best parts for each nation's name by shared words, at the candidates' threshold."""
+    name = F.concat(pick(F.col("n_nationkey"), "small ring works", "red widget house", "blue bolt", "steel and lavender"), F.lit(" of "), pick(F.col("n_nationkey"), "", "the north", ""))
+    left = table(spark, sf_dir, "nation").select("n_nationkey", fn.simple_name(fn.normalize_name(name)).alias("a"))
     right = table(spark, sf_dir, "part").select("p_partkey", fn.simple_name(fn.normalize_name(F.col("p_name"))).alias("b")).withColumn("token", F.explode(F.array_distinct(F.split("b", " "))))
     pairs = left.withColumn("token", F.explode(F.array_distinct(F.split("a", " ")))).join(right, "token").select("n_nationkey", "p_partkey", "a", "b").distinct()
     jaccard, containment = rankings.token_scores(F.col("a"), F.col("b"))
-    return pairs.select("n_nationkey", "p_partkey", F.bround(F.greatest(jaccard * 0.82, containment * 0.78), 3).alias("score"))
+    scored = pairs.select("n_nationkey", "p_partkey", F.bround(F.greatest(jaccard * 0.82, containment * 0.78), 3).alias("score")).filter(F.col("score") >= rankings.CANDIDATE)
+    place = F.row_number().over(Window.partitionBy("n_nationkey").orderBy(F.desc("score"), "p_partkey"))
+    return scored.withColumn("place", place).filter("place <= 5")
+
+
+def model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of model answers that are written over orders: some quotes, source types and dates fail their gates."""
+    n, price = F.col("o_orderkey"), F.floor("o_totalprice").cast("string")
+    tuition = F.concat(F.lit('{"supporting_text": "'), pick(n, "tuition for STUDENTS is", "not on this page", "Tuition", " for students is "), F.lit('", "amount_min": '), price, F.lit(', "currency": "'), pick(F.col("o_custkey"), "usd", "eur", ""), F.lit('", "confidence_score": '), pick(n, "0.9", "1.5", "null", "0.4", "0.4"), F.lit("}"))
+    deadline = F.concat(F.lit('{"supporting_text": "apply by 1 March", "date_text": "'), pick(n, "1 March", ""), F.lit('"}'))
+    answered = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("e"), n.cast("string")).alias("evidence_id"), F.lit("u").alias("university_id"), F.lit("https://example.org").alias("url"), F.concat(F.lit("Tuition  for students is "), price, F.lit(" USD a year. Apply by 1 March.")).alias("extracted_text"),
+        pick(n, "tuition_fees", "graduate_admissions", "career").alias("source_type"), F.concat(F.lit('{"tuition_facts": ['), tuition, F.lit('], "deadline_facts": ['), deadline, F.lit("]}")).alias("answer"), n.alias(ORDER),
+    )
+    return llm_facts.facts(answered, "2026-01-01").select("evidence_id", "fact_type", "fact_key", "value_number", "value_currency", "confidence_score")
 
 
 def candidate_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,5 +322,5 @@ ALL = (
     classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows,
     tag_sets, facts_split_union, prefer_origin, first_value_by_order, ordered_distinct_summary, cert_join_display, coverage_score, batch_qa_counts, profile_flagship, field_gaps, quality_gate, import_qa_status, country_fallback, data_quality_fmt,
     normalize_source_map, drop_reason_counts, retry_filter, repairs_first_match, merge_crawl, search_anti_join, promote_anti_union, rank_dedupe_argmin, name_normalize, token_similarity_join, candidate_confidence, json_cells, url_hosts,
-    llm_quote_gate, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, json_records,
+    llm_quote_gate, model_facts, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, json_records,
 )

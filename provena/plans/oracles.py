@@ -223,12 +223,19 @@ UNION ALL SELECT 'src_' || substr(sha1(uid || '|' || st || '|' || url), 1, 16),
 RANKS = """WITH t AS (SELECT s_suppkey, 'Univ & Co ' || s_suppkey % 40 || ' (Old)' AS institution_name, CASE WHEN s_suppkey % 7 = 0 THEN '' WHEN s_suppkey % 3 = 0 THEN '=' || abs(floor(s_acctbal))::BIGINT ELSE abs(floor(s_acctbal))::BIGINT || '-9999' END AS rank_raw, 'univ and co ' || s_suppkey % 40 AS normalized_name FROM supplier),
 n AS (SELECT *, regexp_extract(replace(rank_raw, '=', ''), '(\\d+)', 1) AS rank_numeric FROM t), r AS (SELECT *, row_number() OVER (PARTITION BY normalized_name ORDER BY coalesce(try_cast(rank_numeric AS BIGINT), 10000000), s_suppkey) AS k FROM n)
 SELECT normalized_name, institution_name, rank_raw, rank_numeric, CASE rank_raw WHEN '' THEN '' ELSE 'QS 2026 #' || rank_raw END AS rank_display, CASE WHEN contains(rank_raw, '-') THEN 'needs_review' ELSE 'approved' END AS review_status FROM r WHERE k = 1"""
-NAMES = """WITH t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(replace(lower(strip_accents(substr(text, 1, 60) || ' & (x) of the ' || source)), '&', ' and '), '\\([^)]*\\)', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS norm FROM documents)
+NAMES = """WITH t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(replace(lower(strip_accents(text || ' & (x) of the ' || source)), '&', ' and '), '\\([^)]*\\)', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS norm FROM documents)
 SELECT doc_id, norm, array_to_string(list_filter(string_split(norm, ' '), lambda x: x NOT IN ('', 'the', 'of', 'and', 'at', 'in', 'for')), ' ') AS simple FROM t"""
 SIMPLE = "list_distinct(list_filter(string_split(trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x NOT IN ('', 'the', 'of', 'and', 'at', 'in', 'for')))"
-TOKENS = f"""WITH l AS (SELECT n_nationkey, {SIMPLE.format("n_name || ' steel and lavender'")} AS a FROM nation), r AS (SELECT p_partkey, {SIMPLE.format('p_name')} AS b FROM part),
-j AS (SELECT n_nationkey, p_partkey, len(list_intersect(a, b)) AS k, len(a) AS na, len(b) AS nb FROM l, r)
-SELECT n_nationkey, p_partkey, round_even(greatest(k / (na + nb - k) * 0.82, k / least(na, nb) * 0.78)::DOUBLE, 3) AS score FROM j WHERE k > 0"""
+NATION_NAME = f"{pick('n_nationkey', 'small ring works', 'red widget house', 'blue bolt', 'steel and lavender')} || ' of ' || {pick('n_nationkey', '', 'the north', '')}"
+TOKENS = f"""WITH l AS (SELECT n_nationkey, {SIMPLE.format(NATION_NAME)} AS a FROM nation), r AS (SELECT p_partkey, {SIMPLE.format('p_name')} AS b FROM part),
+j AS (SELECT n_nationkey, p_partkey, len(list_intersect(a, b)) AS k, len(a) AS na, len(b) AS nb FROM l, r),
+s AS (SELECT n_nationkey, p_partkey, round_even(greatest(k / (na + nb - k) * 0.82, k / least(na, nb) * 0.78)::DOUBLE, 3) AS score FROM j WHERE k > 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY score DESC, p_partkey)::INT AS place FROM s WHERE score >= 0.62)
+SELECT * FROM p WHERE place <= 5"""
+MODEL = f"""WITH t AS (SELECT 'e' || o_orderkey AS evidence_id, {pick('o_orderkey', 'tuition_fees', 'graduate_admissions', 'career')} AS st, o_orderkey % 4 IN (0, 3) AS quoted, o_orderkey % 2 = 0 AS dated,
+  floor(o_totalprice)::BIGINT::VARCHAR AS n, {pick('o_custkey', 'USD', 'EUR', 'USD')} AS code, {pick('o_orderkey', '0.90', '1.00', '0.72', '0.40', '0.40')} AS sure FROM orders)
+SELECT evidence_id, 'tuition' AS fact_type, 'tuition_fee' AS fact_key, n AS value_number, code AS value_currency, sure AS confidence_score FROM t WHERE st = 'tuition_fees' AND quoted
+UNION ALL SELECT evidence_id, 'application', 'application_deadline_candidate', '', '', '0.70' FROM t WHERE st = 'graduate_admissions' AND dated"""
 CONFIDENCE = f"""WITH t AS (SELECT page_id, page_id % 5 + 1 AS rank, url, {pick('page_id', 'tuition_fees', 'program_catalog')} AS st, lower({pick('page_id', 'Tuition fees', 'Official page', 'x')} || '  ' || url) AS j, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host FROM pages),
 s AS (SELECT *, 0.45 + CASE WHEN page_id % 4 <> 0 AND suffix(host, 'example.com') THEN 0.25 ELSE 0 END + CASE WHEN contains(j, split_part(st, '_', 1)) THEN 0.05 ELSE 0 END + CASE WHEN contains(j, split_part(st, '_', 2)) THEN 0.05 ELSE 0 END + CASE WHEN contains(j, 'official') THEN 0.05 ELSE 0 END - 0.03 * (rank - 1) AS v FROM t WHERE rank <= 3)
 SELECT 'u' || page_id AS university_id, st AS source_type, url AS candidate_url, rank::VARCHAR AS rank, format('{{:.2f}}', v::DOUBLE) AS confidence_score FROM s"""
@@ -259,5 +266,5 @@ SQL = {
     "profile_flagship": FLAGSHIP, "field_gaps": GAPS, "quality_gate": GATE, "import_qa_status": QA_STATUS, "country_fallback": FALLBACK,
     "data_quality_fmt": "SELECT c_custkey, format('{:.2f}', round_even((c_custkey % 17) / 16.0::DOUBLE, 2)) AS score, round_even(c_acctbal / 2.0, 0)::BIGINT AS half FROM customer",
     "normalize_source_map": NORMALIZE, "drop_reason_counts": DROPS, "retry_filter": RETRY, "repairs_first_match": REPAIRS, "merge_crawl": MERGE, "search_anti_join": SEARCH, "promote_anti_union": PROMOTE, "rank_dedupe_argmin": RANKS,
-    "name_normalize": NAMES, "token_similarity_join": TOKENS, "candidate_confidence": CONFIDENCE, "json_cells": JSON, "url_hosts": HOSTS, "llm_quote_gate": QUOTES, "limit_offset_report": LIMITS, "validation_errors": VALIDATE,
+    "name_normalize": NAMES, "token_similarity_join": TOKENS, "candidate_confidence": CONFIDENCE, "json_cells": JSON, "url_hosts": HOSTS, "llm_quote_gate": QUOTES, "model_facts": MODEL, "limit_offset_report": LIMITS, "validation_errors": VALIDATE,
 }
