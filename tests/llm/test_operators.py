@@ -202,6 +202,32 @@ def test_classifier_learns_and_is_held_out(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.3) for r in got.values())
 
 
+def test_ftrl_against_brute_force():
+    """Updates coordinate by coordinate, over dictionaries."""
+    rng, model = random.Random(24), quality_model.Ftrl(6)
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    weight = lambda i: 0.0 if abs(z[i]) <= model.l1 else -(z[i] - math.copysign(model.l1, z[i])) / ((model.beta + math.sqrt(n[i])) / model.alpha + model.l2)
+    for _ in range(300):
+        found, label = [rng.randrange(64) for _ in range(rng.randint(0, 12))], rng.choice([0.0, 1.0])
+        x = {i: k * quality_model.SCALE / len(found) for i, k in collections.Counter(found).items()} | {64: 1.0}
+        total = sum(weight(i) * v for i, v in x.items())
+        p = 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+        assert quality_model.score(np.array(found, np.int64), model.weights()) == pytest.approx(p, abs=1e-5)
+        for i, v in x.items():
+            g = (p - label) * v
+            w = weight(i)
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / model.alpha * w
+            n[i] += g * g
+        model.learn(np.array(found, np.int64), label)
+    assert model.weights() == pytest.approx([weight(i) for i in range(65)], abs=1e-5)
+
+
+def test_features_read_whole_words():
+    make = quality_model.Features()
+    long = "x" * 64
+    assert make.of(f"{long}a")[0] != make.of(f"{long}b")[0] and make.of("_abc")[0] != make.of("_abd")[0] and make.of("$$$$")[0] != make.of("$$$")[0]
+
+
 def test_classifier_without_labels(odd, empty, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in quality_model.score_documents(odd, none).collect()} == {0.5}
@@ -462,6 +488,23 @@ def test_sharding_limits_and_prefixes(spark):
             assert sum(n for k, n in size.items() if k.startswith(name[:-1])) > 2000
 
 
+def test_sharding_against_a_rebuild(spark):
+    """A directory that splits one bucket after the other, from the rows' own bits."""
+    rng = random.Random(25)
+    rows = [(k, "x" * rng.randint(0, 300), "s") for k in range(500)]
+    got = {r["doc_id"]: r for r in sharding.shard(spark.createDataFrame(rows, DOCS), limit=3000).collect()}
+    # the first 32 bits come from the key alone, and distinct keys part within them here
+    code = {k: f"{int(hashlib.md5(str(k).encode()).hexdigest()[:8], 16):032b}" for k, _, _ in rows}
+    todo, shard = [("", rows)], {}
+    while todo:
+        name, held = todo.pop()
+        if len(held) <= 1 or sum(len(t) for _, t, _ in held) <= 3000:
+            shard |= {k: name for k, _, _ in held}
+        else:
+            todo += [(name + bit, [r for r in held if code[r[0]][len(name)] == bit]) for bit in "01"]
+    assert {k: r["shard"] for k, r in got.items()} == shard
+
+
 def test_sharding_odd_rows(odd, empty):
     assert sharding.shard(odd).count() == len(ODD)
     assert sharding.shard(empty).count() == 0
@@ -513,6 +556,40 @@ def test_decontamination_finds_names_in_any_place_and_case(spark):
     assert found_items(spark, rows, [(1, item), (2, ITEM)]) == {1: [1], 2: [1], 3: [2], 4: []}
 
 
+def test_decontamination_hits_against_brute_force():
+    """Window meetings by comparing template tokens one by one, in every place and both forms."""
+    rng = random.Random(26)
+    token = lambda: rng.choice(["the", "of", "Ann", "Bob", "12", "7", "kg", "hours", "river.", "stone", "two", "Blue", "and,\n"])
+    item_texts = [" ".join(token() for _ in range(rng.randint(1, 14))) for _ in range(12)] + ["", None]
+    texts = [" ".join(token() for _ in range(rng.randint(0, 60))) for _ in range(60)] + [None]
+    items = decontaminate.Items(item_texts, 4)
+    parts = items.make.of(pa.array(texts, pa.string()))
+    name = items.make.slots[1]
+    forms = lambda p, t: {int(p.template[t])} | ({name} if p.either[t] else set())
+    want = set()
+    for d in range(len(texts)):
+        doc = parts.text(d)
+        for k, (own, size) in enumerate(items.parts):
+            for at in range(len(doc) - size + 1) if size else ():
+                for place in range(len(own) - size + 1):
+                    # in documents words of two forms are all plain or all names
+                    for named in (False, True):
+                        if all((name if named and doc.either[at + j] else int(doc.template[at + j])) in forms(own, place + j) for j in range(size)):
+                            want.add((d, k, at, place))
+    assert {tuple(h) for h in items.hits(parts).tolist()} == want and len(want) > 100
+
+
+def test_decontamination_recall_of_new_parameters(spark):
+    """Questions with other names, numbers and units inside other text; two slots may take the same new value."""
+    rng = random.Random(27)
+    plain = lambda n: " ".join(rng.choice(["walks", "to", "the", "market", "and", "buys", "apples", "for", "his", "friend", "near", "bridge"]) + "aeiou"[rng.randrange(5)] for _ in range(n))
+    asks = [f"{plain(3)} {{n1}} {plain(4)} {{a}} {plain(2)} {{b}} {{u}} {plain(5)} {{n1}} {plain(3)} {{a}} {plain(4)}" for _ in range(30)]
+    fill = lambda ask: ask.format(n1=rng.choice(["Tom", "Ann", "Lee", "Kim"]), a=rng.randint(2, 5), b=rng.randint(2, 5), u=rng.choice(["hours", "days", "weeks"]))
+    docs = [(k, f"{plain(30)} {fill(ask)} {plain(30)}") for k, ask in enumerate(asks)] + [(100 + k, plain(90)) for k in range(30)]
+    found = found_items(spark, docs, [(k, fill(ask)) for k, ask in enumerate(asks)])
+    assert all(k in found[k] for k in range(30)) and not any(found[100 + k] for k in range(30))
+
+
 def test_decontamination_odd_rows(odd, empty, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.matches(odd, none).filter(F.size("item_ids") > 0).count() == 0
