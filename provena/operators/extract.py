@@ -69,21 +69,47 @@ def with_context(core: str, radius: int, groups: int) -> tuple[str, int]:
 MONEY_CORE = rf"(<{lx.CURRENCY_SIGNS})\s?(<{lx.AMOUNT})(?:\s?(?:-|to|–|—)\s?(<{lx.CURRENCY_SIGNS})?\s?(<{lx.AMOUNT}))?"
 
 
+#: Two noncharacters, which no text holds in interchange; they mark matches and become U+FFFD where a text has them.
+MARKS = ("\ufdd0", "\ufdd1")
+
+
+def marked_matches(body: Column, pattern: str, radius: int, limit: int) -> Column:
+    """The first matches of a pattern: struct (raw, context), the context with `radius` characters on both sides.
+
+    One pass of the pattern puts marks around the matches; places then follow from the lengths between them.
+    """
+    whole = F.translate(body, "".join(MARKS), "\ufffd\ufffd")
+    parts = F.split(F.regexp_replace(whole, F.lit(pattern), F.lit(f"{MARKS[0]}$0{MARKS[1]}")), MARKS[0])
+    first = F.struct(F.length(F.get(parts, F.lit(0))).alias("at"), F.array().cast("array<struct<at:int,raw:string>>").alias("found"))
+
+    def add(held: Column, part: Column) -> Column:
+        match = F.struct(held["at"].alias("at"), F.substring_index(part, MARKS[1], 1).alias("raw"))
+        return F.struct((held["at"] + F.length(part) - 1).alias("at"), F.array_append(held["found"], match).alias("found"))
+
+    found = F.aggregate(F.slice(parts, 2, limit), first, add, lambda held: held["found"])
+
+    def shaped(m: Column) -> Column:
+        before = F.least(m["at"], F.lit(radius))
+        return F.struct(m["raw"].alias("raw"), F.substr(whole, m["at"] - before + 1, before + F.length(m["raw"]) + radius).alias("context"))
+
+    return F.transform(found, shaped)
+
+
 def money_matches(body: Column, limit: int = 40) -> Column:
     """The first matches of an amount with a currency: struct (raw, currency, low, high, context)."""
-    pattern, last = with_context(MONEY_CORE, 140, 4)
-    group = lambda k: F.regexp_extract_all(body, F.lit(pattern), F.lit(k))
-    zipped = F.arrays_zip(group(1).alias("before"), group(2).alias("raw"), group(3).alias("sign"), group(4).alias("one"), group(6).alias("two"), group(last).alias("after"))
+    grouped = f"(?is)^{MONEY_CORE.replace('(<', '(')}"
 
     def shaped(m: Column) -> Column:
+        part = lambda k: F.regexp_extract(m["raw"], grouped, k)
         number = lambda x: F.regexp_replace(x, r"[^0-9]", "").try_cast("long")
-        sign = F.upper(m["sign"])
+        sign = F.upper(part(1))
         code = F.coalesce(fn.lookup(lx.CURRENCY_CODES, sign), sign)
-        one, two = F.nullif(number(m["one"]), F.lit(0)), F.nullif(number(m["two"]), F.lit(0))
+        one, two = F.nullif(number(part(2)), F.lit(0)), F.nullif(number(part(4)), F.lit(0))
         # least and greatest skip nulls
-        return F.struct(m["raw"].alias("raw"), code.alias("currency"), F.least(one, two).alias("low"), F.greatest(one, two).alias("high"), fn.clean_sentence(F.concat(m["before"], m["raw"], m["after"])).alias("context"))
+        return F.struct(m["raw"].alias("raw"), code.alias("currency"), F.least(one, two).alias("low"), F.greatest(one, two).alias("high"), fn.clean_sentence(m["context"]).alias("context"))
 
-    return F.filter(F.transform(F.slice(zipped, 1, limit), shaped), lambda m: m["low"].isNotNull())
+    plain = f"(?is){MONEY_CORE.replace('(<', '(?:')}"
+    return F.filter(F.transform(marked_matches(body, plain, 140, limit), shaped), lambda m: m["low"].isNotNull())
 
 
 def money_label(context: Column) -> Column:
