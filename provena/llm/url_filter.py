@@ -83,8 +83,8 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(url: Column) -> Column:
-    """Distinct tokens of a url, with the empty token for rules that have none."""
-    return F.array_union(F.array(F.lit("")), F.array_distinct(F.regexp_extract_all(ascii_lower(F.coalesce(url, F.lit(""))), F.lit("[a-z0-9]+"), 0)))
+    """Distinct tokens of a url."""
+    return F.array_distinct(F.regexp_extract_all(ascii_lower(F.coalesce(url, F.lit(""))), F.lit("[a-z0-9]+"), 0))
 
 
 def token_counts(urls: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
@@ -101,7 +101,7 @@ def token_counts(urls: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
 
 
 def index(rules: Sequence[Rule], counts: dict[str, int]) -> dict[str, list[int]]:
-    """Token to the numbers of the rules filed under it."""
+    """Token to the numbers of the rules filed under it; those without a token are under the empty one."""
     filed: dict[str, list[int]] = {}
     for k, rule in enumerate(rules):
         filed.setdefault(min(rule.tokens, key=lambda t: (counts.get(t, 0), -len(t), t), default=""), []).append(k)
@@ -126,6 +126,8 @@ def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url", host_rul
     rules = [host_rule(*r) for r in host_rules] + [pattern_rule(p) for p in patterns]
     urls = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"))
     filed = index(rules, token_counts(urls, rules))
+    # no token can fetch these, so every url is tried in the projection and none of them meets the join
+    loose = [rules[k] for k in filed.pop("", [])]
     parsed = urls.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "tokens": tokens_of(F.col("url")), "low": ascii_lower(F.coalesce("url", F.lit("")))})
     subject = F.concat("host", "path")
     matches = lambda r: F.regexp_like(F.when(r["host"], subject).otherwise(F.col("low")), r["regex"])
@@ -139,6 +141,8 @@ def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url", host_rul
         distinct = parsed.select("url", "host", "path", "low", "tokens").distinct()
         found = distinct.withColumn("token", F.explode("tokens")).join(table, "token").filter(matches(F.col("rule"))).groupBy("url").agg(F.collect_set("rule").alias("matched"))
         judged = parsed.join(found.withColumnRenamed("url", "found_url"), F.col("url").eqNullSafe(F.col("found_url")), "left").withColumn("matched", F.coalesce("matched", F.expr(f"from_json('[]', 'array<struct<{ROW.replace(' ', ':').replace(',:', ',')}>>')")))
+    if loose:
+        judged = judged.withColumn("matched", F.concat("matched", F.filter(F.array(*map(_row, loose)), matches)))
     judged = judged.withColumns({
         "by_host": _best(F.col("matched"), lambda r: r["host"]),
         "by_exception": _best(F.col("matched"), lambda r: ~r["host"] & (r["action"] == "allow")),
