@@ -19,9 +19,17 @@ from pyspark.sql import functions as F
 from provena import schemas as sc
 from provena import sinks
 from provena.operators import discovery, extract, llm_facts, profiles, quality, rankings, source_map
+from provena.materialize import written
 from provena.sources import fetch as crawling
-from provena.sources import tables
+from provena.sources import models, tables
 
+#: Outputs that the pipeline's manifest lists, by name.
+PIPELINE_OUTPUTS = {
+    **{k: f"{k}.csv" for k in ("sources", "evidence", "facts", "facts_extracted", "facts_generated", "facts_llm", "llm_extraction_report", "programs", "qa_report", "batch_qa_report", "field_gap_report")},
+    "product_profiles": "university_product_profiles.csv", "import": "universities_import.csv", "matching_tags": "university_matching_tags.csv", "writer_context": "university_writer_context.csv", "quality_gate": "pilot_quality_gate.csv",
+}
+#: Fewer ranking records than this from plain pages, and a browser is asked too.
+FEW_RECORDS = 100
 #: verb: options (name, default); None: required.
 VERBS: dict[str, dict[str, object]] = {
     "validate-sources": {"seed": None, "sources": None},
@@ -77,8 +85,13 @@ def load_env(path: str = ".env") -> None:
 class Clients:
     """What reaches outside; tests and deployments set their own."""
 
-    def __init__(self, fetch: crawling.Fetcher | None = None, search: Callable[[str], list[dict]] | None = None, model: llm_facts.Client | None = None, browser: crawling.Fetcher | None = None):
+    def __init__(
+        self, fetch: crawling.Fetcher | None = None, search: Callable[[str], list[dict]] | None = None, model: llm_facts.Client | None = None, browser: crawling.Fetcher | None = None,
+        transport: models.Transport | None = None, capture: Callable[[str, int], tuple[str, list]] | None = None,
+    ):
+        """transport carries requests to model providers; capture(url, seconds) gives a page as a browser shows it and the JSON values that it loaded."""
         self.fetch, self.search, self.model, self.browser = fetch or crawling.open_file, search, model, browser
+        self.transport, self.capture = transport, capture
 
 
 class Run:
@@ -107,10 +120,9 @@ class Run:
         return int(bool(found))
 
     def crawl_sources(self) -> int:
-        done = crawling.crawl(self.read(self.a.sources), self.now, self.clients.fetch, self.a.timeout, self.clients.browser).persist()
+        done = written(crawling.crawl(self.read(self.a.sources), self.now, self.clients.fetch, self.a.timeout, self.clients.browser))
         self.write(done.select("source.*").orderBy(sc.ORDER), self.out("sources.csv"), sc.SOURCE)
         self.write(done.select("evidence.*").orderBy(sc.ORDER), self.out("evidence.csv"), sc.EVIDENCE)
-        done.unpersist()
         return 0
 
     def extract_facts(self) -> int:
@@ -135,7 +147,8 @@ class Run:
         gate = profiles.quality_gate(built, facts).persist()
         self.write(gate, self.out("pilot_quality_gate.csv"), sc.GATE)
         inputs = {k: getattr(a, k) for k in ("seed", "sources", "facts", "rankings", "country_costs", "evidence") if getattr(a, k)}
-        sinks.write_manifest(a.out_dir, a.run_id or sinks.run_id(), inputs, self.outputs, self.counts, [r.asDict() for r in gate.collect()])  # four rows
+        self.gate = [r.asDict() for r in gate.collect()]  # four rows
+        sinks.write_manifest(a.out_dir, a.run_id or sinks.run_id(), inputs, self.outputs, self.counts, self.gate, sinks.optional_json(self.out("llm_metadata.json")))
         built.unpersist()
         return 0
 
@@ -144,9 +157,15 @@ class Run:
             return 1
         a = self.a
         self.crawl_sources()
+        given = a.sources
         a.sources, a.evidence, a.facts = self.out("sources.csv"), self.out("evidence.csv"), self.out("facts.csv")
         self.extract_facts()
-        return self.build_profiles()
+        self.build_profiles()
+        inputs = {k: getattr(a, k) for k in ("seed", "sources", "rankings", "country_costs")} | {"sources": given}
+        outputs = {k: self.out(name) for k, name in PIPELINE_OUTPUTS.items()}
+        counts = self.counts | {k: self.counts[Path(p).stem] for k, p in outputs.items() if Path(p).stem in self.counts}
+        sinks.write_manifest(a.out_dir, a.run_id or sinks.run_id("pilot"), inputs, self.outputs | outputs, counts, self.gate, sinks.optional_json(self.out("llm_metadata.json")))
+        return 0
 
     def discover_sources(self) -> int:
         self.write(source_map.starter(self.read(self.a.seed)).orderBy(sc.ORDER), self.a.out, sc.SOURCE)
@@ -198,9 +217,7 @@ class Run:
         if self.clients.search is None:
             raise RuntimeError("search-sources needs a search client")
         requests = source_map.search_requests(self.read(self.a.seed), self.read(self.a.existing_sources), split_set(self.a.source_types) or [])
-        search = self.clients.search
-        rows = [(r["search_query"], k, str(hit.get("link", "")), str(hit.get("title", "")), str(hit.get("snippet", ""))) for r in requests.select("search_query").distinct().toLocalIterator() for k, hit in enumerate(search(r["search_query"]), 1)]
-        results = self.spark.createDataFrame(rows, "search_query string, rank int, link string, title string, snippet string")
+        results = written(crawling.searched(requests, self.clients.search))
         self.write(source_map.search_candidates(requests, results, self.a.per_type_limit).orderBy("university_id", "source_type", F.col("rank").cast("int")), self.a.out, sc.SEARCH)
         return 0
 
@@ -211,10 +228,15 @@ class Run:
 
     def extract_facts_llm(self) -> int:
         a = self.a
-        if self.clients.model is None:
-            raise RuntimeError("extract-facts-llm needs a model client")
+        client = self.clients.model
+        if client is None:
+            if self.clients.transport is None:
+                raise RuntimeError("extract-facts-llm needs a model client or a transport")
+            a.provider = models.provider_name(a.provider)
+            a.model = models.model_name(a.provider, a.model)
+            client = models.client(self.clients.transport, a.provider, a.model)
         planned = llm_facts.plan(self.read(a.sources), self.read(a.evidence), a.limit, a.offset, split_set(a.source_types))
-        answered = llm_facts.ask(planned, self.clients.model, a.sleep_seconds).persist()
+        answered = written(llm_facts.ask(planned, client, a.sleep_seconds))
         made = llm_facts.facts(answered, self.now).persist()
         old = self.read(self.out("facts.csv")).persist() if Path(self.out("facts.csv")).exists() else tables.read_optional(self.spark, "", sc.FACT)
         old.count()
@@ -232,11 +254,36 @@ class Run:
         self.write(best.orderBy(rankings.or_large(F.col("rank_numeric")), sc.ORDER), self.out("qs_normalized.csv"), sc.RANKING_NORMALIZED)
 
     def fetch_qs_rankings(self) -> int:
-        from provena.lexicons import RANKING_PROVIDER, RANKING_URL, RANKING_YEAR
-
-        body, kind = self.clients.fetch(RANKING_URL, 60)
-        pages = self.spark.createDataFrame([(body.decode("utf-8", "replace"),)], "body string")
-        found = rankings.records(pages).withColumns({"ranking_provider": F.lit(RANKING_PROVIDER), "ranking_year": F.lit(RANKING_YEAR), "source_url": F.lit(RANKING_URL), "retrieved_at": F.lit(date.today().isoformat())})
+        """Ranking records of the official addresses; answers and failures are kept beside the tables. With few records, those that a browser captures are added."""
+        from provena.lexicons import RANKING_PROVIDER, RANKING_URL, RANKING_URLS, RANKING_YEAR
+
+        def keep(name: str, content: str) -> None:
+            Path(self.out(name)).parent.mkdir(parents=True, exist_ok=True)
+            Path(self.out(name)).write_text(content, encoding="utf-8")
+
+        def mined() -> DataFrame:
+            return rankings.records(self.spark.createDataFrame([(k, b) for k, b in enumerate(bodies)], f"{sc.ORDER} long, body string"))
+
+        bodies, refused = [], []
+        for k, url in enumerate(RANKING_URLS, 1):
+            try:
+                bodies.append(self.clients.fetch(url, 60)[0].decode("utf-8", "replace"))
+                keep(f"qs_official_response_{k}.txt", bodies[-1])
+            except Exception as failure:  # noqa: BLE001  an address that doesn't answer leaves the others
+                refused.append(f"{url}\nQS static fetch failed: {failure}")
+        if refused:
+            keep("fetch_qs_static_error.txt", "\n\n".join(refused))
+        if not self.a.no_playwright and mined().count() < FEW_RECORDS:
+            try:
+                if self.clients.capture is None:
+                    raise RuntimeError(crawling.BROWSER_NOTE)
+                page, values = self.clients.capture(RANKING_URL, 90)
+                keep("qs_playwright_page.html", page)
+                keep("qs_playwright_payloads.json", json.dumps(values, ensure_ascii=False, indent=2) + "\n")
+                bodies.append(json.dumps(values))
+            except Exception as failure:  # noqa: BLE001  the records found so far are kept
+                keep("fetch_qs_playwright_error.txt", str(failure))
+        found = mined().withColumns({"ranking_provider": F.lit(RANKING_PROVIDER), "ranking_year": F.lit(RANKING_YEAR), "source_url": F.lit(RANKING_URL), "retrieved_at": F.lit(date.today().isoformat())})
         self._ranked(found)
         return 0
 

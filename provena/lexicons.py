@@ -250,6 +250,11 @@ NAME_STOPWORDS = ("the", "of", "and", "at", "in", "for")
 RANKING_PROVIDER = "QS"
 RANKING_YEAR = "2026"
 RANKING_URL = "https://www.topuniversities.com/world-university-rankings"
+# Addresses that are asked for rankings, in this order.
+RANKING_URLS = (
+    RANKING_URL, "https://www.topuniversities.com/universities/json", "https://www.topuniversities.com/universities/api",
+    "https://www.topuniversities.com/universities/static/api", "https://www.topuniversities.com/universities/qs-world-university-rankings",
+)
 RANK_HEADERS = ("rank", "rank_raw", "rank display", "rank_display", "2026 rank", "overall rank", "world rank")
 NAME_HEADERS = ("institution_name", "institution", "university", "university name", "name", "title")
 COUNTRY_HEADERS = ("country", "location", "country/territory", "country territory", "region")

@@ -9,7 +9,7 @@ from provena import functions as fn
 from provena import lexicons as lx
 from provena.operators import discovery, extract, llm_facts, profiles, quality, rankings, source_map
 from provena.plans import shapes as sh
-from provena.schemas import ORDER, SOURCE, text
+from provena.schemas import ORDER, RANKING_NORMALIZED, SOURCE, text
 
 table, pick = sh.table, sh.pick
 
@@ -99,12 +99,52 @@ def deadline_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def program_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, n = table(spark, sf_dir, "part"), F.col("p_partkey")
     body = F.concat(F.lit("We offer Bachelor of "), F.col("p_name"), F.lit("; and "), pick(n, "Master of Laws", "PhD in physics", "nothing"), F.lit(". End"))
-    sources = p.limit(0).select(F.lit("").alias("source_id"), F.lit("").alias("source_type"), F.lit(0).cast("long").alias(ORDER))
-    sources = sources.unionByName(spark.createDataFrame([("all", "program_catalog", 0)], f"source_id string, source_type string, {ORDER} long"))
-    evidence = p.select(n.cast("string").alias("evidence_id"), F.lit("all").alias("source_id"), n.cast("string").alias("university_id"), F.lit("u").alias("url"), body.alias("extracted_text"), F.lit("ok").alias("status"), F.lit("usable").alias("content_quality_status"), n.alias(ORDER))
+    sources = sh.typed_sources(spark, sf_dir, 5, "program_catalog", "tuition_fees", "program_catalog")
+    size = F.col("p_size")
+    quality_status = F.when(size % 6 == 0, "blocked").when(size % 5 == 0, "").otherwise("usable")
+    evidence = p.select(n.cast("string").alias("evidence_id"), F.concat(F.lit("k"), (n % 5).cast("string")).alias("source_id"), n.cast("string").alias("university_id"), F.lit("u").alias("url"), body.alias("extracted_text"), F.when(size % 7 == 0, "failed").otherwise("ok").alias("status"), quality_status.alias("content_quality_status"), n.alias(ORDER))
     return extract.programs(sources, evidence).select("program_id", "university_id", "name", "normalized_name", "degree_level", "field_of_study")
 
 
+def classify_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as evidence, classified anew by the type of the last source of their id; some have none."""
+    d, n = table(spark, sf_dir, "documents"), F.col("doc_id")
+    sources = sh.typed_sources(spark, sf_dir, 4, "housing", "career", "program_catalog")
+    evidence = d.select(
+        n.cast("string").alias("evidence_id"), F.concat(F.lit("k"), (n % 5).cast("string")).alias("source_id"), F.col("source").alias("title"), F.col("text").alias("extracted_text"), F.lit("").alias("error"),
+        F.when(n % 3 == 0, "fetched").otherwise("").alias("fetch_status"), F.when(n % 50 == 7, "failed").otherwise("ok").alias("status"), n.alias(ORDER),
+    )
+    found = quality.classify_evidence(sources, evidence)
+    return found.select(F.col("evidence_id").cast("long").alias("doc_id"), "text_len", F.col("content_quality_status").alias("status"), F.col("content_quality_reason").alias("reason"), F.col("content_signal_score").alias("score"))
+
+
+def facts_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of parts written as pages of seven source types, some of them not usable."""
+    p, n, size = table(spark, sf_dir, "part"), F.col("p_partkey"), F.col("p_size")
+    said = pick(size, "Our residence and housing office", "Career and internship service", "We do not offer scholarships", "Apply with UCAS: portfolio and interview", "Rolling admission for bachelor of law", "Scholarship for master students", "Nothing more")
+    evidence = p.select(
+        n.cast("string").alias("evidence_id"), F.concat(F.lit("k"), (n % 7).cast("string")).alias("source_id"), F.lit("u").alias("university_id"), F.lit("https://example.org").alias("url"), F.concat(F.col("p_name"), F.lit(". "), said, F.lit(".")).alias("extracted_text"),
+        F.when(n % 9 == 4, "failed").otherwise("ok").alias("status"), pick(F.floor(n / 7), "usable", "", "blocked").alias("content_quality_status"), n.alias(ORDER),
+    )
+    found = extract.facts(sh.typed_sources(spark, sf_dir, 6, *sh.ROUTED), evidence, "2026-01-01")
+    return found.select("evidence_id", "fact_type", "fact_key", "value_text", "confidence_score", "fact_origin")
+
+
+def match_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of nations: scored suppliers as candidates, taken if they are sure, else older ranks stay."""
+    s, n = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    made = {"institution_name": F.col("s_name"), "rank_numeric": n.cast("string"), "rank_display": F.concat(F.lit("#"), n.cast("string")), "review_status": pick(n, "approved", "needs_review")}
+    row = F.struct(*[made.get(c, F.lit("")).alias(c) for c in RANKING_NORMALIZED])
+    scored = s.select(F.col("s_nationkey").cast("long").alias("seed_ord"), row.alias("row"), n, ((F.lit(62) + n * 7 % 39) / F.lit(100.0)).alias("score"))
+    order = Window.partitionBy("seed_ord").orderBy(F.desc("score"), "s_suppkey")
+    found = scored.withColumns({"place": F.row_number().over(order), "next_score": F.lead("score").over(order)})
+    nations, k = table(spark, sf_dir, "nation"), F.col("n_nationkey")
+    base = nations.filter(k % 3 != 1).select(F.col("n_name").alias("university_id"), F.when(k % 3 == 0, (k + 1).cast("string")).otherwise("").alias("qs_rank"), F.lit("7").alias("the_rank"), F.lit("old").alias("rank_display"), F.lit("approved").alias("review_status"), F.lit("kept").alias("notes"), k.cast("long").alias(ORDER))
+    imports, report = rankings.match(sh.nation_seed(spark, sf_dir), found, base)
+    imports = imports.select("university_id", "qs_rank", "the_rank", "rank_display", "review_status", "notes")
+    return imports.join(report.select("university_id", "match_status", "matched_name", "confidence_score", F.col("notes").alias("said")), "university_id")
+
+
 def tag_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").withColumn("low", F.lower("text"))
     found = d.select("source", F.explode(F.concat(fn.tags(F.col("low"), lx.SUBJECTS), fn.tags(F.col("low"), lx.STUDY_LEVELS), fn.tags(F.col("low"), lx.VIBES), fn.tags(F.col("low"), lx.SUPPORTS))).alias("tag"))
@@ -295,9 +335,11 @@ def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def greedy_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suggestions of pages, chosen type by type, each url once for an institution."""
+    """Suggestions of pages, chosen type by type, each url once for an institution and none that its map has."""
     offered = link_dedupe_first(spark, sf_dir).withColumn("university_name", F.lit("n"))
-    current = sh.page_sources(spark, sf_dir).limit(0)
+    p, n = table(spark, sf_dir, "pages"), F.col("page_id")
+    own = F.regexp_extract("url", "^[^?#]*", 0)
+    current = p.select(F.concat(F.lit("u"), F.pmod(n, F.lit(20)).cast("string")).alias("university_id"), F.lit("Uni").alias("university_name"), F.lit("tuition_fees").alias("source_type"), F.concat(own, pick(n, "/fees", "/apply", "/other", "")).alias("url"), n.alias(ORDER))
     return discovery.candidate_map(current, offered, 2).select("source_id", "university_id", "source_type", "url", "notes")
 
 
@@ -319,7 +361,7 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = (
-    classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows,
+    classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows, classify_evidence, facts_routing, match_report,
     tag_sets, facts_split_union, prefer_origin, first_value_by_order, ordered_distinct_summary, cert_join_display, coverage_score, batch_qa_counts, profile_flagship, field_gaps, quality_gate, import_qa_status, country_fallback, data_quality_fmt,
     normalize_source_map, drop_reason_counts, retry_filter, repairs_first_match, merge_crawl, search_anti_join, promote_anti_union, rank_dedupe_argmin, name_normalize, token_similarity_join, candidate_confidence, json_cells, url_hosts,
     llm_quote_gate, model_facts, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, json_records,

@@ -52,15 +52,20 @@ def signal(kind: str, low: str) -> str:
     return f"CASE {cases} ELSE 0.5 END"
 
 
-CLASSIFY = f"""
-WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, {KIND4} AS kind, lower(coalesce(source, '') || ' ' || coalesce(text, '')) AS low, doc_id % 50 = 7 AS failed FROM documents),
-s AS (SELECT *, {signal('kind', 'low')} AS sig, {first_tag('low', lx.BLOCKS, 'NULL')} AS block FROM d),
+def typed(ids: int, *types: str) -> str:
+    return f"k AS (SELECT 'k' || n_nationkey % {ids} AS sid, arg_max({pick('n_nationkey', *types)}, n_nationkey) AS kind FROM nation GROUP BY 1)"
+
+
+JUDGED = f"""s AS (SELECT *, {signal('kind', 'low')} AS sig, {first_tag('low', lx.BLOCKS, 'NULL')} AS block FROM d),
 r AS (SELECT *, CASE WHEN failed THEN 'fetch_failed' WHEN block IS NOT NULL THEN block WHEN n < 800 THEN 'too_short' WHEN sig <= 0 THEN 'low_signal' ELSE 'usable' END AS status FROM s)
 SELECT doc_id, n AS text_len, status,
   CASE WHEN failed THEN 'fetch failed' WHEN block IS NOT NULL THEN 'matched ' || block || ' pattern' WHEN n < 120 THEN 'text_len < 120' WHEN n < 800 THEN 'text_len < 800'
        WHEN status = 'low_signal' THEN 'missing expected keywords for ' || kind ELSE 'passed basic content checks' END AS reason,
   format('{{:.2f}}', CASE WHEN failed OR block IS NOT NULL OR n < 120 THEN 0.0 WHEN n < 800 THEN 0.15 WHEN status = 'low_signal' THEN 0.2 ELSE sig END::DOUBLE) AS score
 FROM r"""
+CLASSIFY = f"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, {KIND4} AS kind, lower(coalesce(source, '') || ' ' || coalesce(text, '')) AS low, doc_id % 50 = 7 AS failed FROM documents), {JUDGED}"""
+RECLASSIFY = f"""WITH {typed(4, 'housing', 'career', 'program_catalog')},
+d AS (SELECT doc_id, length(coalesce(text, '')) AS n, coalesce(kind, '') AS kind, lower(coalesce(source, '') || ' ' || coalesce(text, '')) AS low, doc_id % 50 = 7 AND doc_id % 3 <> 0 AS failed FROM documents LEFT JOIN k ON sid = 'k' || doc_id % 5), {JUDGED}"""
 
 MONEY_BODY = f"""'The annual ' || {pick('o_orderkey', 'tuition', 'deposit', 'housing', 'living cost')} || ' for this order is ' || {pick('o_custkey', 'USD', '£', 'EUR', 'S$', '¥')} || ' ' || floor(o_totalprice)::BIGINT || ' to ' || floor(o_totalprice * 1.1)::BIGINT || '.'"""
 MONEY = rf"""
@@ -97,7 +102,7 @@ SELECT o_orderkey, d AS date_text, CASE kind WHEN 'final' THEN '' ELSE kind END
 FROM t WHERE word = 'deadline'"""
 
 PROGRAMS = rf"""
-WITH t AS (SELECT p_partkey, 'We offer Bachelor of ' || p_name || '; and ' || {pick('p_partkey', 'Master of Laws', 'PhD in physics', 'nothing')} || '. End' AS body FROM part),
+WITH {typed(5, 'program_catalog', 'tuition_fees', 'program_catalog')}, t AS (SELECT p_partkey, 'We offer Bachelor of ' || p_name || '; and ' || {pick('p_partkey', 'Master of Laws', 'PhD in physics', 'nothing')} || '. End' AS body FROM part JOIN k ON sid = 'k' || p_partkey % 5 WHERE kind = 'program_catalog' AND p_size % 7 <> 0 AND p_size % 6 <> 0),
 u AS (SELECT p_partkey, unnest(list_slice(regexp_extract_all(body, '(?i)((?:Bachelor|Master|MSc|MA|BSc|PhD|MBA)[^.;:\n]{{3,80}})', 1), 1, 20)) AS raw FROM t),
 n AS (SELECT p_partkey::VARCHAR AS university_id, trim({squeeze('raw')}, ' .;:-') AS name FROM u)
 SELECT 'program_' || substr(sha1(university_id || '|' || lower(trim(name))), 1, 16) AS program_id, university_id, name, lower(name) AS normalized_name, {first_tag('lower(name)', lx.STUDY_LEVELS)} AS degree_level, {first_tag('lower(name)', lx.SUBJECTS)} AS field_of_study FROM n"""
@@ -128,6 +133,42 @@ CERT_JOIN = f"""
 WITH {EVENT_FACTS}, d AS (SELECT DISTINCT university_id, fact_key FROM ef WHERE fact_type = 'cert_requirement')
 SELECT university_id, string_agg(CASE fact_key WHEN 'A_LEVEL' THEN 'A-Level' ELSE fact_key END, '; ' ORDER BY fact_key) AS summary FROM d GROUP BY 1"""
 
+ADMISSIONS = ", ".join(map(q, lx.ADMISSIONS))
+ROUTED = ("scholarships", "program_catalog", "undergraduate_admissions", "housing", "tuition_fees", "career", "graduate_admissions")
+PAGE_TEXTS = ("Our residence and housing office", "Career and internship service", "We do not offer scholarships", "Apply with UCAS: portfolio and interview", "Rolling admission for bachelor of law", "Scholarship for master students", "Nothing more")
+
+
+def each(found: str, fact_type: str, key: str, score: str, origin: str = "extracted_from_source", where: str = "true") -> str:
+    return f"SELECT id, {q(fact_type)} AS fact_type, {q(key)} AS fact_key, unnest({found}) AS value_text, {q(score)} AS confidence_score, {q(origin)} AS fact_origin FROM t WHERE {where}"
+
+
+def known(value: str) -> str:
+    return f"list_filter([{value}], lambda x: x IS NOT NULL)"
+
+
+GRANTS = first("low", lx.SUPPORTS["scholarship"])
+ROUTING = f"""WITH {typed(6, *ROUTED)}, t AS (SELECT p_partkey::VARCHAR AS id, lower(p_name || '. ' || {pick('p_size', *PAGE_TEXTS)} || '.') AS low, coalesce(kind, '') AS st FROM part LEFT JOIN k ON sid = 'k' || p_partkey % 7
+  WHERE p_partkey % 9 <> 4 AND (p_partkey // 7) % 3 <> 2)
+""" + " UNION ALL ".join((
+    each(tags("low", lx.VIBES), "matching", "campus_vibe_tag", "0.45", "generated_by_rule"), each(tags("low", lx.SUPPORTS), "matching", "support_tag", "0.60", "inferred_from_text"),
+    each(tags("low", lx.SUBJECTS), "matching", "subject_tag", "0.62", "inferred_from_text", f"st IN ('program_catalog', {ADMISSIONS})"), each(tags("low", lx.STUDY_LEVELS), "matching", "study_level_tag", "0.62", "inferred_from_text", f"st IN ('program_catalog', {ADMISSIONS})"),
+    each(known(first("low", ("housing", "accommodation", "residence"))), "support", "housing_support", "0.62", where="st = 'housing'"), each(known(first("low", ("career", "employability", "internship"))), "support", "career_services", "0.62", where="st = 'career'"),
+    each(known(GRANTS), "support", "scholarship", "0.62", where="st = 'scholarships'"), each("['true']", "scholarship", "scholarship_available", "0.68", where=f"st = 'scholarships' AND {GRANTS} IS NOT NULL"),
+    each("['false']", "scholarship", "scholarship_available", "0.55", where=f"st = 'scholarships' AND {GRANTS} IS NULL AND {has('low', ('no scholarship', 'not offer scholarships'))}"),
+    each(tags("low", lx.SUBJECTS), "program", "field_of_study", "0.58", where="st = 'program_catalog'"), each(tags("low", lx.STUDY_LEVELS), "program", "degree_level", "0.58", where="st = 'program_catalog'"),
+    each(known(first_tag("low", lx.APPLICATION_SYSTEMS, "NULL")), "application", "application_system", "0.70", where=f"st IN ({ADMISSIONS})"),
+    *[each("['true']", "application", key, score, where=f"st IN ({ADMISSIONS}) AND contains(low, {q(word)})") for key, score, word in (("rolling_admission", "0.75", "rolling admission"), ("portfolio_required", "0.62", "portfolio"), ("interview_required", "0.58", "interview"))],
+))
+ROUTING = f"SELECT id AS evidence_id, fact_type, fact_key, value_text, confidence_score, fact_origin FROM ({ROUTING})"
+MATCHED = """WITH c AS (SELECT s_nationkey, s_suppkey, s_name, (62 + s_suppkey * 7 % 39) / 100.0::DOUBLE AS score FROM supplier),
+r AS (SELECT *, row_number() OVER w AS place, lead(score) OVER w AS later FROM c WINDOW w AS (PARTITION BY s_nationkey ORDER BY score DESC, s_suppkey)),
+m AS (SELECT *, n_nationkey % 3 = 0 AS had, coalesce(score >= 0.88::DOUBLE AND NOT coalesce(score - later < 0.04::DOUBLE, false), false) AS sure FROM nation LEFT JOIN (SELECT * FROM r WHERE place = 1) ON s_nationkey = n_nationkey),
+t AS (SELECT *, CASE WHEN sure THEN CASE WHEN had THEN 'updated' ELSE 'matched' END WHEN had THEN 'existing_preserved' WHEN score IS NOT NULL THEN 'ambiguous' ELSE 'unmatched' END AS match_status FROM m)
+SELECT n_name AS university_id, CASE WHEN sure THEN s_suppkey::VARCHAR WHEN had THEN (n_nationkey + 1)::VARCHAR ELSE '' END AS qs_rank, CASE WHEN (sure AND n_nationkey % 3 <> 1) OR had THEN '7' ELSE '' END AS the_rank,
+  CASE WHEN sure THEN '#' || s_suppkey WHEN had THEN 'old' ELSE '' END AS rank_display, CASE WHEN sure THEN CASE WHEN s_suppkey % 2 = 1 THEN 'needs_review' ELSE 'approved' END WHEN had THEN 'approved' ELSE 'needs_review' END AS review_status,
+  CASE WHEN sure THEN 'QS 2026 official match' WHEN had THEN 'kept' ELSE 'No ranking match yet' END AS notes, match_status, coalesce(s_name, '') AS matched_name, coalesce(format('{:.3f}', score), '') AS confidence_score,
+  CASE match_status WHEN 'existing_preserved' THEN 'Existing approved rank preserved; new match not confident enough' WHEN 'ambiguous' THEN 'Needs manual ranking review' WHEN 'unmatched' THEN 'No QS match candidate' ELSE 'QS match auto-approved' END AS said FROM t"""
+
 SOURCES = f"""os AS (SELECT o_orderkey AS ord, 'o' || o_orderkey AS source_id, 'c' || o_custkey AS university_id, {pick('o_orderkey', 'official_home', 'undergraduate_admissions', 'tuition_fees', 'english_requirements', 'housing', 'career')} AS source_type,
   'https://example.org/' || o_orderkey AS url, substr(o_orderpriority, 1, 1) AS priority, CASE o_orderstatus WHEN 'F' THEN 'fetched' WHEN 'P' THEN 'manual' ELSE 'failed' END AS status, o_orderstatus AS notes FROM orders)"""
 COUNTED = f"""{SOURCES}, ev AS (SELECT l_orderkey, count(*) FILTER (l_returnflag <> 'A') AS usable, count(*) FILTER (l_returnflag = 'A') AS bad FROM lineitem GROUP BY 1), se AS (SELECT os.*, coalesce(usable, 0) AS usable, coalesce(bad, 0) AS bad FROM os LEFT JOIN ev ON l_orderkey = ord)"""
@@ -261,7 +302,7 @@ SQL = {
     "sentence_split_counts": r"SELECT doc_id, len(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) AS n_sentences FROM documents",
     "html_links": f"WITH {LINKS} SELECT page_id, place, href, anchor_text FROM links",
     "html_strip_text": f"SELECT page_id, {STRIP} AS visible FROM pages",
-    "link_classify_explode": LINK_CLASSIFY, "link_dedupe_first": LINK_DEDUPE, "money_facts": MONEY, "usd_range": USD_RANGE, "english_scores": ENGLISH, "cert_flags": CERTS, "deadline_candidates": DEADLINES, "program_rows": PROGRAMS, "tag_sets": TAG_SETS,
+    "link_classify_explode": LINK_CLASSIFY, "link_dedupe_first": LINK_DEDUPE, "money_facts": MONEY, "usd_range": USD_RANGE, "english_scores": ENGLISH, "cert_flags": CERTS, "deadline_candidates": DEADLINES, "program_rows": PROGRAMS, "classify_evidence": RECLASSIFY, "facts_routing": ROUTING, "match_report": MATCHED, "tag_sets": TAG_SETS,
     "facts_split_union": FACTS_UNION, "prefer_origin": PREFER, "first_value_by_order": FIRST_VALUE, "ordered_distinct_summary": SUMMARY, "cert_join_display": CERT_JOIN, "coverage_score": COVERAGE, "batch_qa_counts": BATCH,
     "profile_flagship": FLAGSHIP, "field_gaps": GAPS, "quality_gate": GATE, "import_qa_status": QA_STATUS, "country_fallback": FALLBACK,
     "data_quality_fmt": "SELECT c_custkey, format('{:.2f}', round_even((c_custkey % 17) / 16.0::DOUBLE, 2)) AS score, round_even(c_acctbal / 2.0, 0)::BIGINT AS half FROM customer",

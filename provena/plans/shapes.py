@@ -49,6 +49,16 @@ def order_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Source types of facts_routing, by nation.
+ROUTED = ("scholarships", "program_catalog", "undergraduate_admissions", "housing", "tuition_fees", "career", "graduate_admissions")
+
+
+def typed_sources(spark: SparkSession, sf_dir: str, ids: int, *types: str) -> DataFrame:
+    """Nations as sources of a few ids, each id several times with changing types."""
+    k = F.col("n_nationkey").cast("long")
+    return table(spark, sf_dir, "nation").select(F.concat(F.lit("k"), (k % ids).cast("string")).alias("source_id"), pick(k, *types).alias("source_type"), k.alias(ORDER))
+
+
 def line_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as evidence of orders."""
     l = table(spark, sf_dir, "lineitem")  # noqa: E741

@@ -75,6 +75,14 @@ def rows_in(path: str) -> int:
         return sum(any((v or "").strip() for v in row.values() if isinstance(v, str)) for row in csv.DictReader(handle))
 
 
+def optional_json(path: str) -> dict:
+    """A JSON file's value; empty where there is no file or it doesn't parse."""
+    try:
+        return json.loads(Path(path).read_text(encoding="utf-8"))
+    except (FileNotFoundError, ValueError):
+        return {}
+
+
 def write_manifest(out_dir: str, run: str, inputs: Mapping[str, str], outputs: Mapping[str, str], counts: Mapping[str, int] | None = None, gate: Sequence[Mapping[str, str]] = (), metadata: Mapping[str, object] | None = None) -> dict:
     """run_manifest.json: identity, inputs, outputs, row counts (those of the writes, else read back) and the quality gate."""
     known = dict(counts or {})

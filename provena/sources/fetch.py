@@ -100,6 +100,17 @@ def crawl(sources: DataFrame, run_ts: str, fetch: Fetcher = open_file, timeout:
     return done.select(F.struct(*[source.get(c, F.col(c)).alias(c) for c in SOURCE], ORDER).alias("source"), F.struct(*[evidence.get(c, F.col(c)).alias(c) for c in EVIDENCE], ORDER).alias("evidence"))
 
 
+def searched(requests: DataFrame, search: Callable[[str], list[dict]]) -> DataFrame:
+    """Results of each distinct search_query, ranked from 1. The calls run on the executors; write the rows before use."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hits = [(q, k, *(str(hit.get(c, "")) for c in ("link", "title", "snippet"))) for q in batch["search_query"] for k, hit in enumerate(search(q), 1)]
+            yield pd.DataFrame(hits, columns=["search_query", "rank", "link", "title", "snippet"])
+
+    return requests.select("search_query").distinct().mapInPandas(run, "search_query string, rank int, link string, title string, snippet string")
+
+
 def homepages(sources: DataFrame, fetch: Fetcher = open_file, timeout: int = 25) -> DataFrame:
     """Homepages of official_home sources: university_id, university_name, url, html. Pages that can't be fetched, and PDF, are left out."""
     from provena.sources.html import decoded

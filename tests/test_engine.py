@@ -10,7 +10,7 @@ from provena import cli, sinks
 from provena import functions as fn
 from provena import schemas as sc
 from provena.operators import discovery, extract, llm_facts, profiles, quality, rankings, source_map
-from provena.sources import fetch, html, json_records, tables
+from provena.sources import fetch, html, json_records, models, tables
 
 NOW = "2026-01-01T00:00:00+00:00"
 
@@ -247,6 +247,38 @@ def test_matching(table):
     assert {(r["university_id"], r["candidate_name"]) for r in rankings.candidate_rows(rankings.candidates(seeds, rows, blocking=True)).collect()} == {(r["university_id"], r["candidate_name"]) for r in rankings.candidate_rows(found).collect()}
 
 
+def test_filter_before_the_ratio_loses_nothing(spark):
+    words = ["north", "south", "tech", "college", "universitat", "universidad", "state", "stat", "norte", "cologne", "colombo", "the", ""]
+    names = sorted({f"{a} {b}".strip() for a in words for b in words})
+    pairs = spark.createDataFrame([(a, b) for a in names for b in names], "a string, b string")
+    for side in "ab":
+        pairs = pairs.withColumn(f"n_{side}", rankings.letter_counts(F.col(side)))
+    bound = F.coalesce(rankings.ratio_bound(F.col("a"), F.col("b"), F.col("n_a"), F.col("n_b")), F.lit(1.0))
+    assert pairs.filter(bound < rankings.sequence_ratio("a", "b") - 1e-9).count() == 0
+    assert pairs.filter(bound < 0.5).count() > 0
+
+
+def test_fetched_rankings(spark, tmp_path):
+    page = json.dumps([{"title": f"Univ {k}", "rank": str(k)} for k in range(1, 4)]).encode()
+
+    def fetch_page(url, seconds):
+        if url.endswith("json"):
+            raise OSError("refused")
+        return page, "application/json"
+
+    def run(name, *options, **clients):
+        out = tmp_path / name
+        assert cli.main(["fetch-qs-rankings", "--out-dir", str(out), *options], cli.Clients(fetch=fetch_page, **clients), spark) == 0
+        return out, {p.name for p in out.iterdir()}, tables.read_csv(spark, str(out / "qs_normalized.csv")).count()
+
+    out, files, n = run("plain", "--no-playwright")
+    assert n == 3 and {f"qs_official_response_{k}.txt" for k in (1, 3, 4, 5)} < files and "refused" in (out / "fetch_qs_static_error.txt").read_text() and not any("playwright" in f for f in files)
+    out, files, n = run("browser", capture=lambda url, seconds: ("<html></html>", [{"data": [{"name": "Univ 9", "rank": 9}]}]))
+    assert n == 4 and {"qs_playwright_page.html", "qs_playwright_payloads.json"} < files
+    out, files, n = run("none")
+    assert n == 3 and "playwright" in (out / "fetch_qs_playwright_error.txt").read_text()
+
+
 def test_ranking_files(spark, tmp_path):
     path = tmp_path / "r.csv"
     path.write_text("﻿Some title,,\n,,\n2026 Rank,University Name,Country/Territory\n=17,<b>École</b> X,France\n,,\n501-550,Y,\n", encoding="utf-8")
@@ -284,6 +316,45 @@ def test_model_answers(table):
     assert reasons == ["llm offset skipped", "", "llm limit reached"]
 
 
+@pytest.mark.parametrize(("provider", "reply"), [("openai", {"choices": [{"message": {"content": '{"tuition_facts": []}'}}]}), ("gemini", {"candidates": [{"content": {"parts": [{"text": '{"tuition_'}, {"text": 'facts": []}'}]}}]})])
+def test_providers(provider, reply):
+    sent = []
+
+    def transport(url, headers, body, seconds):
+        sent.append((url, headers, json.loads(body), seconds))
+        return 200, json.dumps(reply).encode()
+
+    env = {"LLM_REQUEST_TIMEOUT": "soon", f"{provider.upper()}_API_KEY": "secret", f"{provider.upper()}_MODEL": "m1"}
+    assert models.client(transport, provider.upper(), env=env)("the prompt", {}) == {"tuition_facts": []}
+    url, headers, body, seconds = sent[0]
+    assert seconds == 180 and "secret" not in url and any("secret" in v for v in headers.values()) and "the prompt" in json.dumps(body) and "m1" in url + json.dumps(body)
+    failing = lambda status, text: models.client(lambda *_: (status, text), provider, key="k", env={})
+    with pytest.raises(RuntimeError, match="extraction failed: HTTP 429 slow down"):
+        failing(429, b"slow down")("p", {})
+    bad = json.loads(json.dumps(reply).replace("[]", "["))
+    with pytest.raises(RuntimeError, match="malformed JSON"):
+        failing(200, json.dumps(bad).encode())("p", {})
+
+
+def test_provider_settings():
+    assert models.provider_name("", {}) == "openai" and models.provider_name(" Gemini ", {}) == "gemini" and models.model_name("gemini", "", {}) and models.time_limit({"LLM_REQUEST_TIMEOUT": "7"}) == 7
+    for wrong in (lambda: models.provider_name("other", {}), lambda: models.client(models.http_post, "openai", env={}), lambda: models.PROVIDERS["gemini"].text({"candidates": []}), lambda: models.PROVIDERS["gemini"].text({"candidates": [{"content": None}]})):
+        with pytest.raises(RuntimeError):
+            wrong()
+
+
+def test_search_runs_on_executors(table):
+    rows = table(["search_query"], {"search_query": "a"}, {"search_query": "a"}, {"search_query": "b"})
+    got = fetch.searched(rows, lambda q: [{"link": f"{q}{k}", "title": None} for k in range(2 if q == "a" else 0)]).collect()
+    assert sorted((r["search_query"], r["rank"], r["link"]) for r in got) == [("a", 1, "a0"), ("a", 2, "a1")]
+
+
+def test_optional_json(tmp_path):
+    (tmp_path / "bad").write_text("{")
+    (tmp_path / "good").write_text('{"a": 1}')
+    assert [sinks.optional_json(str(tmp_path / n)) for n in ("none", "bad", "good")] == [{}, {}, {"a": 1}]
+
+
 def test_answer_forms():
     assert llm_facts.grouped({"facts": [{"fact_type": "Tuition"}]})["tuition_facts"] and llm_facts.grouped([{"cert_requirement_facts": [{"cert": "SAT"}]}])["cert_requirement_facts"]
     assert [llm_facts.route(x) for x in ({"test": "IELTS"}, {"scholarship_available": False}, {"portfolio_required": False}, {"rolling_admission": True}, {})] == ["english_requirement_facts", "scholarship_facts", "", "application_facts", ""]
@@ -321,6 +392,7 @@ def test_pilot_run(spark, tmp_path):
     out = tmp_path / "out"
     assert cli.main(["run-pilot", "--seed", f"{tmp_path}/seed.csv", "--sources", f"{tmp_path}/sources.csv", "--rankings", f"{tmp_path}/rankings.csv", "--out-dir", str(out)], spark=spark) == 0
     manifest = json.loads((out / "run_manifest.json").read_text())
+    assert manifest["row_counts"]["product_profiles"] == 1 and manifest["input_files"]["sources"] == f"{tmp_path}/sources.csv" and manifest["run_id"].startswith("pilot_") and "facts_llm" in manifest["output_files"]
     assert manifest["row_counts"]["university_product_profiles"] == 1 and manifest["row_counts"]["facts"] > 0 and len(manifest["quality_gate_summary"]) == 4
     profile = tables.read_csv(spark, str(out / "university_product_profiles.csv")).first()
     assert (profile["tuition_usd_min"], profile["qs_rank"]) == ("20000", "3")
