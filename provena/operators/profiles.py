@@ -8,7 +8,7 @@ them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provena import functions as fn
@@ -22,12 +22,18 @@ AVOID = (
 BAD_QUALITY = ("blocked", "js_challenge", "too_short", "not_found", "low_signal")
 
 
+def parsed(*fields: str) -> Column:
+    """Fields of value_json as a struct of texts; null for a blank one."""
+    return F.when(text("value_json") != "", F.from_json("value_json", ", ".join(f"`{f}` string" for f in fields)))
+
+
 def fact_groups(facts: DataFrame) -> DataFrame:
     """Facts summarised by institution, type, key and origin class."""
-    rows = ordered(facts)
-    value, amount = text("value_text"), lambda k: F.get_json_object("value_json", f"$.{k}").try_cast("double")
-    code = F.coalesce(F.get_json_object("value_json", "$.currency"), F.lit("USD"))
-    low, high = fn.usd(amount("min"), code), fn.usd(amount("max"), code)
+    value, code = text("value_text"), F.coalesce("_v.currency", F.lit("USD"))
+    # steps of their own, so that the JSON is parsed and an amount converted once for each row
+    rows = ordered(facts).withColumn("_v", parsed("min", "max", "currency"))
+    rows = rows.withColumns({f"_{k}": fn.usd(F.col(f"_v.{k}").try_cast("double"), code) for k in ("min", "max")})
+    low, high = F.col("_min"), F.col("_max")
     both = low.isNotNull() & high.isNotNull()
     return rows.groupBy(text("university_id").alias("university_id"), text("fact_type").alias("fact_type"), text("fact_key").alias("fact_key"), (text("fact_origin") == lx.LLM_ORIGIN).alias("model")).agg(
         F.count("*").alias("n"), F.min_by(F.when(value != "", F.col("value_text")), F.when(value != "", F.col(ORDER))).alias("first"),
@@ -41,20 +47,29 @@ def preferred_values(facts: DataFrame) -> DataFrame:
     return fact_groups(facts).groupBy("university_id", "fact_type", "fact_key").agg(pick("first").alias("value"), pick("low").alias("usd_min"), pick("high").alias("usd_max"))
 
 
-def summaries(facts: DataFrame, wanted: Column, value: Column, limit: int) -> DataFrame:
-    """(university_id, model, found): distinct values in the order in which they first appear, at most `limit`."""
-    rows = ordered(facts).filter(wanted).select(text("university_id").alias("university_id"), (text("fact_origin") == lx.LLM_ORIGIN).alias("model"), value.alias("value"), ORDER).filter("value <> ''")
+def summaries(facts: DataFrame, value: Column, limit: int) -> DataFrame:
+    """(university_id, model, found): distinct values in the order in which they first appear (ties: by value), at most `limit`.
+
+    The window keeps `limit` values of each map task before its shuffle, so no institution's values meet in one task.
+    """
+    rows = ordered(facts)
+    # the generator keeps the filter from computing the value a second time
+    rows = rows.select(text("university_id").alias("university_id"), (text("fact_origin") == lx.LLM_ORIGIN).alias("model"), F.explode(F.array(value)).alias("value"), ORDER).filter("value <> ''")
     firsts = rows.groupBy("university_id", "model", "value").agg(F.min(ORDER).alias("at"))
-    return firsts.groupBy("university_id", "model").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("at", "value"))), 1, limit), lambda x: x["value"]).alias("found"))
+    place = F.row_number().over(Window.partitionBy("university_id", "model").orderBy("at", "value"))
+    kept = firsts.withColumn("place", place).filter(F.col("place") <= limit)
+    return kept.groupBy("university_id", "model").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]).alias("found"))
 
 
-def deadline_value() -> Column:
-    date = fn.clean_summary(F.coalesce(F.get_json_object("value_json", "$.date_text"), F.lit("")), 40)
-    name = fn.clean_summary(F.coalesce(F.get_json_object("value_json", "$.round_name"), F.lit("")), 40)
+def deadline_values(facts: DataFrame) -> DataFrame:
+    """Deadline facts with `_deadline`: round and date as a summary shows them; blank without a date."""
+    rows = facts.filter((text("fact_type") == "application") & (text("fact_key") == "application_deadline_candidate")).withColumn("_v", parsed("date_text", "round_name"))
+    date, name = F.col("_date"), F.col("_round")
+    rows = rows.withColumns({"_date": fn.clean_summary(text("_v.date_text"), 40), "_round": fn.clean_summary(text("_v.round_name"), 40)})
     # capital after anything that isn't a letter
     title = F.initcap(F.regexp_replace(name, r"([^\p{L} ])", "$1 "))
     title = F.regexp_replace(title, r"([^\p{L} ]) ", "$1")
-    return F.when(date.rlike(f"(?i){lx.DATE}"), F.concat(F.when(name == "", "Deadline").otherwise(title), F.lit(": "), date)).otherwise("")
+    return rows.withColumn("_deadline", F.when(date.rlike(f"(?i){lx.DATE}"), F.concat(F.when(name == "", "Deadline").otherwise(title), F.lit(": "), date)).otherwise(""))
 
 
 def fact_fields(facts: DataFrame) -> DataFrame:
@@ -77,27 +92,29 @@ def fact_fields(facts: DataFrame) -> DataFrame:
         count("application").alias("deadline_fact_count"), count("application", "application_deadline_candidate").alias("valid_deadline_fact_count"), count("english_requirement").alias("english_fact_count"),
         F.coalesce(F.sum(F.when((F.col("fact_type") == "english_requirement") & ~F.col("fact_key").endswith("_subscore"), F.col("n"))), F.lit(0)).alias("valid_english_fact_count"), count("matching").alias("matching_tag_count"),
         F.coalesce(F.bool_or(F.when(F.col("fact_type") == "english_requirement", F.col("model"))), F.lit(False)).alias("model_english"),
+        # a model's key with no usable value still replaces the others
+        F.bool_or(F.when(is_key("application", "application_deadline_candidate"), F.col("model"))).alias("model_deadline"),
     )
     tagged = facts.filter((text("fact_type") == "matching") & (text("value_text") != "")).groupBy(text("university_id").alias("university_id")).agg(
         *[F.array_sort(F.collect_set(F.when(F.col("fact_key") == key, F.col("value_text")))).alias(name) for name, key in (("subject_all", "subject_tag"), ("study_level_tags", "study_level_tag"), ("campus_vibe_tags", "campus_vibe_tag"), ("support_tags", "support_tag"))]
     )
-    # a model's key with no usable value still replaces the others
-    model_deadline = groups.filter(is_key("application", "application_deadline_candidate")).groupBy("university_id").agg(F.bool_or("model").alias("model_deadline"))
-    english = summaries(facts, (text("fact_type") == "english_requirement") & text("fact_key").isin("IELTS", "TOEFL", "PTE", "Duolingo"), fn.clean_summary(text("value_text"), 80), 3)
+    english = summaries(facts.filter((text("fact_type") == "english_requirement") & text("fact_key").isin("IELTS", "TOEFL", "PTE", "Duolingo")), fn.clean_summary(text("value_text"), 80), 3)
     english = english.groupBy("university_id").agg(F.max(F.when(F.col("model"), F.col("found"))).alias("english_model"), F.max(F.when(~F.col("model"), F.col("found"))).alias("english_other"))
     cited = facts.filter(text("evidence_id") != "").groupBy(text("university_id").alias("university_id")).agg(F.count_distinct("evidence_id").alias("evidence_count"))
-    by_deadline = summaries(facts, (text("fact_type") == "application") & (text("fact_key") == "application_deadline_candidate"), deadline_value(), 3)
+    by_deadline = summaries(deadline_values(ordered(facts)), F.col("_deadline"), 3)
     by_deadline = by_deadline.groupBy("university_id").agg(F.max(F.when(F.col("model"), F.col("found"))).alias("deadline_model"), F.max(F.when(~F.col("model"), F.col("found"))).alias("deadline_other"))
     out = fields
-    for more in (tagged, model_deadline, english, by_deadline, cited):
+    for more in (tagged, english, by_deadline, cited):
         out = out.join(more, "university_id", "left")
     none = F.array().cast("array<string>")
+    one_of = lambda kind, sep: F.array_join(F.coalesce(F.when(F.col(f"model_{kind}"), F.col(f"{kind}_model")).otherwise(F.col(f"{kind}_other")), none), sep)
+    out = out.withColumns({"_deadlines": one_of("deadline", "; "), "_english": one_of("english", " or ")})
     return out.select(
         "university_id", "tuition_min", "tuition_max", "living_min", "living_max", "scholarship", "application_system", "portfolio", "interview", "cert_requirement_tags", "fact_count", "tuition_fact_count", "valid_tuition_fact_count",
         "deadline_fact_count", "valid_deadline_fact_count", "english_fact_count", "valid_english_fact_count", "matching_tag_count",
         F.slice(F.coalesce("subject_all", none), 1, 5).alias("subject_tags"), *[F.coalesce(c, none).alias(c) for c in ("study_level_tags", "campus_vibe_tags", "support_tags")],
-        fn.clean_summary(F.array_join(F.coalesce(F.when(F.col("model_deadline"), F.col("deadline_model")).otherwise(F.col("deadline_other")), none), "; "), 180).alias("deadlines"),
-        fn.clean_summary(F.array_join(F.coalesce(F.when(F.col("model_english"), F.col("english_model")).otherwise(F.col("english_other")), none), " or "), 160).alias("english"), F.coalesce("evidence_count", F.lit(0)).alias("evidence_count"),
+        fn.clean_summary(F.col("_deadlines"), 180).alias("deadlines"),
+        fn.clean_summary(F.col("_english"), 160).alias("english"), F.coalesce("evidence_count", F.lit(0)).alias("evidence_count"),
     )
 
 

@@ -167,7 +167,7 @@ def first_value_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ordered_distinct_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profiles.summaries(sh.event_facts(spark, sf_dir), F.col("fact_type") == "english_requirement", fn.clean_summary(F.col("value_text"), 80), 3)
+    found = profiles.summaries(sh.event_facts(spark, sf_dir).filter("fact_type = 'english_requirement'"), fn.clean_summary(F.col("value_text"), 80), 3)
     return found.select("university_id", "model", F.array_join("found", " or ").alias("summary"))
 
 

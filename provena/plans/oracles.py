@@ -185,11 +185,11 @@ lev AS (SELECT uid, list_sort(list_distinct(list({pick('n', 'master', 'bachelor'
 app AS (SELECT uid, CASE WHEN bool_or(model) THEN arg_min({pick('n', 'ucas', 'direct', 'ouac')}, ord) FILTER (model) ELSE arg_min({pick('n', 'ucas', 'direct', 'ouac')}, ord) END AS application_system FROM sf WHERE k = 4 GROUP BY 1),
 schol AS (SELECT uid, (CASE WHEN bool_or(model) THEN arg_min({pick('n', 'true', 'false')}, ord) FILTER (model) ELSE arg_min({pick('n', 'true', 'false')}, ord) END) = 'true' AS scholarship_available FROM sf WHERE k = 6 GROUP BY 1),
 ev1 AS (SELECT uid, model, 'IELTS ' || (4 + n % 5) || '.0' AS v, min(ord) AS pos FROM sf WHERE k = 5 GROUP BY 1, 2, 3),
-ev2 AS (SELECT *, row_number() OVER (PARTITION BY uid, model ORDER BY pos) AS r, bool_or(model) OVER (PARTITION BY uid) AS any_model FROM ev1),
-eng AS (SELECT uid, string_agg(v, ' or ' ORDER BY pos) AS english FROM ev2 WHERE r <= 3 AND model = any_model GROUP BY 1),
+ev2 AS (SELECT *, row_number() OVER (PARTITION BY uid, model ORDER BY pos, v) AS r, bool_or(model) OVER (PARTITION BY uid) AS any_model FROM ev1),
+eng AS (SELECT uid, string_agg(v, ' or ' ORDER BY pos, v) AS english FROM ev2 WHERE r <= 3 AND model = any_model GROUP BY 1),
 dl1 AS (SELECT uid, model, CASE n % 3 WHEN 0 THEN 'Early' WHEN 1 THEN 'Regular' ELSE 'Deadline' END || ': ' || d AS v, min(ord) AS pos FROM sf WHERE k = 7 GROUP BY 1, 2, 3),
-dl2 AS (SELECT *, row_number() OVER (PARTITION BY uid, model ORDER BY pos) AS r, bool_or(model) OVER (PARTITION BY uid) AS any_model FROM dl1),
-dead AS (SELECT uid, string_agg(v, '; ' ORDER BY pos) AS deadlines FROM dl2 WHERE r <= 3 AND model = any_model GROUP BY 1),
+dl2 AS (SELECT *, row_number() OVER (PARTITION BY uid, model ORDER BY pos, v) AS r, bool_or(model) OVER (PARTITION BY uid) AS any_model FROM dl1),
+dead AS (SELECT uid, string_agg(v, '; ' ORDER BY pos, v) AS deadlines FROM dl2 WHERE r <= 3 AND model = any_model GROUP BY 1),
 cnt AS (SELECT uid, count(*) AS fact_count, count(DISTINCT n) AS evidence_count, count(*) FILTER (k = 1) AS tuition_n, count(*) FILTER (k IN (4, 7)) AS app_n, count(*) FILTER (k = 7) AS dead_n, count(*) FILTER (k = 5) AS eng_n, count(*) FILTER (k IN (2, 3)) AS match_n FROM sf GROUP BY 1),
 ps AS (SELECT 's' || (p_partkey % (SELECT count(*) FROM supplier) + 1) AS uid, {pick('p_size', 'official_home', 'undergraduate_admissions', 'tuition_fees', 'english_requirements', 'housing')} AS st, p_size % 3 = 0 AS failed, p_partkey % 4 <> 0 AS usable FROM part),
 src AS (SELECT uid, count(*) AS source_count, count(*) FILTER (failed) AS failed_n, count(*) FILTER (usable) AS usable_n, count(*) FILTER (NOT usable) AS bad_n, count(DISTINCT st) FILTER (NOT failed AND usable AND st <> 'housing') / 4.0::DOUBLE AS cov FROM ps GROUP BY 1),
