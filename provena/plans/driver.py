@@ -286,16 +286,27 @@ def token_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("place", place).filter("place <= 5")
 
 
-def model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts of model answers that are written over orders: some quotes, source types and dates fail their gates."""
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model answers written over orders: some quotes, source types and dates fail their gates."""
     n, price = F.col("o_orderkey"), F.floor("o_totalprice").cast("string")
     tuition = F.concat(F.lit('{"supporting_text": "'), pick(n, "tuition for STUDENTS is", "not on this page", "Tuition", " for students is "), F.lit('", "amount_min": '), price, F.lit(', "currency": "'), pick(F.col("o_custkey"), "usd", "eur", ""), F.lit('", "confidence_score": '), pick(n, "0.9", "1.5", "null", "0.4", "0.4"), F.lit("}"))
     deadline = F.concat(F.lit('{"supporting_text": "apply by 1 March", "date_text": "'), pick(n, "1 March", ""), F.lit('"}'))
-    answered = table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("e"), n.cast("string")).alias("evidence_id"), F.lit("u").alias("university_id"), F.lit("https://example.org").alias("url"), F.concat(F.lit("Tuition  for students is "), price, F.lit(" USD a year. Apply by 1 March.")).alias("extracted_text"),
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("e"), n.cast("string")).alias("evidence_id"), F.col("o_orderstatus").alias("source_id"), F.when(n % 5 == 4, "non-usable evidence").otherwise("").alias("skip"), F.when(F.col("o_custkey") % 7 == 3, "timed out").otherwise("").alias("failure"), F.lit("u").alias("university_id"), F.lit("https://example.org").alias("url"), F.concat(F.lit("Tuition  for students is "), price, F.lit(" USD a year. Apply by 1 March.")).alias("extracted_text"),
         pick(n, "tuition_fees", "graduate_admissions", "career").alias("source_type"), F.concat(F.lit('{"tuition_facts": ['), tuition, F.lit('], "deadline_facts": ['), deadline, F.lit("]}")).alias("answer"), n.alias(ORDER),
     )
-    return llm_facts.facts(answered, "2026-01-01").select("evidence_id", "fact_type", "fact_key", "value_number", "value_currency", "confidence_score")
+
+
+def model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of all answers."""
+    return llm_facts.facts(_answers(spark, sf_dir), "2026-01-01").select("evidence_id", "fact_type", "fact_key", "value_number", "value_currency", "confidence_score")
+
+
+def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came of each row of evidence: facts, a failed call, or a reason for not being sent."""
+    answered = _answers(spark, sf_dir).withColumn("answer", F.when((F.col("skip") == "") & (F.col("failure") == ""), F.col("answer")).otherwise(""))
+    found = llm_facts.report(answered, llm_facts.facts(answered, "2026-01-01"), "m")
+    return found.select("evidence_id", "source_id", "source_type", "source_url", "status", "facts_emitted", "error", "model")
 
 
 def candidate_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,5 +375,5 @@ ALL = (
     classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows, classify_evidence, facts_routing, match_report,
     tag_sets, facts_split_union, prefer_origin, first_value_by_order, ordered_distinct_summary, cert_join_display, coverage_score, batch_qa_counts, profile_flagship, field_gaps, quality_gate, import_qa_status, country_fallback, data_quality_fmt,
     normalize_source_map, drop_reason_counts, retry_filter, repairs_first_match, merge_crawl, search_anti_join, promote_anti_union, rank_dedupe_argmin, name_normalize, token_similarity_join, candidate_confidence, json_cells, url_hosts,
-    llm_quote_gate, model_facts, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, json_records,
+    llm_quote_gate, model_facts, model_report, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, json_records,
 )

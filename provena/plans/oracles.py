@@ -273,10 +273,14 @@ j AS (SELECT n_nationkey, p_partkey, len(list_intersect(a, b)) AS k, len(a) AS n
 s AS (SELECT n_nationkey, p_partkey, round_even(greatest(k / (na + nb - k) * 0.82, k / least(na, nb) * 0.78)::DOUBLE, 3) AS score FROM j WHERE k > 0),
 p AS (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY score DESC, p_partkey)::INT AS place FROM s WHERE score >= 0.62)
 SELECT * FROM p WHERE place <= 5"""
-MODEL = f"""WITH t AS (SELECT 'e' || o_orderkey AS evidence_id, {pick('o_orderkey', 'tuition_fees', 'graduate_admissions', 'career')} AS st, o_orderkey % 4 IN (0, 3) AS quoted, o_orderkey % 2 = 0 AS dated,
-  floor(o_totalprice)::BIGINT::VARCHAR AS n, {pick('o_custkey', 'USD', 'EUR', 'USD')} AS code, {pick('o_orderkey', '0.90', '1.00', '0.72', '0.40', '0.40')} AS sure FROM orders)
+ANSWERS = f"""t AS (SELECT 'e' || o_orderkey AS evidence_id, {pick('o_orderkey', 'tuition_fees', 'graduate_admissions', 'career')} AS st, o_orderkey % 4 IN (0, 3) AS quoted, o_orderkey % 2 = 0 AS dated,
+  o_orderstatus, CASE WHEN o_orderkey % 5 = 4 THEN 'non-usable evidence' ELSE '' END AS skip, CASE WHEN o_custkey % 7 = 3 THEN 'timed out' ELSE '' END AS failure, floor(o_totalprice)::BIGINT::VARCHAR AS n, {pick('o_custkey', 'USD', 'EUR', 'USD')} AS code, {pick('o_orderkey', '0.90', '1.00', '0.72', '0.40', '0.40')} AS sure FROM orders)"""
+MODEL = f"""WITH {ANSWERS}
 SELECT evidence_id, 'tuition' AS fact_type, 'tuition_fee' AS fact_key, n AS value_number, code AS value_currency, sure AS confidence_score FROM t WHERE st = 'tuition_fees' AND quoted
 UNION ALL SELECT evidence_id, 'application', 'application_deadline_candidate', '', '', '0.70' FROM t WHERE st = 'graduate_admissions' AND dated"""
+REPORT = f"""WITH {ANSWERS}
+SELECT evidence_id, o_orderstatus AS source_id, st AS source_type, 'https://example.org' AS source_url, CASE WHEN skip <> '' THEN 'skipped' WHEN failure <> '' THEN 'failed' ELSE 'ok' END AS status,
+  CASE WHEN skip = '' AND failure = '' AND ((st = 'tuition_fees' AND quoted) OR (st = 'graduate_admissions' AND dated)) THEN '1' ELSE '0' END AS facts_emitted, CASE WHEN skip <> '' THEN skip ELSE failure END AS error, 'm' AS model FROM t"""
 CONFIDENCE = f"""WITH t AS (SELECT page_id, page_id % 5 + 1 AS rank, url, {pick('page_id', 'tuition_fees', 'program_catalog')} AS st, lower({pick('page_id', 'Tuition fees', 'Official page', 'x')} || '  ' || url) AS j, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host FROM pages),
 s AS (SELECT *, 0.45 + CASE WHEN page_id % 4 <> 0 AND suffix(host, 'example.com') THEN 0.25 ELSE 0 END + CASE WHEN contains(j, split_part(st, '_', 1)) THEN 0.05 ELSE 0 END + CASE WHEN contains(j, split_part(st, '_', 2)) THEN 0.05 ELSE 0 END + CASE WHEN contains(j, 'official') THEN 0.05 ELSE 0 END - 0.03 * (rank - 1) AS v FROM t WHERE rank <= 3)
 SELECT 'u' || page_id AS university_id, st AS source_type, url AS candidate_url, rank::VARCHAR AS rank, format('{{:.2f}}', v::DOUBLE) AS confidence_score FROM s"""
@@ -296,6 +300,30 @@ LINK_DEDUPE = rf"""WITH {LINKS}, linked AS (SELECT *, regexp_extract(url, '^[^?#
 r AS (SELECT *, 'u' || page_id % 20 AS uid, row_number() OVER (PARTITION BY page_id % 20, source_type, link ORDER BY page_id, place) AS k FROM u WHERE hint IS NOT NULL AND NOT regexp_matches(link, '\.jpg$'))
 SELECT uid AS university_id, source_type AS candidate_source_type, link AS url, anchor_text, CASE WHEN contains(low, hint) THEN '0.75' ELSE '0.55' END AS confidence_score, 'matched keyword ''' || hint || '''' AS reason FROM r WHERE k = 1"""
 
+
+def greedy(limit: int) -> str:
+    """Types choose in their order; what one has chosen, or the map has, is closed to the later ones."""
+    steps, chosen = [], ["SELECT uid, url FROM base"]
+    for k, kind in enumerate(lx.CANDIDATE_TYPES):
+        steps.append(f"t{k} AS (SELECT uid, kind, url, reason FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, length(url), url) AS place FROM offered o WHERE kind = {q(kind)} AND NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(chosen)}) c WHERE c.uid = o.uid AND c.url = o.url)) WHERE place <= {limit})")
+        chosen.append(f"SELECT uid, url FROM t{k}")
+    new = " UNION ALL ".join(f"SELECT * FROM t{k}" for k in range(len(steps)))
+    return f"""WITH offered AS (SELECT university_id AS uid, candidate_source_type AS kind, url, confidence_score::DOUBLE AS score, reason FROM ({LINK_DEDUPE})),
+base AS (SELECT 'u' || page_id % 20 AS uid, 'tuition_fees' AS kind, regexp_extract(url, '^[^?#]*') || {pick('page_id', '/fees', '/apply', '/other', '')} AS url, '' AS notes FROM pages),
+{', '.join(steps)},
+a AS (SELECT uid, kind, url, notes FROM base UNION ALL SELECT uid, kind, url, 'candidate from homepage link; review before promotion; ' || reason FROM ({new}))
+SELECT 'src_' || substr(sha1(uid || '|' || kind || '|' || lower(url)), 1, 16) AS source_id, uid AS university_id, kind AS source_type, url, notes FROM a"""
+
+
+def unescaped(x: str) -> str:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        x = f"replace({x}, {q(entity)}, {q(char)})"
+    return x
+
+
+PARSED = f"WITH {LINKS} SELECT page_id, place, regexp_extract(url, '^[^:/?#]+://[^/?#]*') || {unescaped('href')} AS link, {unescaped('anchor_text')} AS anchor_text FROM links"
+RECORDS = "SELECT '=' || (page_id % 90 + 1) AS rank_raw, 'Univ ' || page_id AS institution_name, 'Y' AS country FROM pages"
+
 SQL = {
     "classify_quality": CLASSIFY,
     "stable_ids_and_hash": "SELECT doc_id, 'src_' || substr(sha1(lower(trim(source)) || '|' || lower(trim(lang)) || '|' || doc_id), 1, 16) AS source_id, sha256(text) AS content_hash FROM documents",
@@ -307,5 +335,6 @@ SQL = {
     "profile_flagship": FLAGSHIP, "field_gaps": GAPS, "quality_gate": GATE, "import_qa_status": QA_STATUS, "country_fallback": FALLBACK,
     "data_quality_fmt": "SELECT c_custkey, format('{:.2f}', round_even((c_custkey % 17) / 16.0::DOUBLE, 2)) AS score, round_even(c_acctbal / 2.0, 0)::BIGINT AS half FROM customer",
     "normalize_source_map": NORMALIZE, "drop_reason_counts": DROPS, "retry_filter": RETRY, "repairs_first_match": REPAIRS, "merge_crawl": MERGE, "search_anti_join": SEARCH, "promote_anti_union": PROMOTE, "rank_dedupe_argmin": RANKS,
-    "name_normalize": NAMES, "token_similarity_join": TOKENS, "candidate_confidence": CONFIDENCE, "json_cells": JSON, "url_hosts": HOSTS, "llm_quote_gate": QUOTES, "model_facts": MODEL, "limit_offset_report": LIMITS, "validation_errors": VALIDATE,
+    "name_normalize": NAMES, "token_similarity_join": TOKENS, "candidate_confidence": CONFIDENCE, "json_cells": JSON, "url_hosts": HOSTS, "llm_quote_gate": QUOTES, "model_facts": MODEL, "model_report": REPORT, "limit_offset_report": LIMITS, "validation_errors": VALIDATE,
+    "greedy_candidates": greedy(2), "json_records": RECORDS, "html_parse_text": PARSED,
 }

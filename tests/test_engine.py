@@ -258,6 +258,15 @@ def test_filter_before_the_ratio_loses_nothing(spark):
     assert pairs.filter(bound < 0.5).count() > 0
 
 
+def test_candidates_without_the_filter_are_the_same(table, monkeypatch):
+    seeds = table(sc.SEED, *[{"university_id": f"u{k}", "name": n, "country": "X"} for k, n in enumerate(("University of North Norte", "Nordic Technical Institute", "The Of", "Colombo College", "", "Univ North"))])
+    rows = rankings.normalize(table(sc.RANKING_RAW, *ranked(*[(n, c, str(k)) for k, (n, c) in enumerate((("North University Norte", "X"), ("Norte University", "Y"), ("Technical Nordic Institutes", ""), ("At In", ""), ("Cologne College", "X"), ("Zzz", "X"), ("Univ Nord", "X")))])), "2026-01-01")
+    shown = lambda: sorted(tuple(r) for r in rankings.candidate_rows(rankings.candidates(seeds, rows)).collect())
+    filtered = shown()
+    monkeypatch.setattr(rankings, "HOPELESS", -1.0)
+    assert filtered == shown() and len(filtered) >= 4
+
+
 def test_fetched_rankings(spark, tmp_path):
     page = json.dumps([{"title": f"Univ {k}", "rank": str(k)} for k in range(1, 4)]).encode()
 
