@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provena.llm import chat, decontaminate, language_model, near_dup, packing, pii, quality_model, quality_rules, sharding, url_filter
+from provena.llm import chat, decontaminate, divergence, language_model, near_dup, packing, pii, quality_model, quality_rules, sharding, suffix_dedup, url_filter, vector_codes
 from provena.llm.common import documents
 
 
@@ -61,8 +61,20 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_pii, op3_lm_scoring, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_near_dedup, op8_sharding, op9_decontamination, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_url_filters, op2_pii, op3_lm_scoring, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_near_dedup, op8_sharding, op9_decontamination, op10_chat_formatting, op11_vector_codes, op12_divergence_audit, op13_suffix_dedup)}
 
 
 OP1_SQL = r"""
@@ -113,5 +125,74 @@ FROM h
 """
 
 
+def op11_sql(rounds: int = 4) -> str:
+    """Lloyd's rounds by exhaustive search, one after the other."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT x.part, x.vec_id, x.v, min(struct_pack(d := list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e := b.entry)) AS best
+  FROM x JOIN b{k} b USING (part) GROUP BY x.part, x.vec_id, x.v)""")
+        if k < rounds:
+            steps.append(f"""
+b{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+  FROM b{k} b LEFT JOIN (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS v
+    FROM (SELECT part, best.e AS entry, pos, sum(v[pos])::BIGINT AS s, count(*) AS n FROM a{k}, (SELECT unnest(range(1, 1 + (SELECT max(length(v)) FROM x))) AS pos) GROUP BY ALL)
+    GROUP BY part, entry) m USING (part, entry))""")
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE length(embedding) > 0 AND length(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = length(embedding)),
+x AS MATERIALIZED (SELECT part, vec_id, v[part * (length(v) // 4) + 1 : (part + 1) * (length(v) // 4)] AS v FROM k, (SELECT unnest(range(0, 4)) AS part)),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v FROM x WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 256)),
+{",".join(steps)},
+c AS (SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM c JOIN k USING (vec_id), h
+"""
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+o AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS term_n FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(term_n) AS lang_n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT d.lang, d.source, coalesce(any_value(l.v), 0) AS v, any_value(l.lang_n) AS lang_n, coalesce((SELECT sum(n) FROM c WHERE c.lang = d.lang AND c.source = d.source), 0) AS group_n
+  FROM d LEFT JOIN l USING (lang) GROUP BY d.lang, d.source),
+e AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.group_n + g.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (k.term_n + 1)) // (g.lang_n + g.v)::HUGEINT AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // y.p) FROM e x JOIN e y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+r AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item))::INTEGER AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT, row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // q DESC, encode(term))::INTEGER FROM e WHERE n > 0 AND p > q)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT row, doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT row, doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS least FROM w WHERE length(s) = 100 GROUP BY s),
+x AS (SELECT w.row, w.i, substr(w.s, 1, 2) AS byte, coalesce(m.least < w.doc_id, false) AS starts FROM w LEFT JOIN m ON w.s = m.s),
+y AS (SELECT row, i, byte, max(starts) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM x),
+z AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY row ORDER BY i), false) AS opens FROM y),
+g AS (SELECT row, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS rest FROM z GROUP BY row)
+SELECT d.doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(g.n_removed, 0)::BIGINT AS n_removed, coalesce(g.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(g.rest, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (row)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op10_chat_formatting": OP10_SQL}
+    return {"op1_url_filters": OP1_SQL, "op10_chat_formatting": OP10_SQL, "op11_vector_codes": op11_sql(), "op12_divergence_audit": OP12_SQL, "op13_suffix_dedup": OP13_SQL}
