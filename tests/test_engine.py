@@ -2,6 +2,7 @@
 
 import csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from provena import cli, sinks
 from provena import functions as fn
 from provena import schemas as sc
-from provena.operators import discovery, extract, llm_facts, profiles, quality, rankings, source_map
+from provena.operators import discovery, extract, llm_facts, name_index, profiles, quality, rankings, source_map
 from provena.sources import fetch, html, json_records, models, tables
 
 NOW = "2026-01-01T00:00:00+00:00"
@@ -244,7 +245,6 @@ def test_matching(table):
     imports, report = rankings.match(seeds, found, table(sc.RANKING_IMPORT, {"university_id": "kept", "qs_rank": "99"}))
     assert {r["university_id"]: (r["match_status"], r["qs_rank"]) for r in report.collect()} == {"mit": ("matched", "1"), "york": ("ambiguous", ""), "kept": ("existing_preserved", "99")}
     assert imports.filter("university_id = 'mit'").first()["review_status"] == "approved"
-    assert {(r["university_id"], r["candidate_name"]) for r in rankings.candidate_rows(rankings.candidates(seeds, rows, blocking=True)).collect()} == {(r["university_id"], r["candidate_name"]) for r in rankings.candidate_rows(found).collect()}
 
 
 def test_filter_before_the_ratio_loses_nothing(spark):
@@ -258,13 +258,47 @@ def test_filter_before_the_ratio_loses_nothing(spark):
     assert pairs.filter(bound < 0.5).count() > 0
 
 
-def test_candidates_without_the_filter_are_the_same(table, monkeypatch):
-    seeds = table(sc.SEED, *[{"university_id": f"u{k}", "name": n, "country": "X"} for k, n in enumerate(("University of North Norte", "Nordic Technical Institute", "The Of", "Colombo College", "", "Univ North"))])
-    rows = rankings.normalize(table(sc.RANKING_RAW, *ranked(*[(n, c, str(k)) for k, (n, c) in enumerate((("North University Norte", "X"), ("Norte University", "Y"), ("Technical Nordic Institutes", ""), ("At In", ""), ("Cologne College", "X"), ("Zzz", "X"), ("Univ Nord", "X")))])), "2026-01-01")
-    shown = lambda: sorted(tuple(r) for r in rankings.candidate_rows(rankings.candidates(seeds, rows)).collect())
-    filtered = shown()
-    monkeypatch.setattr(rankings, "HOPELESS", -1.0)
-    assert filtered == shown() and len(filtered) >= 4
+def made_up_names(rng, n):
+    parts = ["North", "Norte", "Nord", "Tech", "Technical", "College", "Colombo", "Universitat", "Universidad", "University", "of", "The", "State", "Stat", "São", "A", "Q", "Zz", "7", "Institute", "Instituto", "Nordic", "(X)"]
+    names = [" ".join(rng.choice(parts) for _ in range(rng.randint(1, 5))) for _ in range(n)]
+    return names + ["".join(rng.choice("abc de") for _ in range(rng.randint(0, 9))) for _ in range(n)] + [names[0][1:], names[1] + "s", names[2][::-1], "", "The Of", "At In"]
+
+
+def test_candidates_equal_the_full_product(table, monkeypatch):
+    """Only pairs that can reach a score meet, and all of them: as many candidates as from every pair."""
+    rng = random.Random(4)
+    pick = lambda: rng.choice(["X", "Y", "", "UK", "United Kingdom"])
+    seeds = table(sc.SEED, *[{"university_id": f"u{k}", "name": n, "local_name": rng.choice(["", "", "Norte Tech"]), "country": pick(), "city": rng.choice(["", "C", "D"])} for k, n in enumerate(made_up_names(rng, 25))])
+    rows = rankings.normalize(table(sc.RANKING_RAW, *[{"institution_name": n, "country": pick(), "city": rng.choice(["", "C"]), "rank_raw": str(k)} for k, n in enumerate(made_up_names(rng, 60))]), "2026-01-01")
+    columns = ("university_id", "q_ord", "match_reason", "score", "place", "next_score")
+    shown = lambda: sorted((tuple(r) for r in rankings.candidates(seeds, rows).select(*columns).collect()), key=str)
+    got = shown()
+    monkeypatch.setattr(rankings, "name_pairs", lambda a, b: a.crossJoin(b))
+    monkeypatch.setattr(rankings, "hopeful", lambda pairs: pairs)
+    assert got == shown() and len(got) > 200 and len({r[2] for r in got}) >= 3
+
+
+def test_names_meet_over_equal_keys(spark):
+    """No nested loop in the plan, and no pair below its bounds lost: against all pairs of names and difflib."""
+    from difflib import SequenceMatcher
+
+    rng = random.Random(9)
+    sides = [[" ".join(n.lower().replace("(x)", "x").split()) for n in made_up_names(rng, 70)] for _ in range(2)]
+    left, right = (spark.createDataFrame([(n, rng.choice("=x =y *".split())) for n in side], "name string, scope string") for side in sides)
+    met = name_index.meeting(left, right, (0.6, 0.62), 0.88)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = {tuple(r) for r in met.collect()}
+    scopes = [{}, {}]
+    for of, df in zip(scopes, (left, right), strict=True):
+        for n, s in df.collect():
+            of.setdefault(n, set()).add(s)
+    assert len(got) < 0.6 * len(scopes[0]) * len(scopes[1])
+    for a in scopes[0]:
+        for b in scopes[1]:
+            ratio, x, y = SequenceMatcher(None, a, b).ratio(), set(a.split()), set(b.split())
+            if a == b or ratio >= 0.88 or (x and y and len(x & y) >= 0.6 * min(len(x), len(y))) or (ratio >= 0.62 and scopes[0][a] & scopes[1][b]):
+                assert (a, b) in got, (a, b, ratio)
 
 
 def test_fetched_rankings(spark, tmp_path):
