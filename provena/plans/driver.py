@@ -364,6 +364,24 @@ def seq_ratio_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rankings.candidate_rows(found).select("university_id", "candidate_name", "rank_numeric", "confidence_score", "match_reason", "place")
 
 
+def name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of made-up supplier names and part names that words or letters can still lift to a candidate, met through the name index."""
+    s, p = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part")
+    key = F.col("s_suppkey")
+    name = F.concat(pick(key, "The Small Rings", "Red Wdget", "Economy Blue-Bolt", "Hotgear & Standard", "Large Gizmo Large", "Zq"), F.lit(" "), pick(F.floor(key / 6), "", "Promo", "of the Medium", "ECONOMY", "Small Gear Cold"))
+    seeds = s.select(F.concat(F.lit("s"), key.cast("string")).alias("university_id"), name.alias("name"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("country"), pick(key, "Town", "", "City").alias("city"), key.alias(ORDER))
+    size = F.col("p_size")
+    ranked = p.select(
+        F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("q_norm"), F.when(size % 10 == 0, "").otherwise(F.concat(F.lit("n"), (size % 25).cast("string"))).alias("q_country"), pick(F.col("p_partkey"), "town", "").alias("q_city_key"), F.col("p_partkey").alias("q_ord"),
+    )
+    ranked = ranked.select("q_norm", fn.simple_name(F.col("q_norm")).alias("q_simple"), "q_country", fn.normalize_country(F.col("q_country")).alias("q_country_key"), "q_city_key", "q_ord")
+    pairs = rankings.hopeful(rankings.name_pairs(rankings.seed_names(seeds), ranked))
+    counts = [rankings.letter_counts(F.col(c)) for c in ("simple", "q_simple")]
+    letters = F.aggregate(F.zip_with(*counts, lambda a, b: F.least(a, b)), F.lit(0), lambda a, b: a + b)
+    words = F.size(F.array_intersect(F.split("simple", " "), F.split("q_simple", " ")))
+    return pairs.select("university_id", F.col("q_ord").alias("p_partkey"), "simple", "q_simple", letters.alias("shared_letters"), words.alias("shared_words"))
+
+
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranking records mined from JSON that is put into pages."""
     p, n = table(spark, sf_dir, "pages"), F.col("page_id")
@@ -375,5 +393,5 @@ ALL = (
     classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows, classify_evidence, facts_routing, match_report,
     tag_sets, facts_split_union, prefer_origin, first_value_by_order, ordered_distinct_summary, cert_join_display, coverage_score, batch_qa_counts, profile_flagship, field_gaps, quality_gate, import_qa_status, country_fallback, data_quality_fmt,
     normalize_source_map, drop_reason_counts, retry_filter, repairs_first_match, merge_crawl, search_anti_join, promote_anti_union, rank_dedupe_argmin, name_normalize, token_similarity_join, candidate_confidence, json_cells, url_hosts,
-    llm_quote_gate, model_facts, model_report, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, json_records,
+    llm_quote_gate, model_facts, model_report, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, name_pairs, json_records,
 )

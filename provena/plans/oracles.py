@@ -324,6 +324,23 @@ def unescaped(x: str) -> str:
 PARSED = f"WITH {LINKS} SELECT page_id, place, regexp_extract(url, '^[^:/?#]+://[^/?#]*') || {unescaped('href')} AS link, {unescaped('anchor_text')} AS anchor_text FROM links"
 RECORDS = "SELECT '=' || (page_id % 90 + 1) AS rank_raw, 'Univ ' || page_id AS institution_name, 'Y' AS country FROM pages"
 
+NAME_PAIRS = f"""WITH s AS (
+  SELECT 's' || s_suppkey AS university_id, 'n' || s_nationkey AS country, {pick("s_suppkey", "town", "", "city")} AS city,
+    trim(regexp_replace(replace(lower({pick("s_suppkey", "The Small Rings", "Red Wdget", "Economy Blue-Bolt", "Hotgear & Standard", "Large Gizmo Large", "Zq")} || ' ' || {pick("(s_suppkey // 6)", "", "Promo", "of the Medium", "ECONOMY", "Small Gear Cold")}), '&', ' and '), '[^a-z0-9]+', ' ', 'g')) AS norm
+  FROM supplier),
+p AS (SELECT p_partkey, lower(p_name || ' ' || p_type) AS norm, CASE WHEN p_size % 10 = 0 THEN '' ELSE 'n' || p_size % 25 END AS country, {pick("p_partkey", "town", "")} AS city FROM part),
+w AS (SELECT unnest(string_split('a b c d e f g h i j k l m n o p q r s t u v w x y z 0 1 2 3 4 5 6 7 8 9', ' ')) AS letter UNION ALL SELECT ' '),
+n AS (
+  SELECT norm, simple, list_distinct(string_split(simple, ' ')) AS words, list_transform((SELECT list(letter ORDER BY letter) FROM w), lambda c: length(simple) - length(replace(simple, c, ''))) AS letters
+  FROM (SELECT norm, array_to_string(list_filter(string_split(norm, ' '), lambda t: t <> '' AND NOT list_contains([{", ".join(map(q, lx.NAME_STOPWORDS))}], t)), ' ') AS simple FROM (SELECT norm FROM s UNION SELECT norm FROM p))),
+x AS (
+  SELECT s.university_id, p.p_partkey, a.simple, b.simple AS q_simple, list_sum(list_transform(list_zip(a.letters, b.letters), lambda z: least(z[1], z[2])))::INTEGER AS shared_letters, length(list_intersect(a.words, b.words))::INTEGER AS shared_words,
+    length(a.words) AS n, length(b.words) AS m,
+    0.62::DOUBLE - ((0.0::DOUBLE + CASE WHEN p.country = '' OR p.country = s.country THEN 0.12::DOUBLE ELSE -0.08::DOUBLE END) + CASE WHEN s.city <> '' AND s.city = p.city THEN 0.03::DOUBLE ELSE 0.0::DOUBLE END) - 0.002::DOUBLE AS need
+  FROM s JOIN n a ON a.norm = s.norm, p JOIN n b ON b.norm = p.norm)
+SELECT university_id, p_partkey, simple, q_simple, shared_letters, shared_words FROM x
+WHERE simple = q_simple OR greatest(2.0::DOUBLE * shared_letters / (length(simple) + length(q_simple)) * 0.76::DOUBLE, shared_words::DOUBLE / (n + m - shared_words) * 0.82::DOUBLE, shared_words::DOUBLE / least(n, m) * 0.78::DOUBLE) >= need"""
+
 SQL = {
     "classify_quality": CLASSIFY,
     "stable_ids_and_hash": "SELECT doc_id, 'src_' || substr(sha1(lower(trim(source)) || '|' || lower(trim(lang)) || '|' || doc_id), 1, 16) AS source_id, sha256(text) AS content_hash FROM documents",
@@ -336,5 +353,5 @@ SQL = {
     "data_quality_fmt": "SELECT c_custkey, format('{:.2f}', round_even((c_custkey % 17) / 16.0::DOUBLE, 2)) AS score, round_even(c_acctbal / 2.0, 0)::BIGINT AS half FROM customer",
     "normalize_source_map": NORMALIZE, "drop_reason_counts": DROPS, "retry_filter": RETRY, "repairs_first_match": REPAIRS, "merge_crawl": MERGE, "search_anti_join": SEARCH, "promote_anti_union": PROMOTE, "rank_dedupe_argmin": RANKS,
     "name_normalize": NAMES, "token_similarity_join": TOKENS, "candidate_confidence": CONFIDENCE, "json_cells": JSON, "url_hosts": HOSTS, "llm_quote_gate": QUOTES, "model_facts": MODEL, "model_report": REPORT, "limit_offset_report": LIMITS, "validation_errors": VALIDATE,
-    "greedy_candidates": greedy(2), "json_records": RECORDS, "html_parse_text": PARSED,
+    "greedy_candidates": greedy(2), "json_records": RECORDS, "html_parse_text": PARSED, "name_pairs": NAME_PAIRS,
 }
