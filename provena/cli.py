@@ -13,13 +13,13 @@ from collections.abc import Callable
 from datetime import date, datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provena import schemas as sc
 from provena import sinks
 from provena.operators import discovery, extract, llm_facts, profiles, quality, rankings, source_map
-from provena.materialize import written
+from provena.materialize import counted, removed
 from provena.sources import fetch as crawling
 from provena.sources import models, tables
 
@@ -100,6 +100,7 @@ class Run:
         self.now = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
         self.counts: dict[str, int] = {}
         self.outputs: dict[str, str] = {}
+        self.tables: list[DataFrame] = []
 
     def read(self, path: str) -> DataFrame:
         return tables.read_csv(self.spark, path)
@@ -108,6 +109,16 @@ class Run:
         self.counts[Path(path).stem] = sinks.write_csv(df, path, columns)
         self.outputs[Path(path).stem] = path
 
+    def held(self, df: DataFrame, **counts: Column) -> DataFrame:
+        """df written once for several outputs, and counted on the way (self.seen); its files go when the verb is done."""
+        done, self.seen = counted(df, **counts)
+        self.tables.append(done)
+        return done
+
+    def done(self) -> None:
+        removed(*self.tables)
+        self.tables = []
+
     def out(self, name: str) -> str:
         return f"{self.a.out_dir}/{name}"
 
@@ -120,36 +131,34 @@ class Run:
         return int(bool(found))
 
     def crawl_sources(self) -> int:
-        done = written(crawling.crawl(self.read(self.a.sources), self.now, self.clients.fetch, self.a.timeout, self.clients.browser))
+        done = self.held(crawling.crawl(self.read(self.a.sources), self.now, self.clients.fetch, self.a.timeout, self.clients.browser))
         self.write(done.select("source.*").orderBy(sc.ORDER), self.out("sources.csv"), sc.SOURCE)
         self.write(done.select("evidence.*").orderBy(sc.ORDER), self.out("evidence.csv"), sc.EVIDENCE)
         return 0
 
     def extract_facts(self) -> int:
-        sources, evidence = self.read(self.a.sources), self.read(self.a.evidence)
-        facts = extract.facts(sources, evidence, self.now).persist()
+        sources, evidence = self.held(self.read(self.a.sources)), self.held(self.read(self.a.evidence))
+        facts = self.held(extract.facts(sources, evidence, self.now))
         for name, rows in (("facts", facts), ("facts_extracted", extract.extracted(facts)), ("facts_generated", extract.generated(facts))):
             self.write(extract.in_order(rows), self.out(f"{name}.csv"), sc.FACT)
         self.write(extract.programs(sources, evidence).orderBy("university_id", "name", sc.ORDER), self.out("programs.csv"), sc.PROGRAM)
-        facts.unpersist()
         return 0
 
     def build_profiles(self) -> int:
         a = self.a
-        facts, evidence = self.read(a.facts), self.read(a.evidence) if a.evidence else tables.read_optional(self.spark, "", sc.EVIDENCE)
+        facts, evidence = self.held(self.read(a.facts)), self.read(a.evidence) if a.evidence else tables.read_optional(self.spark, "", sc.EVIDENCE)
         costs = tables.read_optional(self.spark, a.country_costs, sc.COUNTRY_COST)
-        built = profiles.build(self.read(a.seed), self.read(a.sources), facts, self.read(a.rankings), costs, evidence).orderBy("university_id").persist()
+        built = self.held(profiles.build(self.read(a.seed), self.read(a.sources), facts, self.read(a.rankings), costs, evidence)).orderBy("university_id")
         for name, rows, columns in (
             ("university_product_profiles", profiles.products(built), sc.PRODUCT), ("university_matching_tags", profiles.matching_tags(built), sc.MATCHING), ("university_writer_context", profiles.writer_contexts(built), sc.WRITER),
             ("universities_import", profiles.products(built), sc.PRODUCT), ("qa_report", profiles.qa_report(built), sc.QA), ("batch_qa_report", profiles.batch_qa(built), sc.BATCH_QA), ("field_gap_report", profiles.field_gaps(built), sc.GAP),
         ):
             self.write(rows, self.out(f"{name}.csv"), columns)
-        gate = profiles.quality_gate(built, facts).persist()
+        gate = self.held(profiles.quality_gate(built, facts).coalesce(1))
         self.write(gate, self.out("pilot_quality_gate.csv"), sc.GATE)
         inputs = {k: getattr(a, k) for k in ("seed", "sources", "facts", "rankings", "country_costs", "evidence") if getattr(a, k)}
         self.gate = [r.asDict() for r in gate.collect()]  # four rows
         sinks.write_manifest(a.out_dir, a.run_id or sinks.run_id(), inputs, self.outputs, self.counts, self.gate, sinks.optional_json(self.out("llm_metadata.json")))
-        built.unpersist()
         return 0
 
     def run_pilot(self) -> int:
@@ -185,10 +194,9 @@ class Run:
     def normalize_source_map(self) -> int:
         if Path(self.a.sources).resolve() == Path(self.a.out).resolve():
             sinks.back_up(self.a.out)
-        sources = self.read(self.a.sources).persist()
-        stats = source_map.normalize_stats(sources).first().asDict()
-        self.write(source_map.in_order(source_map.normalize(self.read(self.a.seed), sources)), self.a.out, sc.SOURCE)
-        print(json.dumps(stats, sort_keys=True))
+        judged = self.held(source_map.judged_sources(self.read(self.a.sources)), **source_map.normalize_counts())
+        self.write(source_map.in_order(source_map.filled(self.read(self.a.seed), judged)), self.a.out, sc.SOURCE)
+        print(json.dumps(self.seen, sort_keys=True))
         return 0
 
     def build_retry_source_map(self) -> int:
@@ -204,8 +212,9 @@ class Run:
 
     def apply_source_repairs(self) -> int:
         a = self.a
-        done = source_map.apply_repairs(self.read(a.seed), self.read(a.base_sources), self.read(a.repairs)).persist()
-        print(json.dumps({(r["change"] or "kept"): r["count"] for r in done.groupBy("change").count().collect()}, sort_keys=True))
+        changes = {"kept": "", "updated": "updated", "added": "added"}
+        done = self.held(source_map.apply_repairs(self.read(a.seed), self.read(a.base_sources), self.read(a.repairs)), **{k: F.count_if(F.col("change") == c) for k, c in changes.items()})
+        print(json.dumps({k: n for k, n in self.seen.items() if n}, sort_keys=True))
         self.write(source_map.in_order(done), a.out, sc.SOURCE)
         return 0
 
@@ -217,7 +226,7 @@ class Run:
         if self.clients.search is None:
             raise RuntimeError("search-sources needs a search client")
         requests = source_map.search_requests(self.read(self.a.seed), self.read(self.a.existing_sources), split_set(self.a.source_types) or [])
-        results = written(crawling.searched(requests, self.clients.search))
+        results = self.held(crawling.searched(requests, self.clients.search))
         self.write(source_map.search_candidates(requests, results, self.a.per_type_limit).orderBy("university_id", "source_type", F.col("rank").cast("int")), self.a.out, sc.SEARCH)
         return 0
 
@@ -236,19 +245,20 @@ class Run:
             a.model = models.model_name(a.provider, a.model)
             client = models.client(self.clients.transport, a.provider, a.model)
         planned = llm_facts.plan(self.read(a.sources), self.read(a.evidence), a.limit, a.offset, split_set(a.source_types))
-        answered = written(llm_facts.ask(planned, client, a.sleep_seconds))
-        made = llm_facts.facts(answered, self.now).persist()
-        old = self.read(self.out("facts.csv")).persist() if Path(self.out("facts.csv")).exists() else tables.read_optional(self.spark, "", sc.FACT)
-        old.count()
-        merged = extract.merge(old, made).persist()
+        answered = self.held(llm_facts.ask(planned, client, a.sleep_seconds), rows=F.count(F.lit(1)))
+        rows_seen = self.seen["rows"]
+        made = self.held(llm_facts.facts(answered, self.now), rows=F.count(F.lit(1)))
+        made_rows = self.seen["rows"]
+        old = self.read(self.out("facts.csv")) if Path(self.out("facts.csv")).exists() else tables.read_optional(self.spark, "", sc.FACT)
+        merged = self.held(extract.merge(old, made))
         for name, rows in (("facts_llm", extract.from_model(merged)), ("facts", merged), ("facts_extracted", extract.extracted(merged)), ("facts_generated", extract.generated(merged))):
             self.write(extract.in_order(rows), self.out(f"{name}.csv"), sc.FACT)
         self.write(llm_facts.report(answered, made, a.model).orderBy(sc.ORDER), self.out("llm_extraction_report.csv"), sc.LLM_REPORT)
-        Path(self.out("llm_metadata.json")).write_text(json.dumps({"run_id": a.run_id, "provider": a.provider, "model": a.model, "facts_llm": made.count(), "evidence_rows_seen": answered.count()}, indent=2, sort_keys=True) + "\n")
+        Path(self.out("llm_metadata.json")).write_text(json.dumps({"run_id": a.run_id, "provider": a.provider, "model": a.model, "facts_llm": made_rows, "evidence_rows_seen": rows_seen}, indent=2, sort_keys=True) + "\n")
         return 0
 
     def _ranked(self, raw: DataFrame) -> None:
-        raw = raw.persist()
+        raw = self.held(raw)
         self.write(raw.orderBy(sc.ORDER), self.out("qs_raw.csv"), sc.RANKING_RAW)
         best = rankings.best_ranks(rankings.normalize(raw, date.today().isoformat()))
         self.write(best.orderBy(rankings.or_large(F.col("rank_numeric")), sc.ORDER), self.out("qs_normalized.csv"), sc.RANKING_NORMALIZED)
@@ -294,7 +304,7 @@ class Run:
     def match_rankings(self) -> int:
         a = self.a
         seed = self.read(a.seed)
-        found = rankings.candidates(seed, self.read(a.qs)).persist()
+        found = self.held(rankings.candidates(seed, self.read(a.qs)))
         imports, report = rankings.match(seed, found, self.read(a.base))
         self.write(imports.orderBy("university_id"), a.out, sc.RANKING_IMPORT)
         self.write(report.orderBy("university_id"), a.report, sc.MATCH_REPORT)
@@ -306,7 +316,11 @@ def main(argv: list[str] | None = None, clients: Clients | None = None, spark: S
     args = parser().parse_args(argv)
     load_env()
     session = spark or SparkSession.builder.appName("provena").getOrCreate()
-    return getattr(Run(session, args, clients or Clients()), args.verb.replace("-", "_"))()
+    run = Run(session, args, clients or Clients())
+    try:
+        return getattr(run, args.verb.replace("-", "_"))()
+    finally:
+        run.done()
 
 
 if __name__ == "__main__":

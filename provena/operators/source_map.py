@@ -125,7 +125,12 @@ def judged_sources(sources: DataFrame) -> DataFrame:
 
 def normalize(seed: DataFrame, sources: DataFrame) -> DataFrame:
     """The valid, distinct source rows with defaults filled and names from the seed."""
-    rows = _with_seed(judged_sources(sources).filter("drop_reason = ''"), seed)
+    return filled(seed, judged_sources(sources))
+
+
+def filled(seed: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows that judged_sources keeps, with defaults and names from the seed."""
+    rows = _with_seed(judged.filter("drop_reason = ''"), seed)
     made = {
         "source_id": either("source_id", fn.stable_id("src", F.col("university_id"), F.col("source_type"), F.col("url"))), "university_name": either("_seed_name", "university_name"), "country": either("_seed_country", "country"),
         "priority": either("priority", F.lit("2")), "language_code": either("language_code", F.lit("en")), "crawl_method": either("crawl_method", F.lit("static")), "status": either("status", F.lit("pending")),
@@ -133,10 +138,15 @@ def normalize(seed: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.select(*[made.get(c, F.col(c)).alias(c) for c in SOURCE], ORDER)
 
 
-def normalize_stats(sources: DataFrame) -> DataFrame:
-    """One row: input, output, mapped ids and rows removed by reason."""
+def normalize_counts() -> dict[str, Column]:
+    """Aggregates over judged rows: input, output, mapped ids and rows removed by reason."""
     n = lambda reason: F.count_if(F.col("drop_reason") == reason)
-    return judged_sources(sources).agg(F.count("*").alias("input_rows"), n("").alias("output_rows"), F.count_if("mapped").alias("mapped_university_ids"), n("blank_row").alias("removed_blank_rows"), n("invalid_url").alias("removed_invalid_url_rows"), n("exact_duplicate").alias("removed_exact_duplicates"))
+    return {"input_rows": F.count(F.lit(1)), "output_rows": n(""), "mapped_university_ids": F.count_if("mapped"), "removed_blank_rows": n("blank_row"), "removed_invalid_url_rows": n("invalid_url"), "removed_exact_duplicates": n("exact_duplicate")}
+
+
+def normalize_stats(sources: DataFrame) -> DataFrame:
+    """One row with normalize_counts."""
+    return judged_sources(sources).agg(*[c.alias(k) for k, c in normalize_counts().items()])
 
 
 def retry_map(sources: DataFrame, statuses: Sequence[str] = ("failed", "skipped"), source_types: Sequence[str] | None = None) -> DataFrame:

@@ -4,51 +4,32 @@ from __future__ import annotations
 
 import csv
 import json
-import os
 import shutil
 import subprocess
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Row
-
-VERSION = "provena/0.1"
-
-
-def plain(value: object) -> object:
-    """Rows and lists as JSON values."""
-    if isinstance(value, Row):
-        return {k: plain(v) for k, v in value.asDict().items()}
-    return [plain(v) for v in value] if isinstance(value, list) else value
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from provena.sinks.csv_file import FORMAT, CsvFile
 
-def cell(value: object) -> str:
-    """A value as an export writes it: null blank, true/false, lists and objects as JSON with sorted keys."""
-    if value is None:
-        return ""
-    if isinstance(value, bool):
-        return str(value).lower()
-    return json.dumps(plain(value), ensure_ascii=False, sort_keys=True) if isinstance(value, (list, dict, Row)) else str(value)
+VERSION = "provena/0.1"
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> int:
-    """df as one CSV file with a header, in df's order; rows stream through the driver. The number of rows.
+    """df as one CSV file with a header, in df's order, written by its tasks (see csv_file). The number of rows, counted on the way.
 
     The file replaces an older one only when it is complete, so a table may be written over its own source.
     """
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    have, n = set(df.columns), 0
-    rough = target.with_suffix(f"{target.suffix}.tmp")
-    with rough.open("w", encoding="utf-8-sig", newline="") as handle:
-        out = csv.writer(handle)
-        out.writerow(columns)
-        for row in df.select(*[c for c in columns if c in have]).toLocalIterator():
-            out.writerow([cell(row[c]) if c in have else "" for c in columns])
-            n += 1
-    os.replace(rough, target)
-    return n
+    spark, seen = df.sparkSession, Observation()
+    spark.dataSource.register(CsvFile)
+    have = set(df.columns)
+    rows = df.select(*[c for c in dict.fromkeys(columns) if c in have]) if have & set(columns) else df.select(F.lit("").alias("_"))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.format(FORMAT).option("path", str(Path(path).absolute())).option("columns", json.dumps(list(columns))).mode("overwrite").save()
+    return seen.get["rows"]
 
 
 def back_up(path: str) -> None:

@@ -1,4 +1,4 @@
-"""CSV tables: strings only, byte-order mark tolerated, tab or comma, cells stripped, blank rows dropped."""
+"""CSV tables: strings only, byte-order mark tolerated, tab or comma, cells stripped, blank rows dropped. Large files are read by many tasks."""
 
 from __future__ import annotations
 
@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 from provena import functions as fn
 from provena import lexicons as lx
 from provena.operators import rankings
-from provena.schemas import ORDER, RANKING_RAW, ordered, strings
-
-
-def _options(reader, separator: str):
-    return reader.option("multiLine", True).option("escape", '"').option("sep", separator).option("maxCharsPerColumn", -1).option("encoding", "UTF-8")
+from provena.schemas import ORDER, RANKING_RAW, strings
+from provena.sources import split_csv
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -27,17 +24,26 @@ def separator_of(line: str) -> str:
 
 
 def trimmed(df: DataFrame) -> DataFrame:
-    """Cells stripped, nulls blank, rows without content dropped, rows numbered."""
-    cells = df.select(*[fn.squeeze_ends(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in df.columns])
+    """Cells stripped, nulls blank, rows without content dropped; rows are numbered in reading order."""
+    names = [c for c in df.columns if c != ORDER]
+    cells = df.select(*[fn.squeeze_ends(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in names], ORDER)
     some = F.lit(False)
-    for c in cells.columns:
+    for c in names:
         some = some | (F.col(f"`{c}`") != "")
-    return ordered(cells).filter(some)
+    return cells.filter(some)
+
+
+def named(records: DataFrame, header: list[str]) -> DataFrame:
+    """Records as columns; of equal names the last column counts, absent cells are null."""
+    places = {name or f"unnamed_{k}": k for k, name in enumerate(header)}
+    return records.select(*[F.get("cells", F.lit(k)).alias(name) for name, k in places.items()], ORDER)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV table with a header; raises where the file is missing."""
-    return trimmed(_options(spark.read.option("header", True), separator_of(first_line(spark, path))).csv(path))
+    separator = separator_of(first_line(spark, path))
+    header = split_csv.first_record(spark, path, separator)
+    return trimmed(named(split_csv.records(spark, path, separator).filter("NOT first"), header))
 
 
 def read_optional(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -70,18 +76,12 @@ def column_for(headers: list[str], wanted: tuple[str, ...]) -> list[str]:
 
 def read_rankings(spark: SparkSession, path: str) -> DataFrame:
     """A ranking export: the header row is looked for in the first 20 lines; else a plain table."""
-    raw = ordered(_options(spark.read.option("header", False), ",").csv(path))
-    cells = [c for c in raw.columns if c != ORDER]
-    head = [[(r[c] or "") for c in cells] for r in raw.orderBy(ORDER).limit(20).collect()]
-    at = header_row([[v.lstrip("﻿") for v in row] for row in head])
+    raw = split_csv.records(spark, path, ",")
+    head = raw.orderBy(ORDER).limit(20).collect()
+    at = header_row([r["cells"] for r in head])
     if at is None:
         return read_csv(spark, path)
-    names = [v.lstrip("﻿").strip() or f"unnamed_{k}" for k, v in enumerate(head[at])]
-    start = raw.orderBy(ORDER).limit(at + 1).agg(F.max(ORDER)).first()[0]
-    body = raw.filter(F.col(ORDER) > start)
-    # of equal headers the last column counts
-    last = {n: c for n, c in zip(names, cells, strict=False)}
-    return trimmed(body.select(*[F.col(c).alias(n) for n, c in last.items()]))
+    return trimmed(named(raw.filter(F.col(ORDER) > head[at][ORDER]), [c.strip() for c in head[at]["cells"]]))
 
 
 def ranking_rows(table: DataFrame, source: str, retrieved_at: str) -> DataFrame:

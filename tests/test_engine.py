@@ -1,6 +1,7 @@
 """The pipeline's operators: examples with known results, and odd inputs."""
 
 import csv
+import io
 import json
 import random
 
@@ -11,7 +12,8 @@ from provena import cli, sinks
 from provena import functions as fn
 from provena import schemas as sc
 from provena.operators import discovery, extract, llm_facts, name_index, profiles, quality, rankings, source_map
-from provena.sources import fetch, html, json_records, models, tables
+from provena.sinks import csv_file
+from provena.sources import fetch, html, json_records, models, split_csv, tables
 
 NOW = "2026-01-01T00:00:00+00:00"
 
@@ -457,3 +459,86 @@ def test_name_normalize_reads_the_whole_text(spark, tmp_path):
     got = driver.name_normalize(spark, str(tmp_path)).first()
     assert got["norm"] == " ".join(f"cafe word{k} at" for k in range(200)) + " and of the s1"
     assert got["simple"] == " ".join(f"cafe word{k}" for k in range(200)) + " s1"
+
+
+# reading and writing CSV
+
+
+ODD_CSV = [
+    'a,b,c\r\n1,"x\r\ny",3\r\n',
+    '﻿"a\nb",b,c\n"line\n1\n\n\n2","q""uo""te",z\n',
+    'a,b\n5" pipe,6\n"abc"def,"g\n"h\n,"\n"\n"",""\n"open until\n\nthe end',
+    'a,b\n' + "".join(f'{k},"{"multi" * (k % 40)}\n{k}, ""{k}"""\n' for k in range(120)),
+    'a,b\n"' + "\n".join(f'piece "" {k}' for k in range(300)) + '",last\nx,y',
+    "a,b\n\n\n1,2\n\n", "a,b", "", '"', "a,b\n1\n1,2,3,4\n", 'a,b\rlone,"re\rturn"\n1,2\n', 'a\tb\n"x\ty"\t"2\n3"\n',
+]
+
+
+@pytest.mark.parametrize("k", range(len(ODD_CSV)))
+def test_ranges_of_a_file_read_as_one(spark, tmp_path, k):
+    """Files cut into ranges of a few bytes hold the records that one reader finds, in its order."""
+    path, text = tmp_path / "t.csv", ODD_CSV[k]
+    path.write_bytes(text.encode())
+    separator = "\t" if "\t" in text else ","
+    want = [r for r in csv.reader(io.StringIO(text.removeprefix("﻿"), newline=""), delimiter=separator) if r]
+    saved = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (1 << 20, 150, 33, 7) if len(text) < 900 else (1 << 20, 600, 150):
+            for c in saved:
+                spark.conf.set(c, size)
+            found = split_csv.records(spark, str(path), separator)
+            rows = sorted(found.collect(), key=lambda r: r[sc.ORDER])
+            assert [r["cells"] for r in rows] == want, size
+            assert [r["first"] for r in rows] == [n == 0 for n in range(len(want))]
+            if want:
+                assert split_csv.first_record(spark, str(path), separator, 1) == want[0]
+            if len(text) > 900 and size == 150:
+                assert split_csv.lines_of(spark, str(path)).rdd.getNumPartitions() > 10
+    finally:
+        for c, v in saved.items():
+            spark.conf.set(c, v)
+
+
+def test_files_of_a_folder(spark, tmp_path):
+    for name, rows in (("b", 'k,v\n3,"x\ny"\n'), ("a", "﻿k,v\n1,\n2,z\n , \n")):
+        (tmp_path / f"{name}.csv").write_text(rows, encoding="utf-8")
+    got = tables.read_csv(spark, str(tmp_path))
+    assert [(r["k"], r["v"]) for r in got.orderBy(sc.ORDER).collect()] == [("1", ""), ("2", "z"), ("3", "x\ny")]
+    assert tables.read_csv(spark, str(tmp_path / "a.csv")).columns == ["k", "v", sc.ORDER]
+    with pytest.raises(Exception, match="(?i)path"):
+        tables.read_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_csv_file_is_written_by_tasks_in_order(spark, tmp_path):
+    path = tmp_path / "deep" / "t.csv"
+    rows = [(k, f"ñ {k}, \"q\"\n", None if k % 3 else [k], k % 2 == 0) for k in range(500)]
+    df = spark.createDataFrame(rows, "k long, s string, l array<long>, b boolean").repartition(7).orderBy("k")
+    assert sinks.write_csv(df, str(path), ["s", "absent", "k", "l", "b"]) == 500
+    raw = path.read_bytes()
+    assert raw.startswith(b"\xef\xbb\xbfs,absent,k,l,b\r\n")
+    got = list(csv.reader(io.StringIO(raw.decode("utf-8-sig"), newline="")))
+    assert got[1:] == [[s, "", str(k), "" if l is None else f"[{k}]", str(b).lower()] for k, s, l, b in rows]
+    assert sinks.write_csv(df.limit(0), str(path), ["k"]) == 0 and path.read_text(encoding="utf-8-sig") == "k\n"
+    assert sinks.write_csv(df, str(path), ["absent"]) == 500
+    assert [p.name for p in path.parent.iterdir()] == ["t.csv"]
+
+
+def test_failed_tasks_leave_the_old_file(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    good = spark.range(100).selectExpr("CAST(id AS STRING) AS k")
+    sinks.write_csv(good.repartition(3), str(path), ["k"])
+    old = path.read_bytes()
+    bad = spark.range(0, 100, 1, 4).selectExpr("IF(id = 99, CAST(raise_error('no') AS STRING), CAST(id AS STRING)) AS k")
+    with pytest.raises(Exception, match="no"):
+        sinks.write_csv(bad, str(path), ["k"])
+    assert path.read_bytes() == old and [p.name for p in tmp_path.iterdir()] == ["t.csv"]
+    # a part that was lost before the commit
+    writer = csv_file.CsvFileWriter(str(path), ["k"], ["k"])
+    writer.parts.mkdir()
+    (writer.parts / "0-x").write_bytes(b"1\r\n")
+    with pytest.raises(OSError, match="of 9 bytes"):
+        writer.commit([csv_file.Part(0, str(writer.parts / "0-x"), 3, 9), None])
+    assert path.read_bytes() == old and [p.name for p in tmp_path.iterdir()] == ["t.csv"]
+    # a table over its own source
+    rows = tables.read_csv(spark, str(path))
+    assert sinks.write_csv(rows.filter("k < 50").orderBy(sc.ORDER), str(path), ["k"]) == tables.read_csv(spark, str(path)).count() > 0
