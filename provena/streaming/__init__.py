@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-from provena.operators import extract, quality, source_map
+from provena.operators import extract, quality
 from provena.schemas import EVIDENCE, ORDER, strings
+from provena.streaming.delta_table import DeltaTable, Rule
 
 
 def read_evidence(spark: SparkSession, path: str, max_files: int = 16) -> DataFrame:
@@ -25,12 +25,17 @@ def facts_stream(evidence: DataFrame, sources: DataFrame, out: str, checkpoint:
     return evidence.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def merge_stream(retries: DataFrame, table: str, checkpoint: str):
-    """Retry crawls merged into a versioned evidence table: version n+1 is version n with batch n applied."""
+def evidence_table(spark: SparkSession, path: str, buckets: int = 16) -> DeltaTable:
+    """A table of evidence that takes retry crawls batch by batch, with the rule of source_map.merge_evidence."""
+    return DeltaTable(spark, path, Rule(tuple(EVIDENCE), good="ok", listed=("failed", "empty", "playwright_required")), buckets)
+
+
+def merge_stream(retries: DataFrame, table: DeltaTable, checkpoint: str, compact_every: int = 20):
+    """Retry crawls merged into an evidence table. A micro-batch writes its own rows; every `compact_every` batches the buckets that have grown are rewritten."""
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        base = spark.read.schema(T.StructType([*strings(EVIDENCE).fields])).parquet(f"{table}/version={number}")
-        source_map.merge_evidence(base, batch).drop("replaced", ORDER).write.mode("overwrite").parquet(f"{table}/version={number + 1}")
+        held = DeltaTable(batch.sparkSession, table.path, table.rule, table.default)
+        if held.append(batch, number) and (number + 1) % compact_every == 0:
+            held.compact()
 
     return retries.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -542,3 +542,53 @@ def test_failed_tasks_leave_the_old_file(spark, tmp_path):
     # a table over its own source
     rows = tables.read_csv(spark, str(path))
     assert sinks.write_csv(rows.filter("k < 50").orderBy(sc.ORDER), str(path), ["k"]) == tables.read_csv(spark, str(path)).count() > 0
+
+
+# incremental merging
+
+
+def crawl(rng, keys):
+    return [evidence(rng.choice(keys), rng.choice("abc"), status=rng.choice(["ok", "failed", "empty", "odd", ""]), title=str(n)) for n in range(rng.randint(0, 25))]
+
+
+def test_batches_merge_as_if_applied_one_by_one(table, spark, tmp_path):
+    from provena import streaming
+
+    rng = random.Random(2)
+    keys = [f"s{k}" for k in range(12)]
+    first = table(sc.EVIDENCE, *[evidence(k, "base", status=rng.choice(["ok", "failed", ""])) for k in [*keys, "s1", "s2"]])
+    held = streaming.evidence_table(spark, str(tmp_path / "t"), 4)
+    held.create(first)
+    held.create(first.limit(0))
+    shown = lambda df: sorted((tuple(r[c] for c in (sc.ORDER, *sc.EVIDENCE)) for r in df.collect()), key=str)
+    want = first
+    for n in range(7):
+        batch = table(sc.EVIDENCE, *crawl(rng, keys))
+        want = source_map.merge_evidence(want, batch).drop("replaced")
+        assert held.append(batch, n) and not held.append(table(sc.EVIDENCE, *crawl(rng, keys)), n)
+        if n in (2, 4, 5):
+            before = shown(held.read())
+            assert held.compact(0.0 if n == 4 else 0.3) is not None and shown(held.read()) == before
+        assert shown(held.read()) == shown(want), n
+    assert max(held.bases().values()) >= 4 and min(held.batches()) > 0
+
+
+def test_a_batch_writes_its_own_rows_only(table, spark, tmp_path):
+    """What a batch writes follows its size, a batch that was cut off is written anew, and a stream ends where a merge does."""
+    from provena import streaming
+
+    held = streaming.evidence_table(spark, str(tmp_path / "t"), 4)
+    rows = [evidence(f"s{k}", "x" * 50, status="failed") for k in range(400)]
+    held.create(table(sc.EVIDENCE, *rows))
+    size = lambda path: sum(f.stat().st_size for f in path.rglob("*.parquet"))
+    base = size(tmp_path / "t" / "base")
+    again = table(sc.EVIDENCE, evidence("s7", "new"), evidence("s8", "no", status="odd"), evidence("none", "new"))
+    (tmp_path / "t" / "delta" / "batch=0" / "bucket=1").mkdir(parents=True)
+    assert held.batches() == []
+    again.drop(sc.ORDER).coalesce(1).write.parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        streaming.merge_stream(streaming.read_evidence(spark, str(tmp_path / "in")), held, str(tmp_path / "ck")).awaitTermination()
+    assert held.batches() == [0] and size(tmp_path / "t" / "base") == base and size(tmp_path / "t" / "delta") < base
+    assert spark.read.parquet(str(tmp_path / "t" / "delta")).count() == 2
+    got = held.read()
+    assert got.count() == 400 and [r["source_id"] for r in got.filter("extracted_text = 'new'").collect()] == ["s7"]
