@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from provena import functions as fn
 from provena import lexicons as lx
+from provena.materialize import shared_dir
 from provena.operators import discovery, extract, llm_facts, profiles, quality, rankings, source_map
 from provena.plans import shapes as sh
 from provena.schemas import ORDER, RANKING_NORMALIZED, SOURCE, text
+from provena.streaming.delta_table import DeltaTable, Rule
 
 table, pick = sh.table, sh.pick
 
@@ -245,6 +249,19 @@ def merge_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_map.merge_sources(base, again).select("source_id", "status", "notes", "replaced")
 
 
+def merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as sources in a table of deltas: three batches with other states, one of them sent twice, buckets rewritten between them, and the table read."""
+    base = sh.order_sources(spark, sf_dir)
+    held = DeltaTable(spark, f"{shared_dir(spark)}/merged-{uuid.uuid4().hex}", Rule(tuple(SOURCE)))
+    held.create(base)
+    for n in (0, 1, 1, 2):
+        batch = base.withColumns({"status": pick(F.floor(F.col(ORDER) / (n + 2)), "fetched", "failed", "skipped", "manual"), "notes": F.lit(f"batch {n}")})
+        held.append(batch, n)
+        if n == 1:
+            held.compact()
+    return held.read().select("source_id", "status", "notes", F.col(ORDER).alias("place"))
+
+
 def search_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n = table(spark, sf_dir, "customer"), F.col("c_custkey")
     seed = c.select(F.concat(F.lit("c"), n.cast("string")).alias("university_id"), F.col("c_name").alias("name"), n.alias(ORDER))
@@ -392,6 +409,6 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL = (
     classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows, classify_evidence, facts_routing, match_report,
     tag_sets, facts_split_union, prefer_origin, first_value_by_order, ordered_distinct_summary, cert_join_display, coverage_score, batch_qa_counts, profile_flagship, field_gaps, quality_gate, import_qa_status, country_fallback, data_quality_fmt,
-    normalize_source_map, drop_reason_counts, retry_filter, repairs_first_match, merge_crawl, search_anti_join, promote_anti_union, rank_dedupe_argmin, name_normalize, token_similarity_join, candidate_confidence, json_cells, url_hosts,
+    normalize_source_map, drop_reason_counts, retry_filter, repairs_first_match, merge_crawl, merge_on_read, search_anti_join, promote_anti_union, rank_dedupe_argmin, name_normalize, token_similarity_join, candidate_confidence, json_cells, url_hosts,
     llm_quote_gate, model_facts, model_report, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, name_pairs, json_records,
 )

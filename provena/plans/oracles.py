@@ -341,6 +341,13 @@ x AS (
 SELECT university_id, p_partkey, simple, q_simple, shared_letters, shared_words FROM x
 WHERE simple = q_simple OR greatest(2.0::DOUBLE * shared_letters / (length(simple) + length(q_simple)) * 0.76::DOUBLE, shared_words::DOUBLE / (n + m - shared_words) * 0.82::DOUBLE, shared_words::DOUBLE / least(n, m) * 0.78::DOUBLE) >= need"""
 
+ON_READ = f"""WITH RECURSIVE b AS (
+  SELECT o_orderkey, -1 AS n, CASE o_orderstatus WHEN 'F' THEN 'fetched' WHEN 'P' THEN 'manual' ELSE 'failed' END AS status, o_orderstatus AS notes FROM orders
+  UNION ALL
+  SELECT o_orderkey, n + 1, CASE WHEN new = 'fetched' OR (status <> 'fetched' AND new IN ('failed', 'skipped')) THEN new ELSE status END, CASE WHEN new = 'fetched' OR (status <> 'fetched' AND new IN ('failed', 'skipped')) THEN 'batch ' || (n + 1) ELSE notes END
+  FROM (SELECT *, {pick("(o_orderkey // (n + 3))", "fetched", "failed", "skipped", "manual")} AS new FROM b WHERE n < 2))
+SELECT 'o' || o_orderkey AS source_id, status, notes, o_orderkey AS place FROM b WHERE n = 2"""
+
 SQL = {
     "classify_quality": CLASSIFY,
     "stable_ids_and_hash": "SELECT doc_id, 'src_' || substr(sha1(lower(trim(source)) || '|' || lower(trim(lang)) || '|' || doc_id), 1, 16) AS source_id, sha256(text) AS content_hash FROM documents",
@@ -353,5 +360,5 @@ SQL = {
     "data_quality_fmt": "SELECT c_custkey, format('{:.2f}', round_even((c_custkey % 17) / 16.0::DOUBLE, 2)) AS score, round_even(c_acctbal / 2.0, 0)::BIGINT AS half FROM customer",
     "normalize_source_map": NORMALIZE, "drop_reason_counts": DROPS, "retry_filter": RETRY, "repairs_first_match": REPAIRS, "merge_crawl": MERGE, "search_anti_join": SEARCH, "promote_anti_union": PROMOTE, "rank_dedupe_argmin": RANKS,
     "name_normalize": NAMES, "token_similarity_join": TOKENS, "candidate_confidence": CONFIDENCE, "json_cells": JSON, "url_hosts": HOSTS, "llm_quote_gate": QUOTES, "model_facts": MODEL, "model_report": REPORT, "limit_offset_report": LIMITS, "validation_errors": VALIDATE,
-    "greedy_candidates": greedy(2), "json_records": RECORDS, "html_parse_text": PARSED, "name_pairs": NAME_PAIRS,
+    "greedy_candidates": greedy(2), "json_records": RECORDS, "html_parse_text": PARSED, "name_pairs": NAME_PAIRS, "merge_on_read": ON_READ,
 }
