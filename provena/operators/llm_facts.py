@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provena import functions as fn
+from provena.materialize import removed, written
+from provena.operators import order_stats
 from provena.operators.quality import usable
 from provena.schemas import EVIDENCE, FACT, LLM_REPORT, ORDER, conform, last_wins, ordered, text
 
@@ -89,8 +91,8 @@ def grouped(answer: object) -> dict[str, list]:
 def plan(sources: DataFrame, evidence: DataFrame, limit: int = 0, offset: int = 0, source_types: Sequence[str] | None = None) -> DataFrame:
     """Evidence with source_type and `skip`: why a row isn't sent (blank: it is).
 
-    Rows are not numbered: the order values at which the offset ends and the limit is reached are
-    looked up, by a bounded sort of the first offset + limit eligible rows.
+    Rows are neither sorted nor numbered: the order values at which the offset ends and the limit is reached
+    are found by counting (see order_stats), when this is called.
     """
     kinds = last_wins(ordered(sources), "source_id").select(text("source_id").alias("_sid"), text("source_type").alias("source_type"))
     rows = conform(ordered(evidence), EVIDENCE)
@@ -99,11 +101,13 @@ def plan(sources: DataFrame, evidence: DataFrame, limit: int = 0, offset: int =
     rows = rows.withColumn("skip", F.when(filtered, "source type filtered").when(~usable(rows, strict=True), "non-usable evidence").otherwise(""))
     if not limit and not offset:
         return rows
-    sent = rows.filter("skip = ''").select(ORDER)
-    bound = lambda n, name: sent.orderBy(ORDER).limit(n).agg(F.max(ORDER).alias(name))
-    bounds = bound(offset, "_from").crossJoin(bound(offset + limit, "_to"))  # one row
-    late = F.when(F.lit(offset > 0) & (F.col(ORDER) <= F.col("_from")), "llm offset skipped").when(F.lit(limit > 0) & (F.col(ORDER) > F.col("_to")), "llm limit reached").otherwise("")
-    return rows.crossJoin(F.broadcast(bounds)).withColumn("skip", F.when(F.col("skip") != "", F.col("skip")).otherwise(late)).drop("_from", "_to")
+    sent = written(rows.filter("skip = ''").select(ORDER))
+    first, last = (order_stats.nth(sent, ORDER, n) if n else None for n in (offset, limit and offset + limit))
+    removed(sent)
+    none = F.lit(False)
+    before, after = none if first is None else F.col(ORDER) <= first, none if last is None else F.col(ORDER) > last
+    late = F.when(before, "llm offset skipped").when(after, "llm limit reached").otherwise("")
+    return rows.withColumn("skip", F.when(F.col("skip") != "", F.col("skip")).otherwise(late))
 
 
 def ask(planned: DataFrame, client: Client, pause: float = 0.0) -> DataFrame:

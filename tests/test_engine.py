@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from provena import cli, sinks
 from provena import functions as fn
 from provena import schemas as sc
-from provena.operators import discovery, extract, llm_facts, name_index, profiles, quality, rankings, source_map
+from provena.operators import discovery, extract, llm_facts, name_index, order_stats, profiles, quality, rankings, source_map
 from provena.sinks import csv_file
 from provena.sources import fetch, html, json_records, models, split_csv, tables
 
@@ -592,3 +592,31 @@ def test_a_batch_writes_its_own_rows_only(table, spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t" / "delta")).count() == 2
     got = held.read()
     assert got.count() == 400 and [r["source_id"] for r in got.filter("extracted_text = 'new'").collect()] == ["s7"]
+
+
+def test_nth_row_by_counting(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([0, 5, 1 << 40, 1 << 59, rng.randint(0, 1 << 50)]), rng.randint(-3, 3), k) for k in range(300)]
+    df = spark.createDataFrame(rows, "a long, b long, k long").selectExpr("struct(a, struct(b, k) AS more) AS o", "a").repartition(5).persist()
+    for n in (1, 2, 150, 299, 300, 999):
+        got = spark.range(1).select(order_stats.nth(df, "o", n).alias("o"), order_stats.nth(df, "a", n).alias("a")).first()
+        want = sorted(rows)[min(n, 300) - 1]
+        assert ((got["o"]["a"], got["o"]["more"]["b"], got["o"]["more"]["k"]), got["a"]) == (want, sorted(r[0] for r in rows)[min(n, 300) - 1])
+    assert order_stats.nth(df.limit(0), "a", 1) is None
+
+
+@pytest.mark.parametrize(("limit", "offset"), [(3, 0), (0, 4), (3, 4), (100, 2), (1, 100), (0, 0)])
+def test_offset_and_limit_at_any_place(table, limit, offset):
+    sources = table(sc.SOURCE, source("a"), source("b", "career"))
+    rows = [evidence(k, str(n), status="failed" if n % 5 == 4 else "ok") for n, k in enumerate("aabaaabaaaabbaa")]
+    planned = llm_facts.plan(sources, table(sc.EVIDENCE, *rows), limit, offset, ["tuition_fees"])
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "NestedLoop" not in plan and "TakeOrdered" not in plan
+    sent, want = 0, []
+    for r in rows:
+        why = "source type filtered" if r["source_id"] == "b" else "non-usable evidence" if r["status"] == "failed" else ""
+        if not why:
+            sent += 1
+            why = "llm offset skipped" if sent <= offset else "llm limit reached" if limit and sent > offset + limit else ""
+        want.append(why)
+    assert [r["skip"] for r in planned.orderBy(sc.ORDER).collect()] == want
