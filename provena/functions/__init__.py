@@ -140,10 +140,10 @@ def comparable_domain(host: Column) -> Column:
 
 
 def strip_accents(value: Column) -> Column:
-    """Letters without their accents: canonical and compatibility forms of the Latin ranges, combining marks dropped."""
-    from provena.functions.accents import BARE, MARKED
+    """Letters without their accents: compatibility forms of all characters, combining marks dropped."""
+    from provena.functions import accents
 
-    return F.regexp_replace(F.translate(value, MARKED, BARE), r"\p{M}+", "")
+    return accents.strip_accents(value)
 
 
 def normalize_name(value: Column) -> Column:

@@ -620,3 +620,15 @@ def test_offset_and_limit_at_any_place(table, limit, offset):
             why = "llm offset skipped" if sent <= offset else "llm limit reached" if limit and sent > offset + limit else ""
         want.append(why)
     assert [r["skip"] for r in planned.orderBy(sc.ORDER).collect()] == want
+
+
+def test_bare_forms_of_all_characters(spark):
+    import sys
+    import unicodedata
+
+    chars = [chr(c) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    rows = ["".join(chars[k : k + 64]) for k in range(0, len(chars), 64)] + ["ﬁne Ⅷ ½ ㌔ 한글 각 ＡＢＣ é ﷺ", ""]
+    got = spark.createDataFrame([(r,) for r in rows], "t string").repartition(8).select("t", fn.strip_accents(F.col("t")).alias("s")).collect()
+    assert all(r["s"] == "".join(c for c in unicodedata.normalize("NFKD", r["t"]) if not unicodedata.combining(c)) for r in got)
+    assert one(spark, fn.normalize_name(F.lit("Ｕniversité ﬁnance № 7 (ﬀ)"))) == "universite finance no 7"
+    assert one(spark, fn.strip_accents(F.lit(None).cast("string"))) is None
