@@ -15,9 +15,9 @@ Texts are UTF-8 bytes, matches never cross documents, and strings are judged on
 * Three families follow each other: (1) suffixes by their 16 bytes. (2) Of suffixes that documents share:
   the whole run, and the 33 bytes left and right of the suffix, without which no string of 50 bytes on that
   side can be shared. A run that an earlier document holds goes as a whole. (3) Of the other runs: each
-  string of 50 bytes whose side is shared. The keys of (2) and (3) are 64-bit fingerprints.
+  string of 50 bytes whose side lies in different runs. The keys of (2) and (3) are 64-bit fingerprints.
 
-Every key is sent at most once for each segment (some 8 MB of text), whatever the number of documents that
+Every key is sent at most once for each segment (some 4 MB of text), whatever the number of documents that
 hold it, so a passage or a copy that lies in a third of all documents costs a shard one entry a segment.
 Shards are tasks' groups of a bounded size: their number grows with the bytes of text, as does that of the
 segments. Texts never meet each other; only keys move. Two different strings with equal fingerprints would
@@ -47,14 +47,15 @@ PICK = SPAN - PREFIX + 1
 SIDE = PICK // 2
 BATCHES = 4
 #: Bytes of text in a segment and behind a shard, on average, and the least number of either.
-SEGMENT, SHARD, LEAST = 8 << 20, 16 << 20, 64
+SEGMENT, SHARD, LEAST = 4 << 20, 8 << 20, 64
 #: Strings whose suffixes are picked together.
 PIECE = 1 << 17
+ONE = np.uint64(1)
 OLDER, NONE = np.iinfo(np.int64).min, np.iinfo(np.int64).max
-ODD = np.uint64(0x9E3779B97F4A7C15)
+ODD, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-ASKS = "shard int, segment int, n int, keys binary, low binary, range binary"
-MADE = "kind string, place int, rank int, n int, keys binary, first binary"
+ASKS = "segment int, shard int, n int, keys binary, low binary, range binary, value binary"
+MADE = "kind string, place int, rank int, n int, keys binary, first binary, value binary"
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -92,17 +93,19 @@ class Runs:
     def _piece(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = high - low + PICK - 1
         words = self.words[low : low + size + 8].astype(np.uint64)
-        best = mix64(words[:-8] * ODD + mix64(words[8:]))
-        best = (best & np.uint64(0xFFFFFFFF00000000)) | np.arange(size, dtype=np.uint64)
+        best = words[8:] * ODD2
+        best ^= words[:-8]
+        best *= ODD
+        best &= np.uint64(0xFFFFFFFF00000000)
+        best |= np.arange(size, dtype=np.uint64)
         width = 1
         while 2 * width <= PICK:
             best, width = np.minimum(best[:-width], best[width:]), 2 * width
-        best = np.minimum(best[: high - low], best[PICK - width : PICK - width + high - low])
-        at = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        start, stop = np.searchsorted(self.ends, low, side="right"), np.searchsorted(self.ends, high - 1, side="right") + 1
-        ends = self.ends[start:stop]
-        reach = np.repeat(ends, np.minimum(ends, high) - np.concatenate([[low], ends[:-1]]))
-        at[np.arange(low, high) + SPAN > reach] = -1
+        at = np.minimum(best[: high - low], best[PICK - width : PICK - width + high - low]).astype(np.uint32).astype(np.int64)
+        # what starts in the last bytes of a text would reach into the next one
+        start, stop = np.searchsorted(self.ends, low, side="right"), np.searchsorted(self.ends, high + SPAN, side="right")
+        for end in self.ends[start:stop].tolist():
+            at[max(0, end - SPAN + 1 - low) : max(0, end - low)] = -1
         edge = np.flatnonzero(at[1:] != at[:-1]) + 1
         first, last = np.concatenate([[0], edge]), np.concatenate([edge, [high - low]]) - 1
         held = at[first] >= 0
@@ -122,17 +125,17 @@ class Runs:
         return found
 
     def whole(self) -> np.ndarray:
-        """Of each run's bytes and the place of its suffix in them."""
-        return mix64(self.prints(self.first, self.last + SPAN, 1) + (self.at - self.first).astype(np.uint64) * ODD)
+        """Of each run's bytes and the place of its suffix in them; even."""
+        return mix64(self.prints(self.first, self.last + SPAN, 1) + (self.at - self.first).astype(np.uint64) * ODD) & ~ONE
 
     def left(self) -> tuple[np.ndarray, np.ndarray]:
-        """(runs with strings that reach SIDE bytes to the left of the suffix, fingerprints of that side)."""
+        """(runs with strings that reach SIDE bytes to the left of the suffix, fingerprints of that side; odd)."""
         which = np.flatnonzero(self.at - self.first >= SIDE)
-        return which, self.prints(self.at[which] - SIDE, self.at[which] + PREFIX, 2)
+        return which, self.prints(self.at[which] - SIDE, self.at[which] + PREFIX, 2) | ONE
 
     def right(self) -> tuple[np.ndarray, np.ndarray]:
         which = np.flatnonzero(self.at - self.last < SIDE)
-        return which, self.prints(self.at[which], self.at[which] + PREFIX + SIDE, 3)
+        return which, self.prints(self.at[which], self.at[which] + PREFIX + SIDE, 3) | ONE
 
     def strings(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(run, start) of the strings of the runs in `held`."""
@@ -169,19 +172,22 @@ def lookup_key(keys: np.ndarray) -> np.ndarray:
     return keys[0] if len(keys) == 1 else mix64(keys[0] * ODD + mix64(keys[1]))
 
 
-def suffix_asks(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> tuple[np.ndarray, np.ndarray]:
-    return runs.prefixes(), ids[runs.doc]
+Asked = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def shared_runs(runs: Runs, answers: pa.Table | None) -> None:
-    """Leave the runs whose suffix documents share."""
-    runs.take(look(known(answers, "suffix"), lookup_key(runs.prefixes()))[0])
+def suffix_asks(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> Asked:
+    """Keys as [column, number], the ids that have them and the values that go with them."""
+    return runs.prefixes(), ids[runs.doc], np.zeros(len(runs.at), np.int64)
 
 
-def run_asks(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> tuple[np.ndarray, np.ndarray]:
-    shared_runs(runs, answers)
-    left, right = runs.left(), runs.right()
-    return np.concatenate([runs.whole(), left[1], right[1]])[None], ids[runs.doc[np.concatenate([np.arange(len(runs.at)), left[0], right[0]])]]
+def run_asks(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> Asked:
+    runs.take(look(known(answers, "suffix"), lookup_key(runs.prefixes()))[0])
+    whole, left, right = runs.whole(), runs.left(), runs.right()
+    # of a side it matters which runs have it: strings of equal runs are equal
+    owners = np.concatenate([np.arange(len(whole)), left[0], right[0]])
+    values = whole[owners].view(np.int64)
+    values[: len(whole)] = 0
+    return np.concatenate([whole, left[1], right[1]])[None], ids[runs.doc[owners]], values
 
 
 def open_strings(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,47 +204,55 @@ def open_strings(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> tuple
     return gone, run[held], start[held]
 
 
-def string_asks(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> tuple[np.ndarray, np.ndarray]:
-    shared_runs(runs, answers)
+def string_asks(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> Asked:
     _, run, start = open_strings(runs, ids, answers)
-    return runs.prints(start, start + SPAN, 4)[None], ids[runs.doc[run]]
+    return runs.prints(start, start + SPAN, 4)[None], ids[runs.doc[run]], np.zeros(len(run), np.int64)
 
 
 FAMILIES = {"suffix": suffix_asks, "run": run_asks, "string": string_asks}
 
 
-def sorted_once(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(the order of the keys, where equal ones begin in it)."""
-    order = np.lexsort(keys[::-1])
+def sorted_once(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the order of the keys, equal ones by id, and where equal ones begin in it)."""
+    order = np.lexsort((ids, *keys[::-1]))
     there = keys[:, order]
     return order, np.flatnonzero(np.concatenate([[True], (there[:, 1:] != there[:, :-1]).any(axis=0)])) if len(order) else order
 
 
 def asks(docs: DataFrame, answers: DataFrame | None, family: str, shards: int) -> DataFrame:
-    """The keys that each segment of docs asks a family for, once each, with the least id and the width of the ids that have it."""
+    """The keys that each segment of docs (segment, id, text) asks a family for, once each, with the least id that has it."""
     make = FAMILIES[family]
 
     def rows(texts: pa.Table, answered: pa.Table | None) -> pa.Table:
         runs = Runs(texts["text"].combine_chunks())
-        keys, ids = make(runs, texts["id"].to_numpy(), answered)
-        order, start = sorted_once(keys)
-        keys, low = keys[:, order[start]], np.minimum.reduceat(ids[order], start) if len(start) else ids
-        width = (np.maximum.reduceat(ids[order], start) if len(start) else ids) - low
+        keys, ids, values = make(runs, texts["id"].to_numpy(), answered)
+        order, start = sorted_once(keys, ids)
+        keys, ids, values = keys[:, order], ids[order], values[order]
+        last = np.append(start[1:], len(order))[: len(start)] - 1
+        differ = np.maximum.reduceat(values, start) != np.minimum.reduceat(values, start) if len(start) else start
+        # the least id, with its value; how far the other ids are from it, or whether values differ
+        width = np.where(values[start] != 0, differ, ids[last] - ids[start])
+        keys, low, value = keys[:, start], ids[start], values[start]
         shard = (mix64(lookup_key(keys) + ODD) % np.uint64(shards)).astype(np.int64)
         by = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[by], np.arange(shards + 1))
-        out = [(s, b[1] - b[0], pack(keys[:, by[b[0] : b[1]]]), pack(low[by[b[0] : b[1]]]), pack(width[by[b[0] : b[1]]])) for s, b in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b[1] > b[0]]
+        out = [(s, b[1] - b[0], pack(keys[:, by[b[0] : b[1]]]), pack(low[by[b[0] : b[1]]]), pack(width[by[b[0] : b[1]]]), pack(value[by[b[0] : b[1]]])) for s, b in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b[1] > b[0]]
         segment = texts["segment"][0].as_py() if texts.num_rows else 0
-        columns = list(zip(*out, strict=True)) or [[]] * 5
-        return pa.table([pa.array(columns[0], pa.int32()), pa.array([segment] * len(out), pa.int32()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[2:])], names=["shard", "segment", "n", "keys", "low", "range"])
+        columns = list(zip(*out, strict=True)) or [[]] * 6
+        return pa.table([pa.array([segment] * len(out), pa.int32()), *(pa.array(c, pa.int32()) for c in columns[:2]), *(pa.array(c, pa.binary()) for c in columns[2:])], names=["segment", "shard", "n", "keys", "low", "range", "value"])
 
+    docs = docs.select("segment", "id", "text")
     if answers is None:
         return docs.groupBy("segment").applyInArrow(lambda texts: rows(texts, None), ASKS)
     return docs.groupBy("segment").cogroup(answers.groupBy("place")).applyInArrow(rows, ASKS)
 
 
-def scan(batch: DataFrame, levels: DataFrame, fold: frozenset[int], rank: int) -> DataFrame:
-    """One batch of asks against all levels, shard by shard: answers by segment, and the new level of `rank`, into which those of `fold` merge."""
+def scan(batch: DataFrame, levels: DataFrame, fold: frozenset[int], rank: int, sides: bool = False) -> DataFrame:
+    """One batch of asks against all levels, shard by shard: answers by segment, and the new level of `rank`, into which those of `fold` merge.
+
+    A key is shared if a level or another segment has it, or another id in its own. With `sides`, odd keys are
+    sides: one is shared if the runs that have it differ, so a level keeps its run.
+    """
 
     def rows(asked: pa.Table, held: pa.Table) -> pa.Table:
         asked, held = asked.to_pylist(), held.to_pylist()
@@ -249,86 +263,103 @@ def scan(batch: DataFrame, levels: DataFrame, fold: frozenset[int], rank: int) -
         keys = np.concatenate(parts, axis=1)
         # of asks the segment, of a level's suffixes the one that they came from
         origin = np.concatenate([np.repeat([r["segment"] for r in asked], sizes[: len(asked)]), *(unpack(r["first"], np.int64) for r in held)]).astype(np.int64)
+        side = (keys[0] & ONE).astype(bool) if sides else np.zeros(len(origin), bool)
+        value = np.concatenate([unpack(r["value"], np.int64) for r in (*asked, *held)])
         low = np.concatenate([*(unpack(r["low"], np.int64) for r in asked), np.full(len(origin) - n, NONE)])
-        high = np.concatenate([*(unpack(r["low"], np.int64) + unpack(r["range"], np.int64) for r in asked), np.full(len(origin) - n, OLDER)])
-        order, start = sorted_once(keys)
+        width = np.concatenate([*(unpack(r["range"], np.int64) for r in asked), np.zeros(len(origin) - n, np.int64)])
+        order, start = sorted_once(keys, low)
         asking = order < n
-        least, most = np.minimum.reduceat(low[order], start), np.maximum.reduceat(high[order], start)
+        least, values = low[order[start]], value[order]
+        # ids differ where no level has the key, or runs do
+        differ = np.maximum.reduceat(width[order], start) > 0
+        differ |= np.where(side[order[start]], np.maximum.reduceat(values, start) != np.minimum.reduceat(values, start), False)
         members = np.add.reduceat(asking, start, dtype=np.int64)
         group = np.repeat(np.arange(len(start)), np.diff([*start, len(order)]))
         older = np.add.reduceat(~asking, start, dtype=np.int64) > 0
-        shared = (members > 0) & (older | (members > 1) | (least != most))
+        shared = (members > 0) & (differ | (~side[order[start]] & (older | (members > 1))))
         told = shared[group]
         first = np.where(asking, np.where(older, OLDER, least)[group], NONE)[told]
         where, answer = origin[order[told]], lookup_key(keys[:, order[told]])
         by = np.argsort(where, kind="stable")
         out = []
         for places in np.split(by, np.flatnonzero(np.diff(where[by])) + 1) if len(by) else []:
-            out.append(("answer", int(where[places[0]]), 0, len(places), pack(answer[places]), pack(first[places])))
+            out.append(("answer", int(where[places[0]]), 0, len(places), pack(answer[places]), pack(first[places]), b""))
         # what no level holds, and the levels that it merges with; a level's own suffix stands alone or beside asks
         level = np.concatenate([np.zeros(n, np.int64), np.repeat([r["rank"] for r in held], sizes[len(asked) :]).astype(np.int64)])[order]
         stays = np.where(asking, ~older[group] & (np.arange(len(order)) == start[group]), np.isin(level, list(fold)))
         kept = order[stays]
         if len(kept):
-            out.append(("level", shard, rank, len(kept), pack(keys[:, kept]), pack(origin[kept])))
-        columns = list(zip(*out, strict=True)) or [[]] * 6
-        return pa.table([pa.array(columns[0], pa.string()), *(pa.array(columns[k], pa.int32()) for k in (1, 2, 3)), *(pa.array(columns[k], pa.binary()) for k in (4, 5))], names=["kind", "place", "rank", "n", "keys", "first"])
+            out.append(("level", shard, rank, len(kept), pack(keys[:, kept]), pack(origin[kept]), pack(value[kept])))
+        columns = list(zip(*out, strict=True)) or [[]] * 7
+        return pa.table([pa.array(columns[0], pa.string()), *(pa.array(columns[k], pa.int32()) for k in (1, 2, 3)), *(pa.array(columns[k], pa.binary()) for k in (4, 5, 6))], names=["kind", "place", "rank", "n", "keys", "first", "value"])
 
     return batch.groupBy("shard").cogroup(levels.groupBy("place")).applyInArrow(rows, MADE)
 
 
+def write(df: DataFrame, path: str, by: str) -> set[str]:
+    """df as Parquet, a folder for each value of `by`, and the values written. The shuffle files behind it go at once."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").partitionBy(by).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)]
+    return {n.partition("=")[2] for n in names if n.startswith(f"{by}=")}
+
+
 class Family:
     """The levels of one family and what it has answered; its tables lie under `folder`."""
 
     def __init__(self, spark, folder: str, name: str):
         self.spark, self.folder, self.name, self.size = spark, folder, name, 0
         self.levels: dict[int, str] = {}
-        self.written: list[str] = []
+        self.answered: dict[int, list[str]] = {}
 
     def _read(self, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(MADE).parquet(*paths) if paths else self.spark.createDataFrame([], MADE)
 
-    def add(self, asked: DataFrame) -> None:
-        """Scan a batch and take it in as a level; levels of ranks 0, 1, ... that are full merge into it."""
+    def add(self, asked: DataFrame, segments: int = 1) -> None:
+        """Scan a batch and take it in as a level; levels of ranks 0, 1, ... that are full merge into it. Answers are kept by the batch of their segment, of which each has so many."""
         rank = 0
         while self.size >> rank & 1:
             rank += 1
         fold = frozenset(range(rank))
         path = f"{self.folder}/{self.name}-{self.size}"
-        made = scan(asked, self._read(list(self.levels.values())), fold, rank)
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
-        try:
-            made.withColumn("of", F.col("kind")).write.option("compression", "zstd").partitionBy("of").parquet(path)
-        finally:
-            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
+        made = scan(asked, self._read(list(self.levels.values())), fold, rank, sides=self.name == "run")
+        found = write(made.withColumn("of", F.when(F.col("kind") == "level", "level").otherwise(F.floor(F.col("place") / segments).cast("string"))), path, "of")
         for old in fold:
-            remove(self.spark, self.levels.pop(old))
-        found = self._folders(path)
-        if "of=level" in found:
-            self.levels[rank] = f"{path}/of=level"
-        if "of=answer" in found:
-            self.written.append(f"{path}/of=answer")
+            if old in self.levels:
+                remove(self.spark, self.levels.pop(old))
+        for of in found:
+            if of == "level":
+                self.levels[rank] = f"{path}/of=level"
+            else:
+                self.answered.setdefault(int(of), []).append(f"{path}/of={of}")
         self.size += 1
 
-    def _folders(self, path: str) -> set[str]:
-        """What a batch wrote: a level, answers, or neither."""
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return {s.getPath().getName() for s in where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)}
-
-    def close(self) -> None:
-        """The levels go; what was answered stays."""
-        for path in self.levels.values():
-            remove(self.spark, path)
+    def take(self, batches: list[DataFrame], before: Family | None, segments: int, shards: int) -> None:
+        """All documents, batch after batch. The levels go at the end."""
+        for k, docs in enumerate(batches):
+            self.add(asks(docs, before and before.answers(k), self.name, shards), segments)
+        for level in self.levels.values():
+            remove(self.spark, level)
         self.levels = {}
 
-    def answers(self) -> DataFrame:
-        return self._read(self.written).withColumn("kind", F.lit(self.name))
+    def answers(self, batch: int | None = None) -> DataFrame:
+        """What the segments of a batch were told, or all."""
+        paths = [p for k, ps in self.answered.items() if batch in (None, k) for p in ps]
+        return self._read(paths).withColumn("kind", F.lit(self.name))
+
+    def drop(self) -> None:
+        for path in [p for ps in self.answered.values() for p in ps]:
+            remove(self.spark, path)
 
 
 def kept(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> tuple[list, list]:
     """(removed spans as [start, end] in the text's bytes, remaining bytes) of each text."""
-    shared_runs(runs, answers)
     gone, run, start = open_strings(runs, ids, answers)
     hit = look(known(answers, "string"), runs.prints(start, start + SPAN, 4))[1] < ids[runs.doc[run]]
     low = np.concatenate([runs.first[gone], start[hit]])
@@ -362,18 +393,20 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bytes_, cuts = rows.filter("id IS NOT NULL").agg(F.sum(F.octet_length("text")), F.percentile_approx("id", quantiles, 10_000)).first()
     segments = max(1, max(LEAST, -(-(bytes_ or 0) // segment_bytes)) // batches)
     shards = max(LEAST, -(-(bytes_ or 0) // shard_bytes))
-    batch = sum((F.when(F.col("id") > c, 1).otherwise(0) for c in sorted(set(cuts or []))), F.lit(0))
-    docs = rows.withColumn("batch", F.when(F.col("id").isNotNull(), batch)).withColumn("segment", (F.coalesce("batch", F.lit(0)) * segments + F.pmod(F.xxhash64("id", "text"), F.lit(segments))).cast("int"))
+    cuts = sorted(set(cuts or []))
+    batch = sum((F.coalesce(F.col("id") > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    docs = rows.withColumn("segment", (batch * segments + F.pmod(F.xxhash64("id", "text"), F.lit(segments))).cast("int"))
+    # ranges of ids, so that files which are sorted by them are read in part
+    parts = [docs.filter(F.col("id").isNotNull() & (F.lit(True) if low is None else F.col("id") > low) & (F.lit(True) if high is None else F.col("id") <= high)) for low, high in zip([None, *cuts], [*cuts, None], strict=True)]
     folder = f"{shared_dir(spark)}/provena/{uuid.uuid4().hex}"
-    answers = None
-    for name in FAMILIES:
-        family = Family(spark, folder, name)
-        for k in range(batches):
-            family.add(asks(docs.filter(F.col("batch") == k).select("segment", "id", "text"), answers, name, shards))
-        family.close()
-        answers = family.answers() if answers is None else answers.unionByName(family.answers())
+    families = [Family(spark, folder, name) for name in FAMILIES]
+    for before, family in zip([None, *families], families):  # noqa: B905
+        family.take(parts, before, segments, shards)
+        if before is families[0]:
+            before.drop()
+    answers = families[1].answers().unionByName(families[2].answers())
     # a null id asks for nothing: OLDER is never below it
-    finished = docs.select("segment", "id", "text").groupBy("segment").cogroup(answers.groupBy("place")).applyInArrow(_finish, "id long, n_bytes long, spans array<array<long>>, kept binary")
+    finished = docs.groupBy("segment").cogroup(answers.groupBy("place")).applyInArrow(_finish, "id long, n_bytes long, spans array<array<long>>, kept binary")
     return finished.withColumnRenamed("id", id_col)
 
 
