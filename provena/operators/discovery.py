@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from provena import functions as fn
 from provena import lexicons as lx
+from provena.functions import urls
 from provena.materialize import cut
 from provena.schemas import ORDER, SOURCE, SUGGESTION, conform, either, last_wins, ordered, text
 
@@ -23,7 +24,7 @@ def native_links(html: Column) -> Column:
 
 
 def links(pages: DataFrame, base_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Resolved links of pages through an HTML parser: the page's columns but the html, then link and anchor, in page order."""
+    """Resolved links of pages: the page's columns but the html, then link and anchor, in page order. A parser finds the links; they are resolved natively."""
     from provena.sources.html import page_links
 
     keep = [c for c in pages.columns if c != html_col]
@@ -31,13 +32,13 @@ def links(pages: DataFrame, base_col: str = "url", html_col: str = "html") -> Da
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [page_links(b or "", h or "") for b, h in zip(batch[base_col], batch[html_col], strict=True)]
+            found = [page_links(h or "") for h in batch[html_col]]
             out = batch.loc[batch.index.repeat([len(f) for f in found]), keep].reset_index(drop=True)
             out["_place"] = [k for f in found for k in range(len(f))]
             out["link"], out["anchor_text"] = [u for f in found for u, _ in f], [a for f in found for _, a in f]
             yield out
 
-    return pages.mapInPandas(run, schema)
+    return pages.mapInPandas(run, schema).withColumn("link", urls.resolve(text(base_col), F.col("link")))
 
 
 def keeps(base: Column, link: Column) -> Column:

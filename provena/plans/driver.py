@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from provena import functions as fn
 from provena import lexicons as lx
+from provena.functions import urls
 from provena.materialize import shared_dir
 from provena.operators import discovery, extract, llm_facts, profiles, quality, rankings, source_map
 from provena.plans import shapes as sh
@@ -53,6 +54,19 @@ def html_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", F.col("_place").alias("place"), "link", "anchor_text")
 
 
+#: Links of all kinds, by their place in a page; a blank one stands for the page's own.
+RELATIVE_LINKS = ("", "../x/./y", "?q=1", "//cdn.example.org/a/../b", "#f", "a/../../b/", "./", "mailto:a@b.org", "/p//q/..", "..?z#w")
+
+
+def url_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages, and relative ones made up beside them, resolved against the page's address with a folder added."""
+    found = _links(spark, sf_dir)
+    base = F.concat(F.regexp_extract("url", "^[^?#]*", 0), pick(F.col("page_id"), "", "/", "/d/e", "/d/../f/?k"))
+    link = pick(F.col("place"), *RELATIVE_LINKS)
+    link = F.when(link == "", F.col("href")).otherwise(link)
+    return found.select("page_id", "place", base.alias("base"), link.alias("link"), urls.resolve(base, link).alias("address"))
+
+
 def link_classify_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _links(spark, sf_dir).withColumn("link", F.concat(F.col("href"), F.lit("/"), pick(F.col("page_id"), "apply", "student-fees", "housing_and_careers", "study", "x")))
     found = found.withColumn("m", F.explode(discovery.labels(F.col("link"), F.col("anchor_text"))))
@@ -407,7 +421,7 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = (
-    classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows, classify_evidence, facts_routing, match_report,
+    classify_quality, stable_ids_and_hash, sentence_split_counts, html_links, html_strip_text, html_parse_text, url_resolve, link_classify_explode, link_dedupe_first, money_facts, usd_range, english_scores, cert_flags, deadline_candidates, program_rows, classify_evidence, facts_routing, match_report,
     tag_sets, facts_split_union, prefer_origin, first_value_by_order, ordered_distinct_summary, cert_join_display, coverage_score, batch_qa_counts, profile_flagship, field_gaps, quality_gate, import_qa_status, country_fallback, data_quality_fmt,
     normalize_source_map, drop_reason_counts, retry_filter, repairs_first_match, merge_crawl, merge_on_read, search_anti_join, promote_anti_union, rank_dedupe_argmin, name_normalize, token_similarity_join, candidate_confidence, json_cells, url_hosts,
     llm_quote_gate, model_facts, model_report, limit_offset_report, validation_errors, greedy_candidates, seq_ratio_match, name_pairs, json_records,

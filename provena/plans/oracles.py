@@ -341,6 +341,25 @@ x AS (
 SELECT university_id, p_partkey, simple, q_simple, shared_letters, shared_words FROM x
 WHERE simple = q_simple OR greatest(2.0::DOUBLE * shared_letters / (length(simple) + length(q_simple)) * 0.76::DOUBLE, shared_words::DOUBLE / (n + m - shared_words) * 0.82::DOUBLE, shared_words::DOUBLE / least(n, m) * 0.78::DOUBLE) >= need"""
 
+RELATIVE_LINKS = ("", "../x/./y", "?q=1", "//cdn.example.org/a/../b", "#f", "a/../../b/", "./", "mailto:a@b.org", "/p//q/..", "..?z#w")
+RESOLVE = f"""WITH {LINKS},
+x AS (SELECT page_id, place, regexp_extract(url, '^[^?#]*') || {pick("page_id", "", "/", "/d/e", "/d/../f/?k")} AS base, CASE WHEN place % 10 = 0 THEN href ELSE {pick("place", *RELATIVE_LINKS)} END AS link FROM links),
+p AS (
+  SELECT *, regexp_extract(base, '^([a-z]+):', 1) AS scheme, regexp_extract(base, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(base, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS bpath, regexp_extract(base, '^[^?#]*(\\?[^#]*)', 1) AS bquery,
+    regexp_extract(link, '^([^?#]*)', 1) AS path, regexp_extract(link, '^[^?#]*(\\?[^#]*)', 1) AS query, regexp_extract(link, '(#.*)$', 1) AS fragment
+  FROM x),
+s AS (
+  SELECT *, CASE WHEN path LIKE '/%' THEN string_split(path, '/') ELSE list_concat(
+    list_concat([string_split(bpath, '/')[1]], list_filter((CASE WHEN bpath LIKE '%/' THEN bpath ELSE regexp_replace(bpath, '[^/]*$', '') END).string_split('/')[2:], lambda v: v <> '')), list_filter(string_split(path, '/')[:-2], lambda v: v <> '')) || [string_split(path, '/')[-1]] END AS segments
+  FROM p),
+d AS (SELECT *, list_reduce(list_concat([[]::VARCHAR[]], list_transform(segments, lambda v: [v])), lambda a, v: CASE v[1] WHEN '..' THEN a[: length(a) - 1] WHEN '.' THEN a ELSE list_concat(a, v) END) AS kept FROM s)
+SELECT page_id, place, base, link, CASE
+  WHEN regexp_matches(link, '^[a-z]+:') THEN link
+  WHEN link LIKE '//%' THEN scheme || ':' || link
+  WHEN path = '' THEN scheme || '://' || host || bpath || CASE WHEN query <> '' THEN query ELSE bquery END || fragment
+  ELSE scheme || '://' || host || coalesce(nullif(regexp_replace(array_to_string(kept || CASE WHEN segments[-1] IN ('.', '..') THEN [''] ELSE []::VARCHAR[] END, '/'), '^([^/])', '/\\1'), ''), '/') || query || fragment END AS address
+FROM d"""
+
 ON_READ = f"""WITH RECURSIVE b AS (
   SELECT o_orderkey, -1 AS n, CASE o_orderstatus WHEN 'F' THEN 'fetched' WHEN 'P' THEN 'manual' ELSE 'failed' END AS status, o_orderstatus AS notes FROM orders
   UNION ALL
@@ -360,5 +379,5 @@ SQL = {
     "data_quality_fmt": "SELECT c_custkey, format('{:.2f}', round_even((c_custkey % 17) / 16.0::DOUBLE, 2)) AS score, round_even(c_acctbal / 2.0, 0)::BIGINT AS half FROM customer",
     "normalize_source_map": NORMALIZE, "drop_reason_counts": DROPS, "retry_filter": RETRY, "repairs_first_match": REPAIRS, "merge_crawl": MERGE, "search_anti_join": SEARCH, "promote_anti_union": PROMOTE, "rank_dedupe_argmin": RANKS,
     "name_normalize": NAMES, "token_similarity_join": TOKENS, "candidate_confidence": CONFIDENCE, "json_cells": JSON, "url_hosts": HOSTS, "llm_quote_gate": QUOTES, "model_facts": MODEL, "model_report": REPORT, "limit_offset_report": LIMITS, "validation_errors": VALIDATE,
-    "greedy_candidates": greedy(2), "json_records": RECORDS, "html_parse_text": PARSED, "name_pairs": NAME_PAIRS, "merge_on_read": ON_READ,
+    "greedy_candidates": greedy(2), "json_records": RECORDS, "html_parse_text": PARSED, "name_pairs": NAME_PAIRS, "merge_on_read": ON_READ, "url_resolve": RESOLVE,
 }

@@ -632,3 +632,30 @@ def test_bare_forms_of_all_characters(spark):
     assert all(r["s"] == "".join(c for c in unicodedata.normalize("NFKD", r["t"]) if not unicodedata.combining(c)) for r in got)
     assert one(spark, fn.normalize_name(F.lit("Ｕniversité ﬁnance № 7 (ﬀ)"))) == "universite finance no 7"
     assert one(spark, fn.strip_accents(F.lit(None).cast("string"))) is None
+
+
+def test_addresses_resolve_as_urljoin_does(spark):
+    from urllib.parse import urljoin
+
+    from provena.functions import urls
+
+    rng = random.Random(1)
+    piece = lambda: rng.choice(["a", "b.html", "..", ".", "", "c;p", "..;q", ";", "é", "%2e", "x y", "...", "a:b"])
+    path = lambda: rng.choice(["", "/"]) + "/".join(piece() for _ in range(rng.randint(0, 5)))
+    tail = lambda: rng.choice(["", "?", "?q=1/../2", "?a?b"]) + rng.choice(["", "#", "#f?x", "#a#b"])
+
+    def url():
+        scheme = rng.choice(["http:", "HTTPS:", "ftp:", "mailto:", "file:", "", "", "", "javascript:", "tel:", "weird+x:", "1x:"])
+        return rng.choice(["", " ", "\n\t"]) + scheme + rng.choice(["//h.org", "//u@h.org:80", "//[::1]:8", "//[zz", "//", "", "", "", "//é.org", "//h℀.org"]) + path() + tail()
+
+    rfc = ["g:h", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x", "", ".", "./", "..", "../", "../g", "../..", "../../", "../../g", "../../../g", "/./g", "/../g", "g.", ".g", "g..", "./../g", "./g/.", "g/./h", "g/../h", "g;x=1/./y", "g?y/./x", "g#s/../x", "http:g"]
+    rows = [(url(), url() if rng.random() < 0.5 else path() + tail()) for _ in range(1500)] + [("http://a/b/c/d;p?q", x) for x in rfc] + [(None, "x"), ("http://a/", None), ("", "x")]
+
+    def wanted(base, link):
+        try:
+            return None if base is None or link is None else urljoin(base, link)
+        except ValueError:
+            return link
+
+    got = spark.createDataFrame(rows, "b string, l string").select("b", "l", urls.resolve(F.col("b"), F.col("l")).alias("r")).collect()
+    assert [r for r in got if r["r"] != wanted(r["b"], r["l"])] == []
