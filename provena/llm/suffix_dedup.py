@@ -63,8 +63,14 @@ def pack(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def unpack(data: bytes, kind=np.uint64) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
+def unpack(data: bytes, kind=np.uint64, n: int = 0) -> np.ndarray:
+    """What pack or pack_some made of numbers, in the latter case n of them."""
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(kind).ravel() if data else np.zeros(n, kind)
+
+
+def pack_some(values: np.ndarray) -> bytes:
+    """Nothing for zeros only."""
+    return pack(values) if values.any() else b""
 
 
 def unpack_keys(data: bytes, n: int) -> np.ndarray:
@@ -120,9 +126,12 @@ class Runs:
     def prints(self, start: np.ndarray, stop: np.ndarray, kind: int) -> np.ndarray:
         """Fingerprints of strings of at least 8 bytes."""
         found = mix64((stop - start).astype(np.uint64) * ODD + np.uint64(kind))
+        last = stop - 8
         for k in range(0, int((stop - start).max(initial=0)), 8):
-            found = mix64((found ^ self.words[np.minimum(start + k, stop - 8)].astype(np.uint64)) * ODD + np.uint64(k))
-        return found
+            found ^= self.words[np.minimum(start + k, last)].astype(np.uint64)
+            found *= ODD
+            found ^= found >> np.uint64(29)
+        return mix64(found)
 
     def whole(self) -> np.ndarray:
         """Of each run's bytes and the place of its suffix in them; even."""
@@ -160,11 +169,18 @@ def known(answers: pa.Table | None, kind: str) -> tuple[np.ndarray, np.ndarray]:
 def look(answers: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(is the key shared, the first document with it)."""
     held, first = answers
-    if not len(held):
-        return np.zeros(len(keys), bool), np.full(len(keys), NONE)
-    at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
-    hit = held[at] == keys
-    return hit, np.where(hit, first[at], NONE)
+    hit, found = np.zeros(len(keys), bool), np.full(len(keys), NONE)
+    if len(held):
+        # most keys aren't held: a table of low bits tells it sooner than a search
+        low = np.uint64((1 << min(24, (8 * len(held)).bit_length())) - 1)
+        table = np.zeros(int(low) + 1, bool)
+        table[held & low] = True
+        maybe = np.flatnonzero(table[keys & low])
+        at = np.minimum(np.searchsorted(held, keys[maybe]), len(held) - 1)
+        sure = held[at] == keys[maybe]
+        hit[maybe[sure]] = True
+        found[maybe[sure]] = first[at[sure]]
+    return hit, found
 
 
 def lookup_key(keys: np.ndarray) -> np.ndarray:
@@ -212,9 +228,15 @@ def string_asks(runs: Runs, ids: np.ndarray, answers: pa.Table | None) -> Asked:
 FAMILIES = {"suffix": suffix_asks, "run": run_asks, "string": string_asks}
 
 
-def sorted_once(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(the order of the keys, equal ones by id, and where equal ones begin in it)."""
-    order = np.lexsort((ids, *keys[::-1]))
+def sorted_once(keys: np.ndarray, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(the order of the keys, equal ones by id if ids are given, and where equal ones begin in it)."""
+    order = np.argsort(keys[0])
+    rest = [*keys[1:], *([] if ids is None else [ids])]
+    same = keys[0][order][1:] == keys[0][order][:-1]
+    if rest and same.any():
+        # only where first columns are equal do the others decide
+        tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        order[tied] = order[tied][np.lexsort([c[order[tied]] for c in (*rest[::-1], keys[0])])]
     there = keys[:, order]
     return order, np.flatnonzero(np.concatenate([[True], (there[:, 1:] != there[:, :-1]).any(axis=0)])) if len(order) else order
 
@@ -226,17 +248,17 @@ def asks(docs: DataFrame, answers: DataFrame | None, family: str, shards: int) -
     def rows(texts: pa.Table, answered: pa.Table | None) -> pa.Table:
         runs = Runs(texts["text"].combine_chunks())
         keys, ids, values = make(runs, texts["id"].to_numpy(), answered)
-        order, start = sorted_once(keys, ids)
-        keys, ids, values = keys[:, order], ids[order], values[order]
-        last = np.append(start[1:], len(order))[: len(start)] - 1
-        differ = np.maximum.reduceat(values, start) != np.minimum.reduceat(values, start) if len(start) else start
         # the least id, with its value; how far the other ids are from it, or whether values differ
-        width = np.where(values[start] != 0, differ, ids[last] - ids[start])
-        keys, low, value = keys[:, start], ids[start], values[start]
+        order, start = sorted_once(keys, ids if values.any() else None)
+        keys, ids, values = keys[:, order], ids[order], values[order]
+        most = lambda a: np.maximum.reduceat(a, start) if len(start) else a
+        low, value = -most(-ids), values[start]
+        width = np.where(value != 0, most(values) != -most(-values), most(ids) - low)
+        keys = keys[:, start]
         shard = (mix64(lookup_key(keys) + ODD) % np.uint64(shards)).astype(np.int64)
         by = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[by], np.arange(shards + 1))
-        out = [(s, b[1] - b[0], pack(keys[:, by[b[0] : b[1]]]), pack(low[by[b[0] : b[1]]]), pack(width[by[b[0] : b[1]]]), pack(value[by[b[0] : b[1]]])) for s, b in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b[1] > b[0]]
+        out = [(s, b[1] - b[0], pack(keys[:, by[b[0] : b[1]]]), pack(low[by[b[0] : b[1]]]), pack_some(width[by[b[0] : b[1]]]), pack_some(value[by[b[0] : b[1]]])) for s, b in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b[1] > b[0]]
         segment = texts["segment"][0].as_py() if texts.num_rows else 0
         columns = list(zip(*out, strict=True)) or [[]] * 6
         return pa.table([pa.array([segment] * len(out), pa.int32()), *(pa.array(c, pa.int32()) for c in columns[:2]), *(pa.array(c, pa.binary()) for c in columns[2:])], names=["segment", "shard", "n", "keys", "low", "range", "value"])
@@ -264,12 +286,12 @@ def scan(batch: DataFrame, levels: DataFrame, fold: frozenset[int], rank: int, s
         # of asks the segment, of a level's suffixes the one that they came from
         origin = np.concatenate([np.repeat([r["segment"] for r in asked], sizes[: len(asked)]), *(unpack(r["first"], np.int64) for r in held)]).astype(np.int64)
         side = (keys[0] & ONE).astype(bool) if sides else np.zeros(len(origin), bool)
-        value = np.concatenate([unpack(r["value"], np.int64) for r in (*asked, *held)])
+        value = np.concatenate([unpack(r["value"], np.int64, r["n"]) for r in (*asked, *held)])
         low = np.concatenate([*(unpack(r["low"], np.int64) for r in asked), np.full(len(origin) - n, NONE)])
-        width = np.concatenate([*(unpack(r["range"], np.int64) for r in asked), np.zeros(len(origin) - n, np.int64)])
-        order, start = sorted_once(keys, low)
+        width = np.concatenate([*(unpack(r["range"], np.int64, r["n"]) for r in asked), np.zeros(len(origin) - n, np.int64)])
+        order, start = sorted_once(keys, low if sides else None)
         asking = order < n
-        least, values = low[order[start]], value[order]
+        least, values = np.minimum.reduceat(low[order], start), value[order]
         # ids differ where no level has the key, or runs do
         differ = np.maximum.reduceat(width[order], start) > 0
         differ |= np.where(side[order[start]], np.maximum.reduceat(values, start) != np.minimum.reduceat(values, start), False)
@@ -289,7 +311,7 @@ def scan(batch: DataFrame, levels: DataFrame, fold: frozenset[int], rank: int, s
         stays = np.where(asking, ~older[group] & (np.arange(len(order)) == start[group]), np.isin(level, list(fold)))
         kept = order[stays]
         if len(kept):
-            out.append(("level", shard, rank, len(kept), pack(keys[:, kept]), pack(origin[kept]), pack(value[kept])))
+            out.append(("level", shard, rank, len(kept), pack(keys[:, kept]), pack(origin[kept]), pack_some(value[kept])))
         columns = list(zip(*out, strict=True)) or [[]] * 7
         return pa.table([pa.array(columns[0], pa.string()), *(pa.array(columns[k], pa.int32()) for k in (1, 2, 3)), *(pa.array(columns[k], pa.binary()) for k in (4, 5, 6))], names=["kind", "place", "rank", "n", "keys", "first", "value"])
 
