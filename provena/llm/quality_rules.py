@@ -5,12 +5,15 @@ The compression bands are the method: the zstandard ratio (raw bytes / compresse
 whole text and of its fixed-size chunks must lie between limits that depend on the length. A high
 ratio marks repetitive text, a low one incompressible text (encoded data).
 
-The limits are fitted to the corpus at hand: `fit` takes the quartiles of the ratios of all
-documents that pass the base rules, for each length class (half an octave of bytes), and of all
-their chunks; a band reaches from the median `LOW_FENCE` interquartile ranges down and `HIGH_FENCE`
-up. A class of fewer than `min_rows` documents (or chunks) keeps the stated DOCUMENT_BANDS or
-CHUNK_BANDS, widened by nothing. The quartiles are mergeable sketches over all rows, so what the
-driver gets is three numbers for each of at most `CLASSES` classes.
+The limits follow the corpus by one rule for every size of it. How a ratio grows with the length and
+how far ratios of a length spread is a fixed reference (`SHAPE`, `CHUNK_SHAPE`: parameters). Each ratio is
+measured against it, as (ratio - centre) / spread, and the quartiles of these numbers over all documents
+(or chunks) that pass the base rules, of all lengths together, place the bands: from the median `LOW_FENCE`
+interquartile ranges down and `HIGH_FENCE` up, an interquartile range counting as 1 (the reference's own) at
+least. A band never leaves the stated outer limits DOCUMENT_BANDS and CHUNK_BANDS. No class of lengths is
+fitted by itself, so a small corpus is judged like a large one of its kind. The quartiles are mergeable
+sketches over all rows; the driver gets three numbers for documents and three for chunks. `fit` finds
+limits class by class, for those who want to give them as `bands`.
 
 Defined results: a null text counts as empty; an empty text has no words, ratio 0 and is rejected
 by the base rules; repeated rows and ties are judged row by row; a null id is carried through; an
@@ -36,6 +39,13 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: (length in bytes from which it holds, lowest ratio, highest ratio). Short texts hold less to repeat, so their ratio spreads less.
 DOCUMENT_BANDS = ((0, 0.0, 2.6), (100, 0.7, 2.6), (400, 1.2, 3.2), (1_000, 1.4, 4.2), (4_000, 1.5, 5.5), (20_000, 1.6, 8.0))
 CHUNK_BANDS = ((0, 0.0, 2.6), (100, 0.7, 2.6), (400, 1.1, 3.4), (1_000, 1.3, 6.0), (4_000, 1.4, 9.0))
+#: (length in bytes from which it holds, usual ratio, interquartile range) of prose: the reference that ratios are measured against.
+SHAPE = (
+    (0, 0.5, 0.1), (32, 0.82, 0.09), (64, 1.05, 0.1), (90, 1.19, 0.11), (128, 1.32, 0.125), (181, 1.45, 0.12), (256, 1.53, 0.102), (362, 1.6, 0.102), (512, 1.69, 0.08), (724, 1.82, 0.09), (1_024, 1.92, 0.067), (1_448, 1.995, 0.058),
+    (2_048, 2.07, 0.053), (2_896, 2.125, 0.048), (4_096, 2.184, 0.043), (5_792, 2.23, 0.055), (8_192, 2.27, 0.06), (11_585, 2.32, 0.08), (16_384, 2.39, 0.082), (23_170, 2.4, 0.09), (32_768, 2.42, 0.15), (65_536, 2.5, 0.2), (131_072, 2.57, 0.25),
+)
+#: Of full chunks, which hold other text before and after; shorter ones are as documents.
+CHUNK_SHAPE = (*[x for x in SHAPE if x[0] < 4_096], (4_096, 2.157, 0.036))
 CHUNK_BYTES = 4_096
 #: Share of the chunks that may lie outside their band.
 CHUNK_SHARE = 0.34
@@ -73,6 +83,21 @@ def fitted(ratios: DataFrame, bands: Sequence[tuple[int, float, float]], low_fen
     return low, high
 
 
+def placed(ratios: DataFrame, bands: Sequence[tuple[int, float, float]], shape: Sequence[tuple[int, float, float]], low_fence: float, high_fence: float) -> Bands:
+    """Limits for each length class from rows (size, ratio) of all lengths, measured against the shape, within `bands`."""
+    centres, spreads = stated(shape)
+    at = lambda held: F.element_at(F.array(*map(F.lit, held)), length_class(F.col("size")) + 1)
+    quartiles = ratios.agg(F.percentile_approx((F.col("ratio") - at(centres)) / at(spreads), [0.25, 0.5, 0.75], 10_000)).first()[0]
+    outer = stated(bands)
+    if quartiles is None:
+        return outer
+    first, middle, third = quartiles
+    width = max(third - first, 1.0)
+    low = [max(least, c + s * (middle - low_fence * width)) for least, c, s in zip(outer[0], centres, spreads, strict=True)]
+    high = [min(most, c + s * (middle + high_fence * width)) for most, c, s in zip(outer[1], centres, spreads, strict=True)]
+    return low, high
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a window of eight words which the text has twice or more."""
     n = len(words) - WINDOW + 1
@@ -134,11 +159,23 @@ def measure(df: DataFrame, carry: Mapping[str, Column], text: Column, level: int
     return annotate(df, carry, text, worker, MEASURES)
 
 
-def fit(measured: DataFrame, low_fence: float = LOW_FENCE, high_fence: float = HIGH_FENCE, min_rows: int = MIN_ROWS) -> tuple[Bands, Bands]:
-    """Bands of documents and of chunks from measured rows; those that fail the base rules don't count."""
+def good_ratios(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(size, ratio) of the documents that pass the base rules, and of their chunks."""
     good = measured.filter(~base_failed())
     chunks = good.select(F.explode(F.arrays_zip("chunk_bytes", "chunk_ratios")).alias("c")).select(F.col("c.chunk_bytes").alias("size"), F.col("c.chunk_ratios").alias("ratio"))
-    return tuple(fitted(rows, bands, low_fence, high_fence, min_rows) for rows, bands in ((good.select(F.col("n_bytes").alias("size"), F.col("zstd_ratio").alias("ratio")), DOCUMENT_BANDS), (chunks, CHUNK_BANDS)))
+    return good.select(F.col("n_bytes").alias("size"), F.col("zstd_ratio").alias("ratio")), chunks
+
+
+def fit(measured: DataFrame, low_fence: float = LOW_FENCE, high_fence: float = HIGH_FENCE, min_rows: int = MIN_ROWS) -> tuple[Bands, Bands]:
+    """Bands of documents and of chunks class by class from measured rows, for use as `bands`; classes of fewer than min_rows keep the outer limits."""
+    documents, chunks = good_ratios(measured)
+    return fitted(documents, DOCUMENT_BANDS, low_fence, high_fence, min_rows), fitted(chunks, CHUNK_BANDS, low_fence, high_fence, min_rows)
+
+
+def place(measured: DataFrame, low_fence: float = LOW_FENCE, high_fence: float = HIGH_FENCE) -> tuple[Bands, Bands]:
+    """The bands that the documents and chunks of measured rows place; those that fail the base rules don't count."""
+    documents, chunks = good_ratios(measured)
+    return placed(documents, DOCUMENT_BANDS, SHAPE, low_fence, high_fence), placed(chunks, CHUNK_BANDS, CHUNK_SHAPE, low_fence, high_fence)
 
 
 def inside(size: Column, value: Column, bands: Bands) -> Column:
@@ -159,7 +196,7 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: tuple[Bands, Bands] | None = None, chunk_share: float = CHUNK_SHARE, **options) -> DataFrame:
-    """The id and COUNTS for each row; no shuffle but of quartile sketches. bands: those of another corpus; else they are fitted to df.
+    """The id and COUNTS for each row; no shuffle but of quartile sketches. bands: those of another corpus; else df places them.
 
     base_failed: fewer than 20 words, or more than 30 % of the words in repeated windows.
     kept: not base_failed, and the compression ratios lie in their bands.
@@ -167,16 +204,16 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands:
     measured = measure(df, columns(df, [id_col]), F.col(f"`{text_col}`"), **options)
     if bands is None:
         measured = cut(measured)  # numbers only
-        bands = fit(measured)
+        bands = place(measured)
     return verdict(measured, bands, chunk_share).select(f"`{id_col}`", *COUNTS)
 
 
 def keep_good(df: DataFrame, text_col: str = "text", bands: tuple[Bands, Bands] | None = None, chunk_share: float = CHUNK_SHARE, **options) -> DataFrame:
-    """The rows of df that pass, with df's columns. Two passes over the texts, one to fit the bands; rows aren't joined."""
+    """The rows of df that pass, with df's columns. Two passes over the texts, one to place the bands; rows aren't joined."""
     text = F.col(f"`{text_col}`")
     if bands is None:
         numbers = cut(measure(df, {}, text, **options))
-        bands = fit(numbers)
+        bands = place(numbers)
         drop(numbers)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     return verdict(measure(df, {"__row": row}, text, **options), bands, chunk_share).filter("kept").select("__row.*")
