@@ -414,9 +414,13 @@ def name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranking records mined from JSON that is put into pages."""
+    """Ranking records mined from pages, in the middle of which stands a JSON element that tells of the page's own host and path."""
     p, n = table(spark, sf_dir, "pages"), F.col("page_id")
-    body = F.concat(F.lit('<html><script type="application/json">{"data": [{"title": "Univ '), n.cast("string"), F.lit('", "rank": "='), (n % 90 + 1).cast("string"), F.lit('", "country": "Y"}]}</script>'), F.col("html"))
+    host, path = fn.url_host(F.col("url")), fn.url_path(F.col("url"))
+    rank, country = F.regexp_extract(path, "([0-9]+)", 1), F.regexp_extract(path, "^/([a-z]+)/", 1)
+    record = F.concat(F.lit('{"props": [{"list": {"title": "<b>'), host, F.lit(' &amp; co</b>", "rank": "='), rank, F.lit('", "location": "'), country, F.lit('"}}, {"title": "no rank"}]}'))
+    half = F.floor(F.length("html") / 2).cast("int")
+    body = F.concat(F.substr("html", F.lit(1), half), F.lit('<script id="d" type="application/json">'), record, F.lit("</script>"), F.substr("html", half + 1))
     return rankings.records(p.select(body.alias("body"), n.alias(ORDER))).select("rank_raw", "institution_name", "country")
 
 

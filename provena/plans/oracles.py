@@ -322,7 +322,11 @@ def unescaped(x: str) -> str:
 
 
 PARSED = f"WITH {LINKS} SELECT page_id, place, regexp_extract(url, '^[^:/?#]+://[^/?#]*') || {unescaped('href')} AS link, {unescaped('anchor_text')} AS anchor_text FROM links"
-RECORDS = "SELECT '=' || (page_id % 90 + 1) AS rank_raw, 'Univ ' || page_id AS institution_name, 'Y' AS country FROM pages"
+RECORDS = """WITH p AS (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host, regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([0-9]+)', 1) AS n,
+    regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^/([a-z]+)/', 1) AS country
+  FROM pages)
+SELECT '=' || n AS rank_raw, host || ' & co' AS institution_name, min_by(country, page_id) AS country FROM p WHERE n <> '' GROUP BY host, n"""
 
 NAME_PAIRS = f"""WITH s AS (
   SELECT 's' || s_suppkey AS university_id, 'n' || s_nationkey AS country, {pick("s_suppkey", "town", "", "city")} AS city,
