@@ -99,34 +99,46 @@ def money_matches(body: Column, limit: int = 40) -> Column:
     """The first matches of an amount with a currency: struct (raw, currency, low, high, context)."""
     grouped = f"(?is)^{MONEY_CORE.replace('(<', '(')}"
 
-    def shaped(m: Column) -> Column:
+    # step by step: what a step makes is read by the next ones, not worked out again
+    def read(m: Column) -> Column:
         part = lambda k: F.regexp_extract(m["raw"], grouped, k)
-        number = lambda x: F.regexp_replace(x, r"[^0-9]", "").try_cast("long")
-        sign = F.upper(part(1))
-        code = F.coalesce(fn.lookup(lx.CURRENCY_CODES, sign), sign)
-        one, two = F.nullif(number(part(2)), F.lit(0)), F.nullif(number(part(4)), F.lit(0))
+        number = lambda x: F.nullif(F.regexp_replace(x, r"[^0-9]", "").try_cast("long"), F.lit(0))
+        return F.struct(m["raw"].alias("raw"), m["context"].alias("context"), F.upper(part(1)).alias("sign"), number(part(2)).alias("one"), number(part(4)).alias("two"))
+
+    def shaped(m: Column) -> Column:
         # least and greatest skip nulls
-        return F.struct(m["raw"].alias("raw"), code.alias("currency"), F.least(one, two).alias("low"), F.greatest(one, two).alias("high"), fn.clean_sentence(m["context"]).alias("context"))
+        code = F.coalesce(fn.lookup(lx.CURRENCY_CODES, m["sign"]), m["sign"])
+        return F.struct(m["raw"].alias("raw"), code.alias("currency"), F.least(m["one"], m["two"]).alias("low"), F.greatest(m["one"], m["two"]).alias("high"), fn.clean_sentence(m["context"]).alias("context"))
 
     plain = f"(?is){MONEY_CORE.replace('(<', '(?:')}"
-    return F.filter(F.transform(marked_matches(body, plain, 140, limit), shaped), lambda m: m["low"].isNotNull())
+    found = F.filter(F.transform(marked_matches(body, plain, 140, limit), read), lambda m: m["one"].isNotNull() | m["two"].isNotNull())
+    return F.transform(found, shaped)
 
 
-def money_label(context: Column) -> Column:
-    """What an amount is for, from the words around it, or `reject`."""
-    low = F.lower(context)
+def money_label(low: Column) -> Column:
+    """What an amount is for, from the lower-cased words around it, or `reject`."""
     label = lambda skip: F.coalesce(*[F.when(fn.contains_any(low, words), F.lit(name)) for name, words in lx.MONEY_LABELS.items() if name != skip], F.lit("reject"))
     return F.when(fn.contains_any(low, lx.MONEY_REJECT), label("tuition_fee")).otherwise(label(""))
 
 
 def money_facts(body: Column, forced: str | None = None) -> Column:
+    """Facts of the amounts in a text: read, lower-cased, labelled, and only then, if the label isn't `reject`, made."""
+    columns = ("raw", "currency", "low", "high", "context")
+    held = lambda m: [m[c].alias(c) for c in columns]
+    found = money_matches(body)
+    if forced:
+        labelled = F.transform(found, lambda m: F.struct(*held(m), F.lit(forced).alias("label")))
+    else:
+        lowered = F.transform(found, lambda m: F.struct(*held(m), F.lower(m["context"]).alias("words")))
+        labelled = F.filter(F.transform(lowered, lambda m: F.struct(*held(m), money_label(m["words"]).alias("label"))), lambda m: m["label"] != "reject")
+
     def made(m: Column) -> Column:
-        label = F.lit(forced) if forced else money_label(m["context"])
+        label = m["label"]
         payload = fn.json_object(min=m["low"].cast("string"), max=m["high"].cast("string"), currency=fn.json_text(m["currency"]), classification=fn.json_text(label), context=fn.json_text(F.substring(m["context"], 1, 240)))
         kind = F.when(label == "tuition_fee", "tuition").otherwise(label)
-        return F.when(label != "reject", fact(kind, label, m["raw"], payload, m["low"].cast("string"), m["currency"], F.when(label == "tuition_fee", "0.74").otherwise("0.55")))
+        return fact(kind, label, m["raw"], payload, m["low"].cast("string"), m["currency"], F.when(label == "tuition_fee", "0.74").otherwise("0.55"))
 
-    return F.filter(F.transform(money_matches(body), made), lambda f: f.isNotNull())
+    return F.transform(labelled, made)
 
 
 def english_verdict(test: str, score: Column) -> Column:
