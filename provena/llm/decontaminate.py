@@ -10,8 +10,9 @@ own value breaks nothing). So a question with other numbers or names is caught.
 meetings of placeholder-rich windows, a share of `min_plain` of the covered tokens must be words.
 
 A capitalised word that starts a line or sentence may be a name or not: it has both forms. In the
-benchmark windows have every choice of forms, in documents all such words are plain or all are
-names. A word that is a name inside a sentence of any item is one everywhere, whatever its case.
+benchmark a window has every choice of forms for up to three such words, and for more of them those with
+none, one, all but one or all as names, so windows stay at most 2 * `window` + 2 times the tokens; in
+documents all such words are plain or all are names. A word that is a name inside a sentence of any item is one everywhere, whatever its case.
 
 A document is contaminated by an item if consistent windows cover `min_share` of the item's
 template tokens and at least min(len(item), `min_tokens`) of them, or `min_run` tokens in a row.
@@ -33,7 +34,6 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -180,22 +180,44 @@ def doc_windows(make: Template, parts: Parts, size: int) -> tuple[np.ndarray, np
     return codes[inside], at[inside]
 
 
+def choices(k: int) -> np.ndarray:
+    """Which of k words of two forms are names: none, one, all but one, or all. With up to three words that is every choice; at most 2 k + 2 in all."""
+    one = np.eye(k, dtype=bool)
+    return np.unique(np.concatenate([np.zeros((1, k), bool), one, ~one, np.ones((1, k), bool)]), axis=0)
+
+
 def item_windows(make: Template, parts: Parts, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and places of an item's windows, with every choice for the words of two forms."""
+    """Codes and places of an item's windows, with the choices for the words of two forms."""
     codes, places = [windows(parts.template, size)], [np.arange(len(parts) - size + 1)]
     named = make.as_names(parts.template, parts.either)
     for at in near_either(parts.either, size).tolist():
         open_ = np.flatnonzero(parts.either[at : at + size])
-        for choice in product((False, True), repeat=len(open_)):
-            if any(choice):
+        for choice in choices(len(open_)):
+            if choice.any():
                 part = parts.template[at : at + size].copy()
-                use = open_[list(choice)]
+                use = open_[choice]
                 part[use] = named[at + use]
                 codes.append(windows(part, size))
                 places.append(np.array([at]))
     return np.concatenate(codes), np.concatenate(places)
 
 
+def count_windows(items: DataFrame, window: int) -> int:
+    """How many windows the texts of items have; without their common names, which can only make it less."""
+
+    def worker():
+        make = Template()
+
+        def run(texts: pa.Array) -> list:
+            parts = make.of(texts)
+            own = [parts.text(k) for k in range(len(texts))]
+            return [[len(item_windows(make, p, min(window, len(p)))[0]) if len(p) else 0 for p in own]]
+
+        return run
+
+    return annotate(items, {}, F.col("text"), worker, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 class Items:
     """The benchmark in template form, with an index of its windows. Items are numbered as they come."""
 
@@ -310,8 +332,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 def _matches(docs: DataFrame, carry: Mapping[str, Column], text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, max_broadcast: int = MAX_BROADCAST, rules: Rules = Rules()) -> DataFrame:
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text")).filter("item is not null and text is not null")
     kind = items.schema["item"].dataType.simpleString()
-    n_windows = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    if n_windows > max_broadcast:
+    if count_windows(items, window) > max_broadcast:
         return _joined(docs, carry, text, items, window, rules)
     rows = items.orderBy("item").collect()
     held = docs.sparkSession.sparkContext.broadcast((Items([r["text"] for r in rows], window), [r["item"] for r in rows]))

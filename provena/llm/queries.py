@@ -22,6 +22,15 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+#: Patterns over parts that the urls of pages have.
+PAGE_PATTERNS = ("||blog.", "||m.*.example.net^", "?page=2&", "/es/*7", "#top^", "@@||blog.*/fr/")
+
+
+def url_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter of op1 with patterns that pages' urls meet, and without host rules: wildcards, anchors, separators and an exception decide."""
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), host_rules=(), patterns=PAGE_PATTERNS)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan(documents(spark, sf_dir), redact=False)
     return found.select("doc_id", *[f"n_{k}" for k in pii.BASE_KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -74,7 +83,7 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_pii, op3_lm_scoring, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_near_dedup, op8_sharding, op9_decontamination, op10_chat_formatting, op11_vector_codes, op12_divergence_audit, op13_suffix_dedup)}
+    return {f.__name__: f for f in (op1_url_filters, url_patterns, op2_pii, op3_lm_scoring, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_near_dedup, op8_sharding, op9_decontamination, op10_chat_formatting, op11_vector_codes, op12_divergence_audit, op13_suffix_dedup)}
 
 
 OP1_SQL = r"""
@@ -103,6 +112,23 @@ SELECT page_id, host, path, rule,
 FROM m
 """
 
+PATTERNS_SQL = r"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '^(?:.|\n)*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '^(?:.|\n)*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM pages),
+m AS (
+  SELECT *, regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?blog\..*/fr/') AS spared, CASE
+    WHEN regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?m\..*\.example\.net([^A-Za-z0-9_.%-]|$)') THEN '||m.*.example.net^'
+    WHEN contains(low, '?page=2&') THEN '?page=2&'
+    WHEN regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?blog\.') THEN '||blog.'
+    WHEN regexp_matches(low, '/es/.*7') THEN '/es/*7'
+    WHEN regexp_matches(low, '#top([^A-Za-z0-9_.%-]|$)') THEN '#top^' END AS found
+  FROM u)
+SELECT page_id, host, path, NULL::VARCHAR AS rule, CASE WHEN spared OR found IS NULL THEN 'allow' ELSE 'block' END AS verdict, CASE WHEN spared THEN '@@||blog.*/fr/' ELSE found END AS pattern
+FROM m
+"""
+
 OP10_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
@@ -195,4 +221,4 @@ FROM d LEFT JOIN g USING (row)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op10_chat_formatting": OP10_SQL, "op11_vector_codes": op11_sql(), "op12_divergence_audit": OP12_SQL, "op13_suffix_dedup": OP13_SQL}
+    return {"op1_url_filters": OP1_SQL, "url_patterns": PATTERNS_SQL, "op10_chat_formatting": OP10_SQL, "op11_vector_codes": op11_sql(), "op12_divergence_audit": OP12_SQL, "op13_suffix_dedup": OP13_SQL}

@@ -672,3 +672,79 @@ def test_pipeline_against_brute_force(spark, tmp_path, tokenizer_path):
 
 def test_digest_of_nothing():
     assert pii.digest("") == hashlib.sha256(b"").hexdigest()
+
+
+# bounds that were missing
+
+
+def test_one_word_sentences_make_few_windows(spark):
+    """Windows over words of two forms stay linear in the item, and are counted as they are before a broadcast."""
+    item = " ".join(f"W{chr(97 + k % 26)}{chr(97 + k // 26)}." for k in range(200))
+    frame = spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string")
+    n = decontaminate.count_windows(frame.filter("text is not null"), 8)
+    assert n == len(decontaminate.Items([item], 8, frozenset()).codes) <= 18 * 193
+    assert [len(decontaminate.choices(k)) for k in range(5)] == [1, 2, 4, 8, 10]
+    docs = spark.createDataFrame([(1, f"see {item}", "s"), (2, "nothing here", "s")], DOCS)
+    for most in (n, n - 1):
+        got = {r["doc_id"]: r["item_ids"] for r in decontaminate.matches(docs, frame, max_broadcast=most).collect()}
+        assert got == {1: [1], 2: []}
+
+
+def test_bands_follow_the_corpus_by_one_rule(spark):
+    """Quartiles over all lengths together, against the reference; a tenth of the corpus places them nearly where the whole does."""
+    rng = random.Random(21)
+    texts = [" ".join(words(rng, rng.randint(25, 900))) for _ in range(600)] + ["same line again and again\n" * 80]
+    measured = quality_rules.measure(spark.createDataFrame([(k, t, "") for k, t in enumerate(texts)], DOCS), {"k": F.col("doc_id")}, F.col("text")).persist()
+    low, high = quality_rules.place(measured, 1.0, 2.0)[0]
+    centres, spreads = quality_rules.stated(quality_rules.SHAPE)
+    at = lambda n: min(int(2 * math.log2(max(n, 1))), 63)
+    rows = [r for r in measured.collect() if not (r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"])]
+    z = sorted((r["zstd_ratio"] - centres[at(r["n_bytes"])]) / spreads[at(r["n_bytes"])] for r in rows)
+    q = [z[math.ceil(len(z) * p) - 1] for p in (0.25, 0.5, 0.75)]
+    outer = quality_rules.stated(quality_rules.DOCUMENT_BANDS)
+    for k in range(64):
+        assert math.isclose(low[k], max(outer[0][k], centres[k] + spreads[k] * (q[1] - max(q[2] - q[0], 1))), rel_tol=1e-9)
+        assert math.isclose(high[k], min(outer[1][k], centres[k] + spreads[k] * (q[1] + 2 * max(q[2] - q[0], 1))), rel_tol=1e-9)
+    part = quality_rules.place(measured.filter("k % 10 = 3"), 1.0, 2.0)[0]
+    assert all(abs(a - b) < 0.3 * b for a, b in zip(part[1], high, strict=True) if b)
+    assert quality_rules.place(measured.limit(0)) == (outer, quality_rules.stated(quality_rules.CHUNK_BANDS))
+
+
+def test_urls_clashing_columns(spark):
+    """Columns whose names clash with those that the filter makes are ignored, ids of any type pass."""
+    rows = [("a", "http://x.net/login/", "h", "p", "r", [1], True), (None, None, "h", "p", "r", None, None), ("b", "https://K.org/fr/", "h", "p", "r", [2], False)]
+    df = spark.createDataFrame(rows, "page_id string, url string, host string, path string, rule string, tokens array<int>, matched boolean")
+    for inline in (512, 0):
+        got = {r["page_id"]: tuple(r)[1:] for r in url_filter.judge(df, inline_tokens=inline).collect()}
+        assert got == {"a": ("x.net", "/login/", "net/", "block", None), None: ("", "", None, "allow", None), "b": ("k.org", "/fr/", "org/fr/", "allow", None)}
+
+
+def test_url_patterns_decide(spark, tmp_path):
+    import duckdb
+
+    from provena.llm import queries
+
+    urls = ["http://blog.a.example.com/fr/1", "http://blog.a.example.com/en/1?page=2&x", "https://m.b.example.net/", "https://m.b.example.netx/", "http://a.org/es/17", "http://a.org/en/#top", "http://a.org/#topx", "HTTP://BLOG.z.org", None, ""]
+    spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.url_patterns(spark, str(tmp_path))
+    base = duckdb.connect()
+    base.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = base.sql(queries.oracle_sql()["url_patterns"])
+    assert sorted(map(tuple, got.select(*want.columns).collect()), key=str) == sorted(want.fetchall(), key=str)
+    assert len({r["pattern"] for r in got.collect()}) == 7
+
+
+def test_pipeline_of_odd_and_empty_documents(spark, tmp_path, tokenizer_path):
+    import corpus_pipeline
+
+    rng = random.Random(14)
+    columns_ = "doc_id long, text string, lang string, source string, n_chars long, key string, score double, kept boolean, seq string"
+    good = " ".join(words(rng, 80))
+    rows = [(1, good), (1, good), (2, None), (3, ""), (None, " ".join(words(rng, 70))), (4, " \n\t "), (5, " ".join(words(rng, 6000)))]
+    for name, data in (("odd", rows), ("empty", [])):
+        spark.createDataFrame([(i, t, None, "s", None, "k", 0.5, True, "q") for i, t in data], columns_).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert {r["doc_id"] for r in got} == {1, None, 5} and len([r for r in got if r["doc_id"] == 1]) == 1
+    assert sum(r["length"] for r in got if r["doc_id"] == 5) == len(ids_of(packing.WordIds(tokenizer_path), [rows[-1][1]])[0])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
