@@ -9,7 +9,7 @@
    the pieces of the others to an exchange: they are dealt anew, over fewer partitions, and packed
    again, until no partition is left but one with a gap or nothing is gained.
 
-Only (key, piece, length) rows move, never texts or ids. A partition is a bounded number of
+Between rounds only (slot, length) rows move; places meet the pieces in one last join. A partition is a bounded number of
 pieces (`per_partition`), whatever the input's size.
 
 Defined results: a null or empty text has the end id alone; a null id is carried through; repeated
@@ -315,7 +315,8 @@ def pack(pieces: DataFrame, size: int = SIZE, per_partition: int = PER_PARTITION
         before, left, step = left, waiting.count(), step + 1
     if not done:
         return pieces.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("certified"))
-    return table.join(reduce(DataFrame.unionByName, done), "__slot").drop("__slot")
+    # a shuffled join at every size: what the table carries (ids, in the pipeline) would else be broadcast while it is small
+    return table.join(reduce(DataFrame.unionByName, done).hint("merge"), "__slot").drop("__slot")
 
 
 def certificate(packed: DataFrame, size: int = SIZE) -> DataFrame:
