@@ -53,19 +53,6 @@ def common_tags(lowered: Column, source_type: Column) -> Column:
     )
 
 
-def with_context(core: str, radius: int, groups: int) -> tuple[str, int]:
-    """A pattern that captures up to `radius` characters before (group 1) and after a match (group 2), the core's own groups following.
-
-    Context groups sit in look-around, so matches are those of the core alone. The first lookahead
-    makes positions without a match fail before the context is looked at.
-    """
-    bare = core
-    for _ in range(groups):
-        bare = bare.replace("(<", "(?:", 1)
-    named = core.replace("(<", "(")
-    return rf"(?is)(?={bare})(?<=(^.{{0,{radius - 1}}}|.{{{radius}}}))({named})(?=(.{{0,{radius}}}))", groups + 3
-
-
 MONEY_CORE = rf"(<{lx.CURRENCY_SIGNS})\s?(<{lx.AMOUNT})(?:\s?(?:-|to|–|—)\s?(<{lx.CURRENCY_SIGNS})?\s?(<{lx.AMOUNT}))?"
 
 
@@ -207,22 +194,32 @@ def application_facts(body: Column, lowered: Column) -> Column:
 
 
 def certificate_facts(body: Column) -> Column:
-    out = []
-    for key, core in lx.CERTIFICATES.items():
-        pattern, last = with_context(f"(?:{core})", 120, 0)
-        group = lambda k, p=pattern: F.try_element_at(F.regexp_extract_all(body, F.lit(p), F.lit(k)), F.lit(1))
-        matched = group(2)
-        context = fn.clean_sentence(F.concat(group(1), matched, group(last)))
-        low = F.lower(context)
-        holds = matched.isNotNull() & ~fn.contains_any(low, lx.CERTIFICATE_EXCLUDED) & fn.contains_any(low, lx.CERTIFICATE_WORDS)
-        if key in lx.UPPER_CERTIFICATES:
-            holds = holds & (matched == F.upper(matched))
-        if key == "STEP":
-            holds = holds & fn.contains_any(low, lx.STEP_WORDS)
-        sure = F.when(fn.contains_any(low, lx.CERTIFICATE_FIRM), "0.72").when(fn.contains_any(low, lx.CERTIFICATE_SOFT), "0.60").otherwise("0.52")
-        payload = fn.json_object(cert=F.lit(f'"{key}"'), context=fn.json_text(F.substring(context, 1, 240)))
-        out.append(F.when(holds, fact("cert_requirement", key, key, payload, confidence=sure)))
-    return present(*out)
+    """One fact for each certificate whose first mention stands among words of admission, 120 characters to both sides."""
+
+    def mention(key: str, core: str) -> Column:
+        before = F.length(F.regexp_extract(body, f"(?is)^.*?(?={core})", 0))
+        return F.when(body.rlike(f"(?is){core}"), F.struct(F.lit(key).alias("key"), F.regexp_extract(body, f"(?is){core}", 0).alias("raw"), before.alias("before")))
+
+    # step by step, as in money_matches; certificates that the text doesn't name end with the first step
+    def read(m: Column) -> Column:
+        side = F.least(m["before"], F.lit(120))
+        return F.struct(m["key"].alias("key"), m["raw"].alias("raw"), fn.clean_sentence(F.substr(body, m["before"] - side + 1, side + F.length(m["raw"]) + 120)).alias("context"))
+
+    def lowered(m: Column) -> Column:
+        return F.struct(m["key"].alias("key"), m["raw"].alias("raw"), m["context"].alias("context"), F.lower(m["context"]).alias("low"))
+
+    def holds(m: Column) -> Column:
+        upper = ~m["key"].isin(*lx.UPPER_CERTIFICATES) | (m["raw"] == F.upper(m["raw"]))
+        step = (m["key"] != "STEP") | fn.contains_any(m["low"], lx.STEP_WORDS)
+        return upper & ~fn.contains_any(m["low"], lx.CERTIFICATE_EXCLUDED) & fn.contains_any(m["low"], lx.CERTIFICATE_WORDS) & step
+
+    def made(m: Column) -> Column:
+        sure = F.when(fn.contains_any(m["low"], lx.CERTIFICATE_FIRM), "0.72").when(fn.contains_any(m["low"], lx.CERTIFICATE_SOFT), "0.60").otherwise("0.52")
+        payload = fn.json_object(cert=fn.json_text(m["key"]), context=fn.json_text(F.substring(m["context"], 1, 240)))
+        return fact("cert_requirement", m["key"], m["key"], payload, confidence=sure)
+
+    named = present(*[mention(key, f"(?:{core})") for key, core in lx.CERTIFICATES.items()])
+    return F.transform(F.filter(F.transform(F.transform(named, read), lowered), holds), made)
 
 
 def scholarship_facts(lowered: Column) -> Column:

@@ -105,6 +105,17 @@ def test_english_and_certificates(table):
     assert {"SAT", "portfolio_required", "application_deadline_candidate"} <= admissions and "STEP" not in admissions
 
 
+def test_certificates_read_a_text_once_a_step(spark):
+    """The first mention decides, with 120 characters to both sides; no step works a former one out again."""
+    far = "\U0001f600" * 130
+    texts = ["SAT", "Sat required, SAT", f"SAT {'x' * 130} required", f"{'y' * 119} GRE exam", "act score, ACT required", "step, STEP mathematics score", "A-levels, IB and Advanced Level accepted", f"{far} HSK may submit {far}", "", None]
+    found = spark.createDataFrame(list(enumerate(texts)), "k long, t string").select("k", F.explode(extract.certificate_facts(F.col("t"))).alias("f"))
+    got = sorted((r["k"], r["f"]["fact_key"], r["f"]["confidence_score"], len(json.loads(r["f"]["value_json"])["context"])) for r in found.collect())
+    assert got == [(1, "SAT", "0.72", 17), (3, "GRE", "0.52", 128), (6, "A_LEVEL", "0.60", 40), (6, "IB", "0.60", 40), (7, "HSK", "0.60", 240)]
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") + plan.count("regexp_extract") <= 3 * len(extract.lx.CERTIFICATES)
+
+
 def test_unusable_evidence_gives_nothing(table):
     rows = table(sc.EVIDENCE, evidence(text="tuition $ 20000", status="failed"), evidence(text="tuition $ 20000", content_quality_status="blocked"))
     assert extract.facts(table(sc.SOURCE, source()), rows, NOW).count() == 0
