@@ -314,6 +314,34 @@ def test_names_meet_over_equal_keys(spark):
                 assert (a, b) in got, (a, b, ratio)
 
 
+def test_kinds_of_names_are_judged_once(spark, monkeypatch):
+    """Repeated rows cost nothing before the last joins, and every pair of rows that holds is there: against all pairs of rows."""
+    from collections import Counter
+
+    rng = random.Random(3)
+    left = [(k, rng.choice(["norte tech", "nord stat", ""]), rng.choice(["x", "y", None]), rng.choice(["c", "", None])) for k in range(150)]
+    right = [(k, rng.choice(["nord tech", "norte tech", "tech stat x", "q", ""]), *rng.choice([("X", "x"), ("Y", "y"), ("", ""), (None, None)]), rng.choice(["c", None])) for k in range(200)]
+    names = spark.createDataFrame(left, "id long, simple string, country_key string, city_key string")
+    ranked = spark.createDataFrame(right, "q_ord long, q_simple string, q_country string, q_country_key string, q_city_key string")
+    judged, hopeful = [], rankings.hopeful
+    monkeypatch.setattr(rankings, "hopeful", lambda pairs: judged.append(pairs.count()) or hopeful(pairs))
+    pairs = rankings.name_pairs(names, ranked)
+    got = Counter(tuple(r) for r in pairs.select("id", "q_ord", "shared_letters").collect())
+    assert len(judged) == 1 and judged[0] <= len({r[1:] for r in left}) * len({r[1:] for r in right}) < len(left) * len(right) / 10
+
+    def letters(a, b):
+        return sum((Counter(a) & Counter(b)).values())
+
+    def holds(a, country, city, b, q_country, q_key, q_city):
+        x, y = set(a.split()), set(b.split())
+        both = len(x & y)
+        score = max(2 * letters(a, b) / max(len(a + b), 1) * 0.76, both / max(len(x | y), 1) * 0.82, both / max(min(len(x), len(y)), 1) * 0.78)
+        near = q_country == "" or (country is not None and country == q_key)
+        return a == b or score >= 0.62 - (0.12 if near else -0.08) - (0.03 if city and city == q_city else 0) - 0.002
+
+    assert got == Counter((a[0], b[0], letters(a[1], b[1])) for a in left for b in right if holds(*a[1:], *b[1:])) and 1000 < len(got) < 25000
+
+
 def test_fetched_rankings(spark, tmp_path):
     page = json.dumps([{"title": f"Univ {k}", "rank": str(k)} for k in range(1, 4)]).encode()
 
