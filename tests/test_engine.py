@@ -342,6 +342,30 @@ def test_kinds_of_names_are_judged_once(spark, monkeypatch):
     assert got == Counter((a[0], b[0], letters(a[1], b[1])) for a in left for b in right if holds(*a[1:], *b[1:])) and 1000 < len(got) < 25000
 
 
+def test_pairs_of_a_hot_kind_are_spread(spark, monkeypatch):
+    """Rows of one kind lie in bounded blocks, whose pairs are made after the last shuffle, in tasks by what they return."""
+    from collections import Counter
+
+    monkeypatch.setattr(rankings, "RIGHT_ROWS", 32, raising=False)
+    monkeypatch.setattr(rankings, "MANY_ROWS", 10_000, raising=False)
+    left = [(k // 2, "nord tech", "x", None) for k in range(300)] + [(k, "zq", None, "c") for k in range(9)]
+    right = [(k // 3, "nord tech", "", None, None) for k in range(1100)] + [(5000 + k, "nord tech", "X", "x", "c") for k in range(2)] + [(9000, "ab", "", "", "")]
+    names = spark.createDataFrame(left, "id long, simple string, country_key string, city_key string")
+    ranked = spark.createDataFrame(right, "q_ord long, q_simple string, q_country string, q_country_key string, q_city_key string")
+    pairs = rankings.name_pairs(names, ranked)
+    got = {(r.id, r.q_ord): r["count"] for r in pairs.groupBy("id", "q_ord").count().collect()}
+    one, two = Counter(r[0] for r in left[:300]), Counter(r[0] for r in right[:1102])
+    assert got == {(a, b): one[a] * two[b] for a in one for b in two}
+    spread = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(spread) > 8 and max(spread) < sum(spread) / 4
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Exchange") and plan.index("Generate explode") < plan.index("Join")
+    sizes = [(r.left_n, len(r.left_rows), r.simple) for r in rankings.blocks(names, rankings.SEED_KIND, "left", 64).collect()]
+    assert max(n for n, _, _ in sizes) <= 64 and all(n == m for n, m, _ in sizes) and Counter(s for n, _, s in sizes for _ in range(n)) == Counter(r[1] for r in left)
+    none = rankings.name_pairs(names.limit(0), ranked)
+    assert none.columns == pairs.columns and none.count() == 0
+
+
 def test_fetched_rankings(spark, tmp_path):
     page = json.dumps([{"title": f"Univ {k}", "rank": str(k)} for k in range(1, 4)]).encode()
 
